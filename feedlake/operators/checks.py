@@ -43,7 +43,7 @@ def unmoved(moved: DataFrame, routed: DataFrame, key: str, by: str) -> DataFrame
     places = routed.select(key, F.col(by).alias("_place"))
     seen = (
         moved.join(places, key, "left")
-        .groupBy(key)
+        .groupBy(key, f"from_{by}", f"to_{by}")
         .agg(
             F.count_if(F.col("_place") == F.col(f"to_{by}")).alias("in_new"),
             F.count_if(F.col("_place") == F.col(f"from_{by}")).alias("in_old"),
@@ -78,6 +78,27 @@ def reconcile(flattened: DataFrame, evaluated: DataFrame, curated: DataFrame) ->
     )
 
 
+def reconcile_members(raw: DataFrame, evaluated: DataFrame, conflicting: DataFrame) -> DataFrame:
+    """Per batch: lines delivered, lines that are no details, and details accepted, rejected and in conflict."""
+    delivered = raw.groupBy("batch_id").agg(F.count("*").alias("delivered"))
+    judged = evaluated.groupBy("batch_id").agg(
+        F.count("*").alias("details"),
+        F.count_if("is_valid").alias("accepted"),
+        F.count_if(~F.col("is_valid")).alias("rejected"),
+    )
+    clashing = conflicting.groupBy("batch_id").agg(F.count("*").alias("conflicting"))
+    return (
+        delivered.join(judged, "batch_id", "left")
+        .join(clashing, "batch_id", "left")
+        .select(
+            "batch_id",
+            "delivered",
+            (F.col("delivered") - F.coalesce("details", F.lit(0))).alias("other_lines"),
+            *(F.coalesce(name, F.lit(0)).alias(name) for name in ("accepted", "rejected", "conflicting")),
+        )
+    )
+
+
 def unreconciled(reconciliation: DataFrame) -> DataFrame:
     return reconciliation.where("flattened <> accepted + quarantined or accepted_not_curated <> 0")
 

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.functions.dates import check_batch_id
+from feedlake.operators.checks import check_suite
 from feedlake.operators.contract import require_contract
 from feedlake.operators.ledger import FAILED, RUNNING, SUCCESS, ledger_event, ledger_state
 from feedlake.operators.parse import flatten_redemptions
-from feedlake.operators.routing import affected_partitions, changed_keys, project
+from feedlake.operators.routing import affected_partitions, changed_keys, movements, project
 from feedlake.operators.versions import conflicts, latest_members, split_conflicts
 from feedlake.plans import stages
 from feedlake.schemas import (
@@ -32,6 +33,7 @@ from feedlake.sources.tables import Lake
 from feedlake.streaming.load_once import load_feed
 
 FEED_TYPE = "PIPELINE"
+CONFLICTING_VERSIONS = "batch_id string, member_id string, source_feed_timestamp timestamp_ntz, key_rows bigint"
 MEMBER_KEY, REDEMPTION_KEY = ["member_id"], ["txn_id"]
 
 
@@ -108,7 +110,7 @@ def _members(lake: Lake, batch_id: str, contract: FeedContract, version: int, ru
     pairs = lake.write_batch(
         pairs.withColumn("batch_id", F.lit(batch_id)),
         "conflicting_versions",
-        "batch_id string, member_id string, source_feed_timestamp timestamp_ntz, key_rows bigint",
+        CONFLICTING_VERSIONS,
         version,
         batch_id,
     ).drop("batch_id")
@@ -210,5 +212,26 @@ def read_redemption(lake: Lake) -> DataFrame | None:
     return lake.read_entity("redemption", REDEMPTION, REDEMPTION_KEY)
 
 
+def suite(lake: Lake) -> DataFrame:
+    """All checks over the published tables."""
+    staged = read_member_staging(lake)
+    pairs = lake.read("conflicting_versions", CONFLICTING_VERSIONS).select(
+        "member_id", "source_feed_timestamp", "key_rows"
+    )
+    _, eligible = split_conflicts(staged, pairs, "member_id", "source_feed_timestamp")
+    current = read_member_current(lake)
+    return check_suite(
+        {
+            "member_current": current,
+            "member_eligible": eligible,
+            "member_country": read_member_countries(lake),
+            "member_moved": movements(eligible, current, "member_id", "country").distinct(),
+            "redemption": read_redemption(lake),
+            "redemption_staging": read_redemption_staging(lake),
+            "redemption_evaluated": read_redemption_evaluated(lake),
+        }
+    )
+
+
 def read_ledger(lake: Lake) -> DataFrame:
     return ledger_state(lake.spark, ledger_path(lake))
