@@ -31,18 +31,19 @@ def upsert(
 
     Both sides hold one row per key. With `version`, a source row replaces a
     target row only if its version is strictly greater, so late and repeated
-    deliveries change nothing. `inserted_at` and `updated_at` name audit columns
-    that the target has and the source has not; they are set to `run_ts` on
-    insert, and `updated_at` also on update.
+    deliveries change nothing. `inserted_at` and `updated_at` name audit columns:
+    both are set on insert, `updated_at` also on update, to `run_ts` or, if the
+    source has the column itself, to the source's value.
     """
     run_ts = F.localtimestamp() if run_ts is None else run_ts
     audit = [name for name in (inserted_at, updated_at) if name]
     values = [name for name in source.columns if name not in keys and name not in audit]
+    source = source.withColumns({name: run_ts for name in audit if name not in source.columns})
     if target is None:
-        return source.select(*keys, *values, *(run_ts.alias(name) for name in audit))
+        return source.select(*keys, *values, *audit)
 
     old = target.select(*keys, F.struct(*values, *audit).alias("_old"))
-    new = source.select(*keys, F.struct(*values).alias("_new"))
+    new = source.select(*keys, F.struct(*values, *audit).alias("_new"))
     both = old.join(new, keys, "full_outer")
     inserts = F.col("_old").isNull()
     takes = F.col("_new").isNotNull()
@@ -50,7 +51,9 @@ def upsert(
         takes = takes & (inserts | (F.col(f"_new.{version}") > F.col(f"_old.{version}")))
     columns = [F.when(takes, F.col(f"_new.{name}")).otherwise(F.col(f"_old.{name}")).alias(name) for name in values]
     if inserted_at:
-        columns.append(F.when(inserts, run_ts).otherwise(F.col(f"_old.{inserted_at}")).alias(inserted_at))
+        columns.append(F.coalesce(f"_old.{inserted_at}", f"_new.{inserted_at}").alias(inserted_at))
     if updated_at:
-        columns.append(F.when(takes, run_ts).otherwise(F.col(f"_old.{updated_at}")).alias(updated_at))
+        columns.append(
+            F.when(takes, F.col(f"_new.{updated_at}")).otherwise(F.col(f"_old.{updated_at}")).alias(updated_at)
+        )
     return both.select(*keys, *columns)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.functions.dates import check_batch_id
@@ -28,12 +30,15 @@ from feedlake.schemas import (
     FeedContract,
     FeedSource,
 )
-from feedlake.sources.landing import first_lines, loaded_lines, raw_member, raw_redemption, require_files
+from feedlake.sources.landing import NoFilesError, first_lines, loaded_lines, raw_member, raw_redemption
 from feedlake.sources.tables import Lake
 from feedlake.streaming.load_once import load_feed
 
 FEED_TYPE = "PIPELINE"
 CONFLICTING_VERSIONS = "batch_id string, member_id string, source_feed_timestamp timestamp_ntz, key_rows bigint"
+BASE, RECENT = "base", "recent"
+# Changes to curated transactions are folded into the base when they reach this share of its rows.
+FOLD_SHARE = 0.2
 MEMBER_KEY, REDEMPTION_KEY = ["member_id"], ["txn_id"]
 
 
@@ -62,11 +67,15 @@ def run_batch(
     spark = lake.spark
     ledger_event(spark, ledger_path(lake), batch_id, FEED_TYPE, RUNNING)
     try:
-        _load(lake, landing, batch_id, contract, member_source, redemption_source)
+        lake.refresh()
         version = lake.next_version()
         run_ts = F.localtimestamp()
-        counts, members = _members(lake, batch_id, contract, version, run_ts)
-        counts |= _redemptions(lake, batch_id, version, run_ts, members)
+        # The feeds do not depend on each other until redemptions look members up.
+        with ThreadPoolExecutor(2) as pool:
+            members = pool.submit(_members, lake, landing, batch_id, contract, member_source, version, run_ts)
+            staged = pool.submit(_stage_redemptions, lake, landing, batch_id, redemption_source, version)
+        counts, after = members.result()
+        counts |= _redemptions(lake, batch_id, version, run_ts, staged.result(), after)
         lake.commit(batch_id)
     except Exception as error:
         lake.discard()
@@ -78,48 +87,44 @@ def run_batch(
     return counts
 
 
-def _load(lake, landing, batch_id, contract, member_source, redemption_source) -> None:
-    def check(target: str) -> None:
-        require_contract(first_lines(lake.spark, batch_id, target), contract)
-
-    load_feed(
-        lake.spark, landing, raw_root(lake, "member"), member_source.folder, batch_id, member_source.pattern, check=check
-    )
-    load_feed(
-        lake.spark,
-        landing,
-        raw_root(lake, "redemption"),
-        redemption_source.folder,
-        batch_id,
-        redemption_source.pattern,
-        json=True,
-    )
+def _members(
+    lake: Lake, landing: str, batch_id: str, contract: FeedContract, source: FeedSource, version: int, run_ts: Column
+) -> tuple[dict[str, int], DataFrame]:
+    spark, root = lake.spark, raw_root(lake, "member")
 
+    def check(target: str, split_count: int) -> None:
+        require_contract(first_lines(spark, batch_id, target, split_count), contract)
 
-def _members(lake: Lake, batch_id: str, contract: FeedContract, version: int, run_ts):
-    raw = raw_member(loaded_lines(lake.spark, raw_root(lake, "member"), batch_id))
-    require_files(raw, batch_id)
+    load_feed(spark, landing, root, source.folder, batch_id, source.pattern, check=check)
+    lines, line_count = loaded_lines(spark, root, batch_id)
+    if not line_count:
+        raise NoFilesError(f"no member feed file found for batch {batch_id}")
 
     # One pass over the raw lines; valid and rejected rows go to folders of their own.
-    evaluated = lake.write_batch(
-        stages.evaluate_members(raw, contract), "member_evaluated", MEMBER_EVALUATED, version, batch_id, "is_valid"
+    evaluated, seen = lake.write_batch(
+        stages.evaluate_members(raw_member(lines), contract),
+        "member_evaluated",
+        MEMBER_EVALUATED,
+        version,
+        batch_id,
+        split_by="is_valid",
+        valid=F.count_if("is_valid"),
     )
     staged = stages.member_staging(evaluated)
 
     pairs = conflicts(staged, "member_id", "source_feed_timestamp", list(MEMBER_ATTRIBUTES))
-    pairs = lake.write_batch(
-        pairs.withColumn("batch_id", F.lit(batch_id)),
-        "conflicting_versions",
-        CONFLICTING_VERSIONS,
-        version,
-        batch_id,
-    ).drop("batch_id")
-    bad, good = split_conflicts(staged, pairs, "member_id", "source_feed_timestamp")
-    bad = lake.write_batch(bad, "conflicting_members", DQ_QUARANTINE, version, batch_id)
+    pairs, _ = lake.write_batch(
+        pairs.withColumn("batch_id", F.lit(batch_id)), "conflicting_versions", CONFLICTING_VERSIONS, version, batch_id
+    )
+    bad, good = split_conflicts(staged, pairs.drop("batch_id"), "member_id", "source_feed_timestamp")
+    _, clashing = lake.write_batch(bad, "conflicting_members", DQ_QUARANTINE, version, batch_id)
 
-    before = read_member_current(lake)
+    before = lake.read_entity("member_current", MEMBER_CURRENT, MEMBER_KEY)
+    newest = latest_members(good)
+    if int(spark.conf.get("spark.sql.shuffle.partitions")) != lake.buckets:
+        newest = lake.in_buckets(newest, MEMBER_KEY)  # else the latest rows are in their buckets already
     after = lake.write_entity(
-        stages.merge_members(before, latest_members(good), run_ts), "member_current", MEMBER_CURRENT, version, MEMBER_KEY
+        stages.merge_members(before, newest, run_ts), "member_current", MEMBER_CURRENT, version, MEMBER_KEY
     )
 
     changed = changed_keys(staged, "member_id")
@@ -128,51 +133,72 @@ def _members(lake: Lake, batch_id: str, contract: FeedContract, version: int, ru
     affected = sorted(row.country for row in touched.collect())  # at most one row per country
     lake.write_projection(project(after, "country", affected), "member_country", version, "country", affected)
 
-    rows = {row.is_valid: row["count"] for row in evaluated.groupBy("is_valid").count().collect()}
     counts = {
-        "member_lines": raw.count(),
-        "member_staged": rows.get(True, 0),
-        "member_rejected": rows.get(False, 0),
-        "member_conflicting": bad.count(),
+        "member_lines": line_count,
+        "member_staged": seen["valid"],
+        "member_rejected": seen["rows"] - seen["valid"],
+        "member_conflicting": clashing["rows"],
     }
     return counts, after
 
 
-def _redemptions(lake: Lake, batch_id: str, version: int, run_ts, members: DataFrame) -> dict[str, int]:
-    raw = raw_redemption(loaded_lines(lake.spark, raw_root(lake, "redemption"), batch_id))
-    staged = lake.write_batch(flatten_redemptions(raw), "redemption_staging", REDEMPTION_STAGING, version, batch_id)
-    evaluated = lake.write_batch(
+def _stage_redemptions(lake: Lake, landing: str, batch_id: str, source: FeedSource, version: int) -> DataFrame:
+    root = raw_root(lake, "redemption")
+    load_feed(lake.spark, landing, root, source.folder, batch_id, source.pattern, json=True)
+    lines, _ = loaded_lines(lake.spark, root, batch_id)
+    flattened = flatten_redemptions(raw_redemption(lines))
+    return lake.write_batch(flattened, "redemption_staging", REDEMPTION_STAGING, version, batch_id)[0]
+
+
+def _redemptions(
+    lake: Lake, batch_id: str, version: int, run_ts: Column, staged: DataFrame, members: DataFrame
+) -> dict[str, int]:
+    evaluated, seen = lake.write_batch(
         stages.evaluate_redemptions(staged, members),
         "redemption_evaluated",
         REDEMPTION_EVALUATED,
         version,
         batch_id,
-        "is_valid",
-    )
-    lake.write_entity(
-        stages.merge_redemptions(read_redemption(lake), stages.accepted_redemptions(evaluated), run_ts),
-        "redemption",
-        REDEMPTION,
-        version,
-        REDEMPTION_KEY,
+        split_by="is_valid",
+        valid=F.count_if("is_valid"),
     )
-    rows = {row.is_valid: row["count"] for row in evaluated.groupBy("is_valid").count().collect()}
+    _curate(lake, stages.accepted_redemptions(evaluated), seen["valid"], version, run_ts)
     return {
-        "redemption_flattened": staged.count(),
-        "redemption_accepted": rows.get(True, 0),
-        "redemption_rejected": rows.get(False, 0),
+        "redemption_flattened": seen["rows"],
+        "redemption_accepted": seen["valid"],
+        "redemption_rejected": seen["rows"] - seen["valid"],
     }
 
 
+def _curate(lake: Lake, accepted: DataFrame, accepted_rows: int, version: int, run_ts: Column) -> None:
+    """Upsert a batch into the curated transactions.
+
+    These grow without end, so a batch must not rewrite them all. Changes since
+    the last full write are kept in a slot of their own, which a batch rewrites,
+    and are folded into the base when they outgrow a share of it.
+    """
+    base, recent = (lake.read_entity("redemption", REDEMPTION, REDEMPTION_KEY, slot) for slot in (BASE, RECENT))
+    if recent is None:
+        accepted = lake.in_buckets(accepted, REDEMPTION_KEY)
+    changes = stages.merge_redemptions(recent, accepted, run_ts)
+    changed_rows = lake.row_count("redemption", RECENT) + accepted_rows
+    if base is not None and changed_rows <= FOLD_SHARE * lake.row_count("redemption", BASE):
+        lake.write_entity(changes, "redemption", REDEMPTION, version, REDEMPTION_KEY, RECENT)
+    else:
+        folded = stages.merge_redemptions(base, changes)
+        lake.write_entity(folded, "redemption", REDEMPTION, version, REDEMPTION_KEY, BASE)
+        lake.empty_slot("redemption", RECENT, version)
+
+
 # -- published tables ------------------------------------------------------------
 
 
 def read_raw_member(lake: Lake, batch_id: str) -> DataFrame:
-    return raw_member(loaded_lines(lake.spark, raw_root(lake, "member"), batch_id))
+    return raw_member(loaded_lines(lake.spark, raw_root(lake, "member"), batch_id)[0])
 
 
 def read_raw_redemption(lake: Lake, batch_id: str) -> DataFrame:
-    return raw_redemption(loaded_lines(lake.spark, raw_root(lake, "redemption"), batch_id))
+    return raw_redemption(loaded_lines(lake.spark, raw_root(lake, "redemption"), batch_id)[0])
 
 
 def read_member_evaluated(lake: Lake) -> DataFrame:
@@ -187,8 +213,9 @@ def read_dq_quarantine(lake: Lake) -> DataFrame:
     return stages.member_quarantine(read_member_evaluated(lake), lake.read("conflicting_members", DQ_QUARANTINE))
 
 
-def read_member_current(lake: Lake) -> DataFrame | None:
-    return lake.read_entity("member_current", MEMBER_CURRENT, MEMBER_KEY)
+def read_member_current(lake: Lake) -> DataFrame:
+    held = lake.read_entity("member_current", MEMBER_CURRENT, MEMBER_KEY)
+    return lake.spark.createDataFrame([], MEMBER_CURRENT) if held is None else held
 
 
 def read_member_countries(lake: Lake) -> DataFrame:
@@ -208,8 +235,11 @@ def read_redemption_quarantine(lake: Lake) -> DataFrame:
     return stages.redemption_quarantine(read_redemption_evaluated(lake))
 
 
-def read_redemption(lake: Lake) -> DataFrame | None:
-    return lake.read_entity("redemption", REDEMPTION, REDEMPTION_KEY)
+def read_redemption(lake: Lake) -> DataFrame:
+    base, recent = (lake.read_entity("redemption", REDEMPTION, REDEMPTION_KEY, slot) for slot in (BASE, RECENT))
+    if base is None:
+        return lake.spark.createDataFrame([], REDEMPTION)
+    return base if recent is None else stages.merge_redemptions(base, recent)
 
 
 def suite(lake: Lake) -> DataFrame:

@@ -79,7 +79,7 @@ def land(lines: DataFrame, folder: str, batch_id: str, target: str, json: bool =
     watch = None
     if json:
         lines = lines.where(F.trim("raw_text") != "")
-        watch = Observation("landing")
+        watch = Observation()
         lines = lines.observe(watch, F.count_if(F.try_parse_json("raw_text").isNull()).alias("malformed"))
     landed = lines.select(
         "raw_text",
@@ -93,8 +93,11 @@ def land(lines: DataFrame, folder: str, batch_id: str, target: str, json: bool =
     return target
 
 
-def index_splits(spark: SparkSession, target: str) -> None:
-    """Write one row per split of the landed lines: its first row id, and the lines its file has before it."""
+def index_splits(spark: SparkSession, target: str) -> tuple[int, int]:
+    """Write one row per split of the landed lines: its first row id, and the lines its file has before it.
+
+    Returns the number of splits and of lines.
+    """
     landed = spark.read.schema(_LINES_DDL).parquet(f"{target}/{LINES}")
     splits = landed.groupBy("source_file_name", "split_start").agg(
         F.min("row_id").alias("first_id"), F.count("*").alias("line_count")
@@ -109,7 +112,12 @@ def index_splits(spark: SparkSession, target: str) -> None:
         F.coalesce(F.sum("line_count").over(earlier), F.lit(0)).alias("lines_before"),
         F.localtimestamp().alias("ingestion_timestamp"),
     )
+    sizes = Observation()
+    indexed = indexed.observe(
+        sizes, F.count("*").alias("splits"), F.coalesce(F.sum("line_count"), F.lit(0)).alias("lines")
+    )
     indexed.write.mode("overwrite").parquet(f"{target}/{SPLITS}")
+    return sizes.get["splits"], sizes.get["lines"]
 
 
 def _numbered(lines: DataFrame, splits: DataFrame, split_count: int, batch_id: str) -> DataFrame:
@@ -125,14 +133,14 @@ def _numbered(lines: DataFrame, splits: DataFrame, split_count: int, batch_id: s
     )
 
 
-def landed_lines(spark: SparkSession, batch_id: str, targets: list[str]) -> DataFrame:
+def landed_lines(spark: SparkSession, batch_id: str, targets: list[str], split_count: int) -> DataFrame:
     """Lines of the given landings with their number in the file."""
     splits = spark.read.schema(_SPLITS_DDL).parquet(*(f"{target}/{SPLITS}" for target in targets))
     lines = spark.read.schema(_LINES_DDL).parquet(*(f"{target}/{LINES}" for target in targets))
-    return _numbered(lines, splits, splits.count(), batch_id)
+    return _numbered(lines, splits, split_count, batch_id)
 
 
-def first_lines(spark: SparkSession, batch_id: str, target: str) -> DataFrame:
+def first_lines(spark: SparkSession, batch_id: str, target: str, split_count: int) -> DataFrame:
     """The first line of every landed file, in the shape of the raw member table.
 
     Only row groups that hold the first split of a file are read.
@@ -140,7 +148,7 @@ def first_lines(spark: SparkSession, batch_id: str, target: str) -> DataFrame:
     start = F.col("split_start") == 0
     splits = spark.read.schema(_SPLITS_DDL).parquet(f"{target}/{SPLITS}").where(start)
     lines = spark.read.schema(_LINES_DDL).parquet(f"{target}/{LINES}").where(start)
-    return raw_member(_numbered(lines, splits, splits.count(), batch_id).where("source_row_number = 1"))
+    return raw_member(_numbered(lines, splits, split_count, batch_id).where("source_row_number = 1"))
 
 
 def raw_member(lines: DataFrame) -> DataFrame:
@@ -161,8 +169,8 @@ def _ingest(
     folder = path.rstrip("/").rsplit("/", 1)[-1]
     target = new_folder(spark, f"landing-{folder}-{batch_id}")
     land(text_lines(spark.read, f"{path}/{batch_id}", pattern, whole_file), folder, batch_id, target, json)
-    index_splits(spark, target)
-    return landed_lines(spark, batch_id, [target])
+    split_count, _ = index_splits(spark, target)
+    return landed_lines(spark, batch_id, [target], split_count)
 
 
 def ingest_lines(spark: SparkSession, path: str, batch_id: str, pattern: str = ".*") -> DataFrame:
@@ -185,33 +193,26 @@ def ingest_summary(raw: DataFrame) -> DataFrame:
     return raw.groupBy("batch_id", "source_file_name").agg(F.count("*").alias("row_count"))
 
 
-def require_files(raw: DataFrame, batch_id: str) -> None:
-    """Raise if the batch has no line at all."""
-    if raw.isEmpty():
-        raise NoFilesError(f"no feed file found for batch {batch_id}")
-
-
 def landing_folder(root: str, batch_id: str, load: int) -> str:
     return f"{root}/batch_id={batch_id}/load={load}"
 
 
-def note_load(spark: SparkSession, root: str, batch_id: str, load: int) -> None:
-    """Make a complete load visible."""
-    noted = spark.createDataFrame([(batch_id, load)], "batch_id string, load bigint")
-    noted.coalesce(1).write.mode("append").json(f"{root}/loads")
+_LOADS_DDL = "batch_id string, load bigint, split_count bigint, line_count bigint"
 
 
-def noted_loads(spark: SparkSession, root: str, batch_id: str) -> list[str]:
-    """Landing folders of the visible loads of a batch."""
-    loads = read_or_empty(spark, "json", f"{root}/loads", "batch_id string, load bigint")
-    rows = loads.where(F.col("batch_id") == batch_id).distinct().orderBy("load").collect()
-    return [landing_folder(root, batch_id, row.load) for row in rows]
+def note_load(spark: SparkSession, root: str, batch_id: str, load: int, split_count: int, line_count: int) -> None:
+    """Make a complete load visible."""
+    noted = spark.createDataFrame([(batch_id, load, split_count, line_count)], _LOADS_DDL)
+    noted.coalesce(1).write.mode("append").json(f"{root}/loads")
 
 
-def loaded_lines(spark: SparkSession, root: str, batch_id: str) -> DataFrame:
-    """All visible numbered lines of a batch; empty if nothing was loaded."""
-    targets = noted_loads(spark, root, batch_id)
-    if targets:
-        return landed_lines(spark, batch_id, targets)
-    none = spark.createDataFrame([], _LINES_DDL), spark.createDataFrame([], _SPLITS_DDL)
-    return _numbered(*none, 0, batch_id)
+def loaded_lines(spark: SparkSession, root: str, batch_id: str) -> tuple[DataFrame, int]:
+    """All visible numbered lines of a batch, and how many there are."""
+    # A load that was repeated after a failure may be noted twice.
+    noted = read_or_empty(spark, "json", f"{root}/loads", _LOADS_DDL).where(F.col("batch_id") == batch_id).collect()
+    loads = {row.load: row for row in noted}
+    if not loads:
+        return _numbered(spark.createDataFrame([], _LINES_DDL), spark.createDataFrame([], _SPLITS_DDL), 0, batch_id), 0
+    targets = [landing_folder(root, batch_id, load) for load in sorted(loads)]
+    lines = landed_lines(spark, batch_id, targets, sum(row.split_count for row in loads.values()))
+    return lines, sum(row.line_count for row in loads.values())

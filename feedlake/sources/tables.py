@@ -1,11 +1,11 @@
 """Versioned tables: every run writes new folders, one appended record publishes them all.
 
 Files of a published version are never changed. A batch table holds one slot per
-batch, a projection one slot per partition value, an entity table a single slot
-that is hash-bucketed by its key, so that the next run joins to it without
-shuffling it. A run writes the slots it replaces under a new version number and
-then appends one commit file that names them; readers follow the latest commit
-of each slot, so they see all of a run or nothing. One run at a time may write.
+batch, a projection one slot per partition value. Slots of an entity table are
+hash-bucketed by its key, so that the next run joins to them without shuffling
+them. A run writes the slots it replaces under a new version number and then
+appends one commit file that names them; readers follow the latest commit of
+each slot, so they see all of a run or nothing. One run at a time may write.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.schemas import column_names
@@ -45,6 +45,7 @@ class Lake:
     root: str
     buckets: int | None = None
     _pending: list[Slot] = field(default_factory=list)
+    _published: dict[str, list[Slot]] | None = None
 
     def __post_init__(self) -> None:
         self.root = self.root.rstrip("/")
@@ -53,18 +54,28 @@ class Lake:
 
     # -- commits ---------------------------------------------------------------
 
-    def _commits(self) -> DataFrame:
-        return read_or_empty(self.spark, "json", f"{self.root}/control/commits", _COMMITS_DDL)
-
-    def next_version(self) -> int:
-        last = self._commits().agg(F.max("version")).first()[0]
-        return (last or 0) + 1
+    def published(self) -> dict[str, list[Slot]]:
+        """Latest published version of every slot of every table."""
+        if self._published is None:
+            commits = read_or_empty(self.spark, "json", f"{self.root}/control/commits", _COMMITS_DDL)
+            newest = F.max_by(F.struct("version", "row_count", "buckets"), F.col("version")).alias("s")
+            rows = commits.groupBy("table_name", "slot").agg(newest).collect()
+            tables: dict[str, list[Slot]] = {}
+            for row in sorted(rows, key=lambda row: row.slot):
+                slot = Slot(row.table_name, row.slot, row.s.version, row.s.row_count, row.s.buckets)
+                tables.setdefault(row.table_name, []).append(slot)
+            self._published = tables
+        return self._published
 
     def slots(self, table: str) -> list[Slot]:
-        """Latest published version of every slot of a table."""
-        newest = F.max_by(F.struct("version", "row_count", "buckets"), F.col("version")).alias("s")
-        rows = self._commits().where(F.col("table_name") == table).groupBy("slot").agg(newest).orderBy("slot").collect()
-        return [Slot(table, row.slot, row.s.version, row.s.row_count, row.s.buckets) for row in rows]
+        return self.published().get(table, [])
+
+    def refresh(self) -> None:
+        """Look at the commits anew, as another process may have published."""
+        self._published = None
+
+    def next_version(self) -> int:
+        return 1 + max((slot.version for slots in self.published().values() for slot in slots), default=0)
 
     def commit(self, batch_id: str) -> None:
         """Publish everything written since the last commit, by one appended file."""
@@ -75,6 +86,7 @@ class Lake:
         log = self.spark.createDataFrame(rows, ddl).withColumn("committed_at", F.localtimestamp())
         log.coalesce(1).write.mode("append").json(f"{self.root}/control/commits")
         self._pending.clear()
+        self.refresh()
 
     def discard(self) -> None:
         """Forget what was written since the last commit; its folders are overwritten by the next run."""
@@ -87,23 +99,47 @@ class Lake:
         return f"{path}/{slot}" if slot else path
 
     def write_batch(
-        self, df: DataFrame, table: str, ddl: str, version: int, batch_id: str, split_by: str | None = None
-    ) -> DataFrame:
-        """Replace the slot of a batch, also by nothing; returns what was written."""
+        self,
+        df: DataFrame,
+        table: str,
+        ddl: str,
+        version: int,
+        batch_id: str,
+        split_by: str | None = None,
+        **counts: Column,
+    ) -> tuple[DataFrame, dict[str, int]]:
+        """Replace the slot of a batch, also by nothing; returns what was written and counts of it.
+
+        Rows, and whatever else `counts` asks for, are counted while they are written.
+        """
         slot = f"batch_id={batch_id}"
         path = self._path(table, version, slot)
-        writer = df.select([name for name in column_names(ddl) if name != "batch_id"]).write.mode("overwrite")
+        seen = Observation()
+        df = df.select([name for name in column_names(ddl) if name != "batch_id"])
+        df = df.observe(seen, F.count("*").alias("rows"), *(count.alias(name) for name, count in counts.items()))
+        writer = df.write.mode("overwrite")
         (writer.partitionBy(split_by) if split_by else writer).parquet(path)
-        written = self._read([path], table, ddl)
-        self._pending.append(Slot(table, slot, version, written.count()))
-        return written
+        self._pending.append(Slot(table, slot, version, seen.get["rows"]))
+        return self._read([path], table, ddl), seen.get
 
-    def write_entity(self, df: DataFrame, table: str, ddl: str, version: int, keys: list[str]) -> DataFrame:
-        """Replace the whole of an entity table, bucketed and sorted by its key; returns what was written."""
-        path = self._path(table, version)
+    def in_buckets(self, df: DataFrame, keys: list[str]) -> DataFrame:
+        """`df` shuffled so that each task writes one bucket, and joins to a bucketed slot as it is."""
+        return df.repartition(self.buckets, *keys)
+
+    def write_entity(
+        self, df: DataFrame, table: str, ddl: str, version: int, keys: list[str], slot: str = WHOLE
+    ) -> DataFrame:
+        """Replace a slot of an entity table, bucketed and sorted by its key; returns what was written.
+
+        `df` should come out of a join with a bucketed slot, or of `in_buckets`;
+        otherwise every task writes a file for every bucket.
+        """
+        path = self._path(table, version, slot)
         name = self._unused_name()
+        seen = Observation()
         (
             df.select(column_names(ddl))
+            .observe(seen, F.count("*").alias("rows"))
             .write.bucketBy(self.buckets, *keys)
             .sortBy(*keys)
             .option("path", path)
@@ -112,7 +148,7 @@ class Lake:
         )
         written = self.spark.table(name)
         self.spark.sql(f"DROP TABLE {name}")
-        self._pending.append(Slot(table, WHOLE, version, written.count(), self.buckets))
+        self._pending.append(Slot(table, slot, version, seen.get["rows"], self.buckets))
         return written
 
     def write_projection(self, df: DataFrame, table: str, version: int, by: str, affected: list[str]) -> None:
@@ -123,11 +159,13 @@ class Lake:
         """
         if not affected:
             return
-        path = self._path(table, version)
-        df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(path)
-        counted = df.sparkSession.read.schema(df.schema).parquet(path).groupBy(by).count().collect()
-        sizes = {row[by]: row["count"] for row in counted}
-        self._pending.extend(Slot(table, f"{by}={value}", version, sizes.get(value, 0)) for value in affected)
+        seen = Observation()
+        sizes = [F.count_if(F.col(by) == value).alias(f"n{index}") for index, value in enumerate(affected)]
+        spread = df.hint("rebalance", by).observe(seen, *sizes)
+        spread.write.mode("overwrite").partitionBy(by).parquet(self._path(table, version))
+        self._pending.extend(
+            Slot(table, f"{by}={value}", version, seen.get[f"n{index}"]) for index, value in enumerate(affected)
+        )
 
     # -- reading ---------------------------------------------------------------
 
@@ -143,20 +181,28 @@ class Lake:
         paths = [self._path(table, s.version, s.slot) for s in found if s.row_count]
         return self._read(paths, table, ddl) if paths else self.spark.createDataFrame([], ddl)
 
-    def read_entity(self, table: str, ddl: str, keys: list[str]) -> DataFrame | None:
-        """Published entity table with its bucketing, or None before its first run."""
-        found = self.slots(table)
+    def read_entity(self, table: str, ddl: str, keys: list[str], slot: str = WHOLE) -> DataFrame | None:
+        """A published slot of an entity table with its bucketing, or None if it has no rows."""
+        found = [s for s in self.slots(table) if s.slot == slot and s.row_count]
         if not found:
             return None
         name, on = self._unused_name(), ", ".join(keys)
         self.spark.sql(
             f"CREATE TABLE {name} ({ddl}) USING parquet CLUSTERED BY ({on}) SORTED BY ({on})"
-            f" INTO {found[0].buckets} BUCKETS LOCATION '{self._path(table, found[0].version)}'"
+            f" INTO {found[0].buckets} BUCKETS LOCATION '{self._path(table, found[0].version, slot)}'"
         )
         published = self.spark.table(name)
         self.spark.sql(f"DROP TABLE {name}")
         return published
 
+    def row_count(self, table: str, slot: str = WHOLE) -> int:
+        """Published rows of a slot."""
+        return sum(s.row_count for s in self.slots(table) if s.slot == slot)
+
+    def empty_slot(self, table: str, slot: str, version: int) -> None:
+        """Replace a slot by nothing."""
+        self._pending.append(Slot(table, slot, version, 0))
+
     @staticmethod
     def _unused_name() -> str:
         return f"feedlake_{uuid.uuid4().hex}"

@@ -62,20 +62,20 @@ def load_feed(
     batch_id: str,
     pattern: str,
     json: bool = False,
-    check: Callable[[str], None] | None = None,
+    check: Callable[[str, int], None] | None = None,
 ) -> int:
     """Load the new files of one feed and batch into RAW; returns how many loads ran.
 
-    `check` gets the folder of the landed lines before they become visible and
-    may raise; then nothing of the load does.
+    `check` gets the folder of the landed lines and their number of splits before
+    they become visible, and may raise; then nothing of the load does.
     """
 
     def sink(batch: DataFrame, load: int) -> None:
         target = land(batch, folder, batch_id, landing_folder(raw_root, batch_id, load), json)
-        index_splits(batch.sparkSession, target)
+        split_count, line_count = index_splits(batch.sparkSession, target)
         if check:
-            check(target)
-        note_load(batch.sparkSession, raw_root, batch_id, load)
+            check(target, split_count)
+        note_load(batch.sparkSession, raw_root, batch_id, load, split_count, line_count)
 
     return ingest_new(
         spark, f"{landing}/{folder}/{batch_id}", f"{raw_root}/checkpoints/{batch_id}", sink, pattern

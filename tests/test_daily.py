@@ -171,6 +171,44 @@ def test_only_rejected_rows(lake, landing):
     require_passed(daily.suite(lake))
 
 
+def test_small_changes_leave_the_curated_base_alone(lake, landing):
+    many = [document("1", D1, [txn(f"T{n}", status="PENDING") for n in range(40)])]
+    deliver(landing, D1, [line()], many)
+    run_batch(lake, landing, D1)
+    first = {r.txn_id: r.loaded_at for r in daily.read_redemption(lake).collect()}
+    base = {s.slot: s for s in lake.slots("redemption")}["base"]
+
+    deliver(landing, D2, [line()], [document("1", D2, [txn("T0"), txn("new")])])
+    run_batch(lake, landing, D2)
+    assert {s.slot: (s.version, s.row_count) for s in lake.slots("redemption")} == {
+        "base": (base.version, 40), "recent": (2, 2)}
+    rows = {r.txn_id: r for r in daily.read_redemption(lake).collect()}
+    assert len(rows) == 41
+    assert (rows["T0"].status, rows["T0"].batch_id, rows["T0"].loaded_at) == ("COMPLETED", D2, first["T0"])
+    assert (rows["T1"].status, rows["T1"].batch_id) == ("PENDING", D1)
+    loaded = rows["new"].loaded_at
+    assert loaded > first["T0"]
+    require_passed(daily.suite(lake))
+
+    deliver(landing, D3, [line()], [document("1", D3, [txn("T0", status="CANCELLED"), *(txn(f"N{n}") for n in range(9))])])
+    run_batch(lake, landing, D3)  # now the changes are worth folding in
+    assert {s.slot: (s.version, s.row_count) for s in lake.slots("redemption")} == {"base": (3, 50), "recent": (3, 0)}
+    rows = {r.txn_id: r for r in daily.read_redemption(lake).collect()}
+    assert (rows["T0"].status, rows["T0"].loaded_at) == ("CANCELLED", first["T0"])
+    assert rows["new"].loaded_at == loaded and rows["N1"].batch_id == D3
+    require_passed(daily.suite(lake))
+
+
+def test_each_bucket_is_one_file(spark, lake, landing):
+    from pathlib import Path
+
+    deliver(landing, D1, [line(member=str(n)) for n in range(200)], [document("1", D1, [txn(f"T{n}") for n in range(200)])])
+    run_batch(lake, landing, D1)
+    for table in ("member_current", "redemption"):
+        files = [p.name for p in Path(lake.root, "tables", table).rglob("*.parquet")]
+        assert len(files) == lake.buckets
+
+
 def test_no_redemption_file(lake, landing):
     deliver(landing, D1, [line()])
     assert run_batch(lake, landing, D1)["redemption_flattened"] == 0

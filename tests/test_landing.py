@@ -9,7 +9,6 @@ from feedlake.schemas import MEMBER_CONTRACT, ContractError
 from feedlake.sources import landing
 from feedlake.sources.landing import (
     MalformedDocumentError,
-    NoFilesError,
     first_lines,
     index_splits,
     ingest_json,
@@ -18,7 +17,6 @@ from feedlake.sources.landing import (
     land,
     loaded_lines,
     raw_member,
-    require_files,
     text_lines,
 )
 from feedlake.streaming.load_once import ingest_new, load_feed
@@ -79,9 +77,7 @@ def test_files_are_chosen_by_pattern_and_day(spark, folder):
 
 def test_no_lines(spark, folder):
     (folder / "empty.csv").write_text("")
-    raw = ingest_lines(spark, str(folder.parent), DAY)
-    with pytest.raises(NoFilesError, match=DAY):
-        require_files(raw, DAY)
+    assert ingest_lines(spark, str(folder.parent), DAY).isEmpty()
 
 
 def test_bad_batch_id_is_refused(spark, folder):
@@ -116,8 +112,9 @@ def test_first_lines_reads_only_heads(spark, folder, small_splits, tmp_path):
         (folder / f"{name}.csv").write_text("".join(f"|{name}|{n}\n" for n in range(1, 40_000)))
     target = str(tmp_path / "landed")
     land(text_lines(spark.read, str(folder), ".*"), "member", DAY, target)
-    index_splits(spark, target)
-    heads = first_lines(spark, DAY, target)
+    split_count, line_count = index_splits(spark, target)
+    assert split_count > 2 and line_count == 2 * 39_999
+    heads = first_lines(spark, DAY, target, split_count)
     assert sorted(r.raw_record for r in heads.collect()) == ["|a|1", "|b|1"]
     assert "EqualTo(split_start,0)" in heads._jdf.queryExecution().executedPlan().toString()
 
@@ -154,7 +151,10 @@ def test_files_are_loaded_once(spark, folder, tmp_path):
         return load_feed(spark, landing_root, raw_root, "member", DAY, r".*\.csv")
 
     def visible():
-        return sorted(r.raw_record for r in raw_member(loaded_lines(spark, raw_root, DAY)).collect())
+        lines, count = loaded_lines(spark, raw_root, DAY)
+        records = sorted(r.raw_record for r in raw_member(lines).collect())
+        assert len(records) == count
+        return records
 
     assert load() == 0 and visible() == []
     (folder / "a.csv").write_text("|D|1\n|D|2\n")
@@ -162,7 +162,7 @@ def test_files_are_loaded_once(spark, folder, tmp_path):
     assert load() == 0 and visible() == ["|D|1", "|D|2"]
     (folder / "b.csv").write_text("|D|3\n")
     assert load() == 1 and visible() == ["|D|1", "|D|2", "|D|3"]
-    numbers = {(r.source_file_name[-5:], r.source_row_number) for r in loaded_lines(spark, raw_root, DAY).collect()}
+    numbers = {(r.source_file_name[-5:], r.source_row_number) for r in loaded_lines(spark, raw_root, DAY)[0].collect()}
     assert numbers == {("a.csv", 1), ("a.csv", 2), ("b.csv", 1)}
 
 
@@ -170,15 +170,15 @@ def test_a_failed_load_is_invisible_and_repeated(spark, folder, tmp_path):
     landing_root, raw_root = str(tmp_path), str(tmp_path / "raw")
     (folder / "a.csv").write_text("|D|1\n")
 
-    def refuse(target):
+    def refuse(target, split_count):
         raise ContractError("not today")
 
     with pytest.raises(ContractError, match="not today"):
         load_feed(spark, landing_root, raw_root, "member", DAY, ".*", check=refuse)
-    assert loaded_lines(spark, raw_root, DAY).count() == 0
+    assert loaded_lines(spark, raw_root, DAY)[1] == 0
     (folder / "a.csv").write_text("|D|1 mended\n")
     assert load_feed(spark, landing_root, raw_root, "member", DAY, ".*") == 1
-    assert [r.raw_text for r in loaded_lines(spark, raw_root, DAY).collect()] == ["|D|1 mended"]
+    assert [r.raw_text for r in loaded_lines(spark, raw_root, DAY)[0].collect()] == ["|D|1 mended"]
 
 
 def test_missing_folder_has_no_new_files(spark, tmp_path):
