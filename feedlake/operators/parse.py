@@ -41,17 +41,24 @@ def flatten_redemptions(raw: DataFrame) -> DataFrame:
     Documents whose `redemptions` is absent, null, empty or a scalar give no
     row. An object in place of the array gives one row per value.
     """
-    spark = raw.sparkSession
-    elements = raw.lateralJoin(
-        spark.tvf.variant_explode(F.try_variant_get(F.col("raw_record").outer(), "$.redemptions", "variant"))
+    # Document-level values are taken out first, so that no row carries the document along.
+    documents = raw.select(
+        "batch_id",
+        "source_file_name",
+        "source_row_number",
+        text_at(F.col("raw_record"), "$.member_id").alias("member_id"),
+        strict_date(text_at(F.col("raw_record"), "$.feed_date"), "yyyyMMdd").alias("feed_date"),
+        F.try_variant_get("raw_record", "$.redemptions", "variant").alias("redemptions"),
+        "ingestion_timestamp",
     )
+    elements = documents.lateralJoin(raw.sparkSession.tvf.variant_explode(F.col("redemptions").outer()))
     return elements.select(
         "batch_id",
         "source_file_name",
         "source_row_number",
         "pos",
-        text_at(F.col("raw_record"), "$.member_id").alias("member_id"),
-        strict_date(text_at(F.col("raw_record"), "$.feed_date"), "yyyyMMdd").alias("feed_date"),
+        "member_id",
+        "feed_date",
         text_at(F.col("value"), "$.txn_id").alias("txn_id"),
         strict_date(text_at(F.col("value"), "$.txn_date"), "yyyyMMdd").alias("txn_date"),
         text_at(F.col("value"), "$.partner").alias("partner"),

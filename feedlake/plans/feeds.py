@@ -86,12 +86,17 @@ REDEMPTION_DOCUMENT = f"""
 _feeds: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """A feed is input: it is written once per application and data folder, and read from there."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _feeds:
-        _feeds[key] = materialise(build(), f"feed-{name}")
-    return _feeds[key]
+def _once(spark: SparkSession, sf_dir: str, name: str, key: str, build) -> DataFrame:
+    """A feed is input: it is written once per application and data folder, and read from there.
+
+    A table that is one small file would make the feed one file too, which a
+    single task then reads; it is spread over the session's partitions.
+    """
+    place = (spark.sparkContext.applicationId, sf_dir, name)
+    if place not in _feeds:
+        spread = build().repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+        _feeds[place] = materialise(spread, f"feed-{name}")
+    return _feeds[place]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -118,11 +123,11 @@ def _redemption_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def member_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _once(spark, sf_dir, "member", lambda: _member_lines(spark, sf_dir))
+    return _once(spark, sf_dir, "member", "k", lambda: _member_lines(spark, sf_dir))
 
 
 def redemption_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _once(spark, sf_dir, "redemption", lambda: _redemption_documents(spark, sf_dir))
+    return _once(spark, sf_dir, "redemption", "o_orderkey", lambda: _redemption_documents(spark, sf_dir))
 
 
 def _stamped(df: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -40,11 +39,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, on whatever file system it names."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
 def read_or_empty(spark: SparkSession, fmt: str, path: str, ddl: str) -> DataFrame:
     """The files at `path`, or an empty frame of the same shape if there are none yet."""
-    try:
+    if exists(spark, path):
         return spark.read.format(fmt).schema(ddl).load(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], ddl)
+    return spark.createDataFrame([], ddl)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException, StreamingQueryException
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 
 from feedlake.sources.landing import index_splits, land, landing_folder, note_load, text_lines
+from feedlake.sources.scratch import exists
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -33,12 +34,9 @@ def ingest_new(
             raise
         loads.append(load)
 
-    try:
-        lines = text_lines(spark.readStream, path, pattern, whole_file)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not exists(spark, path):
         return 0
+    lines = text_lines(spark.readStream, path, pattern, whole_file)
     query = (
         lines.writeStream.foreachBatch(keep)
         .option("checkpointLocation", checkpoint)

@@ -23,6 +23,16 @@ def test_one_row_per_transaction(spark):
     assert [r.miles_redeemed for r in rows] == [Decimal(100), Decimal(13), Decimal(100)]
 
 
+def test_elements_do_not_carry_the_document(spark):
+    """A document with many transactions must not be copied once per transaction."""
+    df = flatten_redemptions(raw_json(spark, [document()]))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    generate = next(text for text in plan.splitlines() if "Generate variant_explode" in text)
+    kept = generate.split("], false, [")[0].split(", [")[-1]
+    assert "member_id" in kept and "redemptions" not in kept and "raw_record" not in kept
+    assert plan.count("parseJson") == 1
+
+
 @pytest.mark.parametrize(
     "text, count",
     [
