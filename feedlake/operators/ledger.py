@@ -11,6 +11,13 @@ from feedlake.schemas import ERROR_TEXT_LIMIT, LEDGER_EVENT
 from feedlake.sources.scratch import read_or_empty
 
 RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
+# Columns of the ledger that a run over whole folders has no single value for.
+UNFILLED = {
+    "source_file_name": "string",
+    "source_feed_timestamp": "timestamp_ntz",
+    "file_size_bytes": "bigint",
+    "file_checksum": "string",
+}
 
 
 def ledger_event(
@@ -46,6 +53,7 @@ def ledger_state(spark: SparkSession, path: str) -> DataFrame:
     return state.select(
         "batch_id",
         "feed_type",
+        *(F.lit(None).cast(kind).alias(name) for name, kind in UNFILLED.items()),
         F.col("last.status").alias("status"),
         "started_at",
         F.when(ended, F.col("last.event_at")).alias("completed_at"),

@@ -93,7 +93,7 @@ def _members(
     spark, root = lake.spark, raw_root(lake, "member")
 
     def check(target: str, split_count: int) -> None:
-        require_contract(first_lines(spark, batch_id, target, split_count), contract)
+        require_contract(first_lines(spark, root, target, split_count), contract)
 
     load_feed(spark, landing, root, source.folder, batch_id, source.pattern, check=check)
     lines, line_count = loaded_lines(spark, root, batch_id)
@@ -193,11 +193,11 @@ def _curate(lake: Lake, accepted: DataFrame, accepted_rows: int, version: int, r
 # -- published tables ------------------------------------------------------------
 
 
-def read_raw_member(lake: Lake, batch_id: str) -> DataFrame:
+def read_raw_member(lake: Lake, batch_id: str | None = None) -> DataFrame:
     return raw_member(loaded_lines(lake.spark, raw_root(lake, "member"), batch_id)[0])
 
 
-def read_raw_redemption(lake: Lake, batch_id: str) -> DataFrame:
+def read_raw_redemption(lake: Lake, batch_id: str | None = None) -> DataFrame:
     return raw_redemption(loaded_lines(lake.spark, raw_root(lake, "redemption"), batch_id)[0])
 
 
@@ -242,6 +242,31 @@ def read_redemption(lake: Lake) -> DataFrame:
     return base if recent is None else stages.merge_redemptions(base, recent)
 
 
+def create_views(lake: Lake) -> list[str]:
+    """Temporary views of everything published, one per table and one per country; returns their names.
+
+    The views show what is published at the time of the call.
+    """
+    routed = read_member_countries(lake)
+    views = {
+        "raw_member_feed": read_raw_member(lake),
+        "raw_redemption_feed": read_raw_redemption(lake),
+        "member_dq_evaluated": read_member_evaluated(lake),
+        "member_staging": read_member_staging(lake),
+        "dq_quarantine": read_dq_quarantine(lake),
+        "member_current": read_member_current(lake),
+        **{f"member_{country.lower()}": project(routed, "country", [country]) for country in COUNTRIES},
+        "redemption_staging": read_redemption_staging(lake),
+        "redemption_dq_evaluated": read_redemption_evaluated(lake),
+        "redemption_dq_quarantine": read_redemption_quarantine(lake),
+        "redemption": read_redemption(lake),
+        "batch_run": read_ledger(lake),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)
+
+
 def suite(lake: Lake) -> DataFrame:
     """All checks over the published tables."""
     staged = read_member_staging(lake)

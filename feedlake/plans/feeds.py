@@ -90,11 +90,11 @@ def _once(spark: SparkSession, sf_dir: str, name: str, key: str, build) -> DataF
     """A feed is input: it is written once per application and data folder, and read from there.
 
     A table that is one small file would make the feed one file too, which a
-    single task then reads; it is spread over the session's partitions.
+    single task then reads; it is spread over the cores.
     """
     place = (spark.sparkContext.applicationId, sf_dir, name)
     if place not in _feeds:
-        spread = build().repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+        spread = build().repartition(spark.sparkContext.defaultParallelism, key)
         _feeds[place] = materialise(spread, f"feed-{name}")
     return _feeds[place]
 

@@ -24,10 +24,10 @@ from feedlake.sources.scratch import new_folder, read_or_empty
 
 LINES = "lines"
 SPLITS = "splits"
-_LINES_DDL = "raw_text string, source_file_name string, split_start bigint, row_id bigint"
+_LINES_DDL = "raw_text string, source_file_name string, split_start bigint, row_id bigint, batch_id string"
 _SPLITS_DDL = (
     "source_file_name string, split_start bigint, first_id bigint, line_count bigint, lines_before bigint,"
-    " ingestion_timestamp timestamp_ntz"
+    " ingestion_timestamp timestamp_ntz, batch_id string"
 )
 # One row per split of some 128 MB: a register of this size stands for over 100 TB and takes some 200 MB.
 MAX_BROADCAST_SPLITS = 1_000_000
@@ -69,13 +69,16 @@ def relative_name(file_path: Column, folder: str, batch_id: str) -> Column:
     return F.regexp_extract(file_path, f"({re.escape(folder)}/{re.escape(batch_id)}/.*)$", 1)
 
 
+def landing_folder(root: str, batch_id: str, load: int) -> str:
+    return f"{root}/batch_id={batch_id}/load={load}"
+
+
 def land(lines: DataFrame, folder: str, batch_id: str, target: str, json: bool = False) -> str:
     """Write the lines of a load to `target`.
 
     With `json`, blank lines are skipped, and a line that is no JSON document
     fails the load. Lines are judged while they are written, in one pass.
     """
-    spark = lines.sparkSession
     watch = None
     if json:
         lines = lines.where(F.trim("raw_text") != "")
@@ -93,14 +96,21 @@ def land(lines: DataFrame, folder: str, batch_id: str, target: str, json: bool =
     return target
 
 
-def index_splits(spark: SparkSession, target: str) -> tuple[int, int]:
+def _read(spark: SparkSession, root: str, targets: list[str], part: str, ddl: str) -> DataFrame:
+    # The batch is read off the folder names; the declared type keeps it text.
+    reader = spark.read.schema(ddl).option("basePath", root)
+    return reader.parquet(*(f"{target}/{part}" for target in targets)).select(column_names(ddl))
+
+
+def index_splits(spark: SparkSession, root: str, target: str) -> tuple[int, int]:
     """Write one row per split of the landed lines: its first row id, and the lines its file has before it.
 
     Returns the number of splits and of lines.
     """
-    landed = spark.read.schema(_LINES_DDL).parquet(f"{target}/{LINES}")
-    splits = landed.groupBy("source_file_name", "split_start").agg(
-        F.min("row_id").alias("first_id"), F.count("*").alias("line_count")
+    splits = (
+        _read(spark, root, [target], LINES, _LINES_DDL)
+        .groupBy("source_file_name", "split_start")
+        .agg(F.min("row_id").alias("first_id"), F.count("*").alias("line_count"))
     )
     earlier = (
         Window.partitionBy("source_file_name")
@@ -120,35 +130,34 @@ def index_splits(spark: SparkSession, target: str) -> tuple[int, int]:
     return sizes.get["splits"], sizes.get["lines"]
 
 
-def _numbered(lines: DataFrame, splits: DataFrame, split_count: int, batch_id: str) -> DataFrame:
+def _numbered(lines: DataFrame, splits: DataFrame, split_count: int) -> DataFrame:
     if split_count <= MAX_BROADCAST_SPLITS:
         splits = F.broadcast(splits)
-    return lines.join(splits, ["source_file_name", "split_start"]).select(
+    return lines.join(splits, ["batch_id", "source_file_name", "split_start"]).select(
         "raw_text",
-        F.lit(batch_id).alias("batch_id"),
+        "batch_id",
         "source_file_name",
         (F.col("lines_before") + F.col("row_id") - F.col("first_id") + 1).alias("source_row_number"),
-        batch_date(F.lit(batch_id)).cast("timestamp_ntz").alias("source_feed_timestamp"),
+        batch_date(F.col("batch_id")).cast("timestamp_ntz").alias("source_feed_timestamp"),
         "ingestion_timestamp",
     )
 
 
-def landed_lines(spark: SparkSession, batch_id: str, targets: list[str], split_count: int) -> DataFrame:
+def landed_lines(spark: SparkSession, root: str, targets: list[str], split_count: int) -> DataFrame:
     """Lines of the given landings with their number in the file."""
-    splits = spark.read.schema(_SPLITS_DDL).parquet(*(f"{target}/{SPLITS}" for target in targets))
-    lines = spark.read.schema(_LINES_DDL).parquet(*(f"{target}/{LINES}" for target in targets))
-    return _numbered(lines, splits, split_count, batch_id)
+    lines = _read(spark, root, targets, LINES, _LINES_DDL)
+    return _numbered(lines, _read(spark, root, targets, SPLITS, _SPLITS_DDL), split_count)
 
 
-def first_lines(spark: SparkSession, batch_id: str, target: str, split_count: int) -> DataFrame:
+def first_lines(spark: SparkSession, root: str, target: str, split_count: int) -> DataFrame:
     """The first line of every landed file, in the shape of the raw member table.
 
     Only row groups that hold the first split of a file are read.
     """
     start = F.col("split_start") == 0
-    splits = spark.read.schema(_SPLITS_DDL).parquet(f"{target}/{SPLITS}").where(start)
-    lines = spark.read.schema(_LINES_DDL).parquet(f"{target}/{LINES}").where(start)
-    return raw_member(_numbered(lines, splits, split_count, batch_id).where("source_row_number = 1"))
+    lines = _read(spark, root, [target], LINES, _LINES_DDL).where(start)
+    splits = _read(spark, root, [target], SPLITS, _SPLITS_DDL).where(start)
+    return raw_member(_numbered(lines, splits, split_count).where("source_row_number = 1"))
 
 
 def raw_member(lines: DataFrame) -> DataFrame:
@@ -167,10 +176,11 @@ def _ingest(
 ) -> DataFrame:
     check_batch_id(batch_id)
     folder = path.rstrip("/").rsplit("/", 1)[-1]
-    target = new_folder(spark, f"landing-{folder}-{batch_id}")
+    root = new_folder(spark, f"landing-{folder}")
+    target = landing_folder(root, batch_id, 0)
     land(text_lines(spark.read, f"{path}/{batch_id}", pattern, whole_file), folder, batch_id, target, json)
-    split_count, _ = index_splits(spark, target)
-    return landed_lines(spark, batch_id, [target], split_count)
+    split_count, _ = index_splits(spark, root, target)
+    return landed_lines(spark, root, [target], split_count)
 
 
 def ingest_lines(spark: SparkSession, path: str, batch_id: str, pattern: str = ".*") -> DataFrame:
@@ -193,10 +203,6 @@ def ingest_summary(raw: DataFrame) -> DataFrame:
     return raw.groupBy("batch_id", "source_file_name").agg(F.count("*").alias("row_count"))
 
 
-def landing_folder(root: str, batch_id: str, load: int) -> str:
-    return f"{root}/batch_id={batch_id}/load={load}"
-
-
 _LOADS_DDL = "batch_id string, load bigint, split_count bigint, line_count bigint"
 
 
@@ -206,13 +212,15 @@ def note_load(spark: SparkSession, root: str, batch_id: str, load: int, split_co
     noted.coalesce(1).write.mode("append").json(f"{root}/loads")
 
 
-def loaded_lines(spark: SparkSession, root: str, batch_id: str) -> tuple[DataFrame, int]:
-    """All visible numbered lines of a batch, and how many there are."""
+def loaded_lines(spark: SparkSession, root: str, batch_id: str | None = None) -> tuple[DataFrame, int]:
+    """Visible numbered lines of a batch, or of all, and how many there are."""
+    noted = read_or_empty(spark, "json", f"{root}/loads", _LOADS_DDL)
+    if batch_id is not None:
+        noted = noted.where(F.col("batch_id") == batch_id)
     # A load that was repeated after a failure may be noted twice.
-    noted = read_or_empty(spark, "json", f"{root}/loads", _LOADS_DDL).where(F.col("batch_id") == batch_id).collect()
-    loads = {row.load: row for row in noted}
+    loads = {(row.batch_id, row.load): row for row in noted.collect()}
     if not loads:
-        return _numbered(spark.createDataFrame([], _LINES_DDL), spark.createDataFrame([], _SPLITS_DDL), 0, batch_id), 0
-    targets = [landing_folder(root, batch_id, load) for load in sorted(loads)]
-    lines = landed_lines(spark, batch_id, targets, sum(row.split_count for row in loads.values()))
+        return _numbered(spark.createDataFrame([], _LINES_DDL), spark.createDataFrame([], _SPLITS_DDL), 0), 0
+    targets = [landing_folder(root, *key) for key in sorted(loads)]
+    lines = landed_lines(spark, root, targets, sum(row.split_count for row in loads.values()))
     return lines, sum(row.line_count for row in loads.values())

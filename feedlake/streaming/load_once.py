@@ -70,7 +70,7 @@ def load_feed(
 
     def sink(batch: DataFrame, load: int) -> None:
         target = land(batch, folder, batch_id, landing_folder(raw_root, batch_id, load), json)
-        split_count, line_count = index_splits(batch.sparkSession, target)
+        split_count, line_count = index_splits(batch.sparkSession, raw_root, target)
         if check:
             check(target, split_count)
         note_load(batch.sparkSession, raw_root, batch_id, load, split_count, line_count)

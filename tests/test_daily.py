@@ -115,6 +115,34 @@ def test_two_days(lake, landing):
     assert daily.read_raw_redemption(lake, D1).count() == 4
 
 
+def test_views_answer_sql(spark, lake, landing):
+    first_day(landing)
+    second_day(landing)
+    run_batch(lake, landing, D1)
+    run_batch(lake, landing, D2)
+    names = daily.create_views(lake)
+    assert {"member_usa", "member_sgp", "redemption", "batch_run"} <= set(names)
+
+    def one(sql):
+        return spark.sql(sql).first()[0]
+
+    assert one("select count(*) from (select member_id from member_current group by 1 having count(*) > 1)") == 0
+    assert one("select count(*) from member_current where member_id = '223457' and country = 'IND'"
+               " and source_feed_timestamp = timestamp_ntz'2026-09-27 00:00:00'") == 1
+    assert one("select (select count(*) from member_ind where member_id = '223457') * 10"
+               " + (select count(*) from member_usa where member_id = '223457')") == 10
+    union = " union all ".join(f"select member_id from {n}" for n in names if len(n) in (9, 10, 11) and n.startswith("member_"))
+    assert one(f"select count(*) from ({union})") == 4
+    assert one("select count(*) from (select txn_id from redemption group by 1 having count(*) > 1)") == 0
+    assert one("select dq_reason from redemption_dq_quarantine where txn_id = 'RX10093'") == "MEMBER_NOT_FOUND"
+    assert one(f"select (select count(*) from redemption_staging where batch_id = '{D2}')"
+               f" - (select count(*) from redemption where batch_id = '{D2}')"
+               f" - (select count(*) from redemption_dq_quarantine where batch_id = '{D2}')") == 0
+    assert {tuple(r) for r in spark.sql("select batch_id, count(*) from raw_member_feed group by 1").collect()} == {(D1, 10), (D2, 4)}
+    assert one("select count(*) from raw_redemption_feed") == 6
+    assert one("select string_agg(status, ',') from batch_run") == "SUCCESS,SUCCESS"
+
+
 def test_rerun_changes_nothing(lake, landing):
     first_day(landing)
     second_day(landing)

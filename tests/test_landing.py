@@ -110,11 +110,12 @@ def test_every_file_is_checked(spark, folder):
 def test_first_lines_reads_only_heads(spark, folder, small_splits, tmp_path):
     for name in "ab":
         (folder / f"{name}.csv").write_text("".join(f"|{name}|{n}\n" for n in range(1, 40_000)))
-    target = str(tmp_path / "landed")
+    root = str(tmp_path / "landed")
+    target = landing.landing_folder(root, DAY, 0)
     land(text_lines(spark.read, str(folder), ".*"), "member", DAY, target)
-    split_count, line_count = index_splits(spark, target)
+    split_count, line_count = index_splits(spark, root, target)
     assert split_count > 2 and line_count == 2 * 39_999
-    heads = first_lines(spark, DAY, target, split_count)
+    heads = first_lines(spark, root, target, split_count)
     assert sorted(r.raw_record for r in heads.collect()) == ["|a|1", "|b|1"]
     assert "EqualTo(split_start,0)" in heads._jdf.queryExecution().executedPlan().toString()
 
