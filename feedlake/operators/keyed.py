@@ -6,6 +6,10 @@ aggregation, which combines on the map side, and then joined to the rows in two
 parts: keys with very many rows by a broadcast of at most `MAX_HOT_KEYS` keys,
 so that their rows stay where they are, and all others by an ordinary join on
 the key. Where no key is hot, adaptive execution drops the first part.
+
+The broadcast is bounded in bytes too: a hot key is in at least `HOT_ROWS` rows,
+so all hot keys together take at most the size of the data divided by that,
+100 MB for 100 TB.
 """
 
 from __future__ import annotations

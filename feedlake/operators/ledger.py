@@ -30,7 +30,7 @@ def ledger_event(
     rows_rejected: int | None = None,
     error: str | None = None,
 ) -> None:
-    """Append one event; each is a file of its own, so that events never overwrite each other."""
+    """Append one event, timed in UTC; each is a file of its own, so that events never overwrite each other."""
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     text = None if error is None else error[:ERROR_TEXT_LIMIT]
     event = (batch_id, feed_type, status, now, rows_loaded, rows_rejected, text)

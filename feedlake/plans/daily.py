@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,8 +73,11 @@ def run_batch(
         run_ts = F.localtimestamp()
         # The feeds do not depend on each other until redemptions look members up.
         with ThreadPoolExecutor(2) as pool:
-            members = pool.submit(_members, lake, landing, batch_id, contract, member_source, version, run_ts)
-            staged = pool.submit(_stage_redemptions, lake, landing, batch_id, redemption_source, version)
+            inherit = inheritable_thread_target(spark)
+            members = pool.submit(
+                inherit(_members), lake, landing, batch_id, contract, member_source, version, run_ts
+            )
+            staged = pool.submit(inherit(_stage_redemptions), lake, landing, batch_id, redemption_source, version)
         counts, after = members.result()
         counts |= _redemptions(lake, batch_id, version, run_ts, staged.result(), after)
         lake.commit(batch_id)

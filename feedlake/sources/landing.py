@@ -51,7 +51,8 @@ def text_lines(reader, path: str, pattern: str, whole_file: bool = False) -> Dat
     reader = reader.format("text").option("recursiveFileLookup", "true").option("lineSep", "\n")
     if whole_file:
         reader = reader.option("wholetext", "true")
-    file_path = F.col("_metadata.file_path")
+    # The path comes as a URI, where only `+` stands for itself although decoding would make it a space.
+    file_path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     # Paths are matched as a whole; the filter on the path prunes the file list before anything is read.
     return (
         reader.load(path)

@@ -117,7 +117,7 @@ class Lake:
         seen = Observation()
         df = df.select([name for name in column_names(ddl) if name != "batch_id"])
         df = df.observe(seen, F.count("*").alias("rows"), *(count.alias(name) for name, count in counts.items()))
-        writer = df.write.mode("overwrite")
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         (writer.partitionBy(split_by) if split_by else writer).parquet(path)
         self._pending.append(Slot(table, slot, version, seen.get["rows"]))
         return self._read([path], table, ddl), seen.get
@@ -162,7 +162,8 @@ class Lake:
         seen = Observation()
         sizes = [F.count_if(F.col(by) == value).alias(f"n{index}") for index, value in enumerate(affected)]
         spread = df.hint("rebalance", by).observe(seen, *sizes)
-        spread.write.mode("overwrite").partitionBy(by).parquet(self._path(table, version))
+        writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(by).parquet(self._path(table, version))
         self._pending.extend(
             Slot(table, f"{by}={value}", version, seen.get[f"n{index}"]) for index, value in enumerate(affected)
         )
@@ -187,9 +188,11 @@ class Lake:
         if not found:
             return None
         name, on = self._unused_name(), ", ".join(keys)
+        path = self._path(table, found[0].version, slot).replace("\\", "\\\\").replace("'", "\\'")
+        # A table entry is how Spark learns of the bucketing; the plan keeps it when the entry is gone.
         self.spark.sql(
             f"CREATE TABLE {name} ({ddl}) USING parquet CLUSTERED BY ({on}) SORTED BY ({on})"
-            f" INTO {found[0].buckets} BUCKETS LOCATION '{self._path(table, found[0].version, slot)}'"
+            f" INTO {found[0].buckets} BUCKETS LOCATION '{path}'"
         )
         published = self.spark.table(name)
         self.spark.sql(f"DROP TABLE {name}")
@@ -205,4 +208,4 @@ class Lake:
 
     @staticmethod
     def _unused_name() -> str:
-        return f"feedlake_{uuid.uuid4().hex}"
+        return f"spark_catalog.default.feedlake_{uuid.uuid4().hex}"

@@ -2,7 +2,6 @@ import os
 import sys
 
 import pytest
-from pyspark.sql import SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -10,17 +9,16 @@ sys.path.insert(0, ROOT)
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = (
-        SparkSession.builder.master("local[8]")
-        .appName("feedlake-tests")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "6g")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
-        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
-        .getOrCreate()
-    )
-    session.sparkContext.setLogLevel("ERROR")
-    yield session
-    session.stop()
+    from feedlake.plans.session import session
+
+    settings = {
+        "spark.sql.shuffle.partitions": "4",
+        "spark.driver.memory": "6g",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint")),
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        "spark.ui.showConsoleProgress": "false",
+    }
+    started = session("local[8]", "feedlake-tests", **settings)
+    started.sparkContext.setLogLevel("ERROR")
+    yield started
+    started.stop()

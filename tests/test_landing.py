@@ -75,6 +75,13 @@ def test_files_are_chosen_by_pattern_and_day(spark, folder):
         (f"member/{DAY}/member_profile_feed.csv", "|D|yes"), (f"member/{DAY}/sub/member_profile_feed.csv", "|D|yes")}
 
 
+def test_odd_file_names(spark, folder):
+    name = "a b+c%20é'd.csv"
+    (folder / name).write_text("|D|1\n")
+    raw = ingest_lines(spark, str(folder.parent), DAY, r".*/a b\+c%20é'd\.csv")
+    assert [(r.source_file_name, r.source_row_number) for r in raw.collect()] == [(f"member/{DAY}/{name}", 1)]
+
+
 def test_no_lines(spark, folder):
     (folder / "empty.csv").write_text("")
     assert ingest_lines(spark, str(folder.parent), DAY).isEmpty()
