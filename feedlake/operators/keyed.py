@@ -38,7 +38,8 @@ def _same_key(keys: list[str]) -> Column:
 
 
 def _hot(stats: DataFrame, keys: list[str], rows: str, hot_rows: int) -> DataFrame:
-    # The key columns make the order total, so every evaluation picks the same keys.
+    # The key columns make the order total, so every evaluation picks the same keys. Keys past the limit
+    # are not lost: whatever is not picked here goes through the join on the key.
     return stats.where(F.col(rows) >= hot_rows).orderBy(F.desc(rows), *keys).limit(MAX_HOT_KEYS)
 
 

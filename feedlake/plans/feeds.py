@@ -26,10 +26,11 @@ FILE_SOURCES = {
 CUSTOMERS_PER_FILE = 1_000
 ORDERS_PER_FILE = 10_000
 
-# k: customer key, b: day, v: 0 the line itself, 1 a conflicting line, 2 an exact copy.
-MEMBER_ROWS = (
-    "(b = 20260926 or c_acctbal > 0) and (v = 0 or (v = 1 and k % 29 = 3) or (v = 2 and k % 31 = 4))"
-)
+# Who is delivered again on the second day, and whose lines are repeated within a day.
+MEMBER_AGAIN = "c_acctbal > 0"
+MEMBER_CONTRADICTED = "k % 29 = 3"
+MEMBER_COPIED = "k % 31 = 4"
+# k: customer key, b: day, v: 0 the line itself, 1 a contradicting line, 2 an exact copy.
 MEMBER_LINE = """
 '|' || case when k % 211 = 10 then 'X' else 'D' end
 || '|' || case when k % 97 = 5 then '' when k % 101 = 7 then repeat('N', 256) else c_name end
@@ -55,7 +56,7 @@ MEMBER_LINE = """
 HEADER = "|H|" + "|".join(MEMBER_CONTRACT.header)
 HEADER_VARIANTS = (HEADER, HEADER.replace("Tier_Code", "tier_code"), HEADER + "|Post_Code", HEADER.replace("|H|", "|D|"))
 
-REDEMPTION_ROWS = "b = 20260926 or o_orderstatus <> 'F'"
+REDEMPTION_AGAIN = "o_orderstatus <> 'F'"
 
 
 def _transaction(place: int) -> str:
@@ -103,20 +104,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _days(df: DataFrame) -> DataFrame:
-    return df.withColumn("b", F.explode(F.array(*(F.lit(int(day)) for day in BATCHES))))
+def _days(df: DataFrame, again: str) -> DataFrame:
+    first, second = (F.lit(int(day)) for day in BATCHES)
+    return df.withColumn("b", F.explode(F.when(F.expr(again), F.array(first, second)).otherwise(F.array(first))))
 
 
 def _member_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("k"), "c_name", "c_mktsegment", "c_acctbal"
     )
-    lines = _days(customers).withColumn("v", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).where(MEMBER_ROWS)
+    variants = F.array(F.lit(0), F.when(F.expr(MEMBER_CONTRADICTED), 1), F.when(F.expr(MEMBER_COPIED), 2))
+    lines = _days(customers, MEMBER_AGAIN).withColumn("v", F.explode(F.array_compact(variants)))
     return lines.select(F.col("b").cast("string").alias("batch_id"), "k", "v", F.expr(MEMBER_LINE).alias("raw_record"))
 
 
 def _redemption_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _days(table(spark, sf_dir, "orders")).where(REDEMPTION_ROWS)
+    documents = _days(table(spark, sf_dir, "orders"), REDEMPTION_AGAIN)
     return documents.select(
         F.col("b").cast("string").alias("batch_id"), "o_orderkey", F.expr(REDEMPTION_DOCUMENT).alias("raw_text")
     )

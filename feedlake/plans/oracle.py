@@ -9,13 +9,15 @@ from __future__ import annotations
 from feedlake.plans.feeds import (
     BATCHES,
     CUSTOMERS_PER_FILE,
+    HEADER,
     HEADER_VARIANTS,
+    MEMBER_AGAIN,
+    MEMBER_CONTRADICTED,
+    MEMBER_COPIED,
     MEMBER_LINE,
-    MEMBER_ROWS,
     ORDERS_PER_FILE,
+    REDEMPTION_AGAIN,
     REDEMPTION_DOCUMENT,
-    REDEMPTION_ROWS,
-    HEADER,
 )
 from feedlake.schemas import COUNTRIES, MEMBER_ATTRIBUTES
 
@@ -23,14 +25,20 @@ FIRST, SECOND = BATCHES
 ATTRIBUTES = ", ".join(MEMBER_ATTRIBUTES)
 DOMAIN = ", ".join(f"'{country}'" for country in COUNTRIES)
 
+
+
+def _days(again: str) -> str:
+    return f"unnest(case when {again} then [{FIRST}, {SECOND}] else [{FIRST}] end)"
+
+
 MEMBER_FEED = f"""
 member_feed as (
   select cast(b as varchar) as batch_id, k, v, k * 4 + v + 2 as source_row_number,
          'member/' || cast(b as varchar) || '/member_profile_feed.csv' as source_file_name,
          {MEMBER_LINE} as raw_record
-  from (select *, unnest([0, 1, 2]) as v
-        from (select c_custkey as k, c_name, c_mktsegment, c_acctbal, unnest([{FIRST}, {SECOND}]) as b from customer) c) c
-  where {MEMBER_ROWS}
+  from (select *, unnest([0] || case when {MEMBER_CONTRADICTED} then [1] else [] end
+                             || case when {MEMBER_COPIED} then [2] else [] end) as v
+        from (select c_custkey as k, c_name, c_mktsegment, c_acctbal, {_days(MEMBER_AGAIN)} as b from customer) c) c
 )"""
 
 
@@ -107,8 +115,7 @@ MEMBERS = (MEMBER_FEED, PARSED, JUDGED, STAGED, CLASHES, CLEAN, DAILY, CURRENT)
 REDEMPTION_FEED = f"""
 redemption_feed as (
   select cast(b as varchar) as batch_id, o_orderkey, o_orderkey + 1 as source_row_number, {REDEMPTION_DOCUMENT} as raw_text
-  from (select *, unnest([{FIRST}, {SECOND}]) as b from orders) o
-  where {REDEMPTION_ROWS}
+  from (select *, {_days(REDEMPTION_AGAIN)} as b from orders) o
 )"""
 FLATTENED = f"""
 flattened as (
@@ -189,6 +196,19 @@ REPEATED_REJECTS = """select 1 from redemptions where not is_valid
   group by batch_id, source_row_number, pos having count(*) > 1"""
 REPEATED = f"{DUPLICATE_TXNS.replace('select txn_id', 'select 1', 1)} union all {REPEATED_REJECTS}"
 
+FIRST_DAY_ROWS = {
+    "dq_quarantine": f"""select count(*) filter (where not is_valid)
+      + (select sum(key_rows) from clashes where batch_id = '{FIRST}') as n from judged where batch_id = '{FIRST}'""",
+    "member_country": f"select count(*) as n from daily where batch_id = '{FIRST}' and country in ({DOMAIN})",
+    "member_current": f"select count(*) as n from daily where batch_id = '{FIRST}'",
+    "member_staging": f"select count(*) as n from staged where batch_id = '{FIRST}'",
+    "raw_member": f"""select count(*) + (select count(distinct k // {CUSTOMERS_PER_FILE}) from member_feed) as n
+      from member_feed where batch_id = '{FIRST}'""",
+    "redemption": f"select count(*) as n from redemptions where batch_id = '{FIRST}' and is_valid",
+    "redemption_quarantine": f"select count(*) as n from redemptions where batch_id = '{FIRST}' and not is_valid",
+    "redemption_staging": f"select count(*) as n from flattened where batch_id = '{FIRST}'",
+}
+
 CURRENT_COLUMNS = f"member_id, {ATTRIBUTES}, batch_id, source_row_number"
 ROW = "batch_id, source_row_number"
 CURRENT_SELECT = f"select {CURRENT_COLUMNS} from current_members"
@@ -288,11 +308,8 @@ ORACLE: dict[str, str] = {
     "check_idempotent": _with(
         EVERYTHING,
         "\nunion all\n".join(
-            (
-                _verdict("idempotent", REPEATED),
-                _verdict("member_unique", DUPLICATE_MEMBERS),
-                _verdict("txn_unique", DUPLICATE_TXNS),
-            )
+            f"select '{name}' as table_name, cast(n as bigint) as rows_after_run, cast(n as bigint) as rows_after_rerun from ({sql}) t"
+            for name, sql in FIRST_DAY_ROWS.items()
         ),
     ),
     "check_suite": _with(
