@@ -30,13 +30,20 @@ def reroute(
     return survivors.unionByName(entering)
 
 
-def affected_partitions(states: Sequence[DataFrame], changed: DataFrame, key: str, by: str) -> DataFrame:
-    """Partitions that changed keys were or are in, over the given states."""
-    touched = [state.select(key, by).join(changed, key, "left_semi").select(by).distinct() for state in states]
-    result = touched[0]
-    for more in touched[1:]:
-        result = result.union(more)
-    return result.distinct()
+def affected_partitions(
+    before: DataFrame | None, after: DataFrame, key: str, by: str, compare: Sequence[str]
+) -> DataFrame:
+    """Partitions that lose, gain or update a row between two states; a row is updated if `compare` differs.
+
+    States that are bucketed by the key are compared without a shuffle.
+    """
+    if before is None:
+        return after.select(by).distinct()
+    old = before.select(key, F.struct(by, *compare).alias("_old"))
+    new = after.select(key, F.struct(by, *compare).alias("_new"))
+    differing = old.join(new, key, "full_outer").where(~F.col("_old").eqNullSafe(F.col("_new")))
+    places = F.array_compact(F.array(F.col(f"_old.{by}"), F.col(f"_new.{by}")))
+    return differing.select(F.explode(places).alias(by)).distinct()
 
 
 def movements(before: DataFrame, after: DataFrame, key: str, by: str) -> DataFrame:

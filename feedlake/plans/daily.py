@@ -13,12 +13,13 @@ from feedlake.operators.checks import check_suite
 from feedlake.operators.contract import require_contract
 from feedlake.operators.ledger import FAILED, RUNNING, SUCCESS, ledger_event, ledger_state
 from feedlake.operators.parse import flatten_redemptions
-from feedlake.operators.routing import affected_partitions, changed_keys, movements, project
+from feedlake.operators.routing import affected_partitions, movements, project
 from feedlake.operators.versions import conflicts, latest_members, split_conflicts
 from feedlake.plans import stages
 from feedlake.schemas import (
     COUNTRIES,
     DQ_QUARANTINE,
+    LINEAGE,
     MEMBER_ATTRIBUTES,
     MEMBER_CONTRACT,
     MEMBER_CURRENT,
@@ -99,7 +100,7 @@ def _members(
     def check(target: str, split_count: int) -> None:
         require_contract(first_lines(spark, root, target, split_count), contract)
 
-    load_feed(spark, landing, root, source.folder, batch_id, source.pattern, check=check)
+    load_feed(spark, landing, root, source, batch_id, check=check)
     lines, line_count = loaded_lines(spark, root, batch_id)
     if not line_count:
         raise NoFilesError(f"no member feed file found for batch {batch_id}")
@@ -131,10 +132,8 @@ def _members(
         stages.merge_members(before, newest, run_ts), "member_current", MEMBER_CURRENT, version, MEMBER_KEY
     )
 
-    changed = changed_keys(staged, "member_id")
-    states = [state for state in (before, after) if state is not None]
-    touched = affected_partitions(states, changed, "member_id", "country").where(F.col("country").isin(*COUNTRIES))
-    affected = sorted(row.country for row in touched.collect())  # at most one row per country
+    touched = affected_partitions(before, after, "member_id", "country", LINEAGE)
+    affected = sorted(row.country for row in touched.where(F.col("country").isin(*COUNTRIES)).collect())
     lake.write_projection(project(after, "country", affected), "member_country", version, "country", affected)
 
     counts = {
@@ -148,7 +147,7 @@ def _members(
 
 def _stage_redemptions(lake: Lake, landing: str, batch_id: str, source: FeedSource, version: int) -> DataFrame:
     root = raw_root(lake, "redemption")
-    load_feed(lake.spark, landing, root, source.folder, batch_id, source.pattern, json=True)
+    load_feed(lake.spark, landing, root, source, batch_id, json=True)
     lines, _ = loaded_lines(lake.spark, root, batch_id)
     flattened = flatten_redemptions(raw_redemption(lines))
     return lake.write_batch(flattened, "redemption_staging", REDEMPTION_STAGING, version, batch_id)[0]

@@ -98,10 +98,14 @@ MEMBER_CONTRACT = FeedContract.of(
 
 @dataclass(frozen=True)
 class FeedSource:
-    """Where a feed is delivered: `<landing>/<folder>/<batch_id>/`, files matching `pattern`."""
+    """Where a feed is delivered: `<landing>/<folder>/<batch_id>/`, files matching `pattern`.
+
+    With `whole_file`, each file is one document instead of one per line.
+    """
 
     folder: str
     pattern: str
+    whole_file: bool = False
 
 
 MEMBER_SOURCE = FeedSource("member", r".*member_profile_feed\.csv")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 
+from feedlake.schemas import FeedSource
 from feedlake.sources.landing import index_splits, land, landing_folder, note_load, text_lines
 from feedlake.sources.scratch import exists
 
@@ -56,9 +57,8 @@ def load_feed(
     spark: SparkSession,
     landing: str,
     raw_root: str,
-    folder: str,
+    source: FeedSource,
     batch_id: str,
-    pattern: str,
     json: bool = False,
     check: Callable[[str, int], None] | None = None,
 ) -> int:
@@ -69,12 +69,11 @@ def load_feed(
     """
 
     def sink(batch: DataFrame, load: int) -> None:
-        target = land(batch, folder, batch_id, landing_folder(raw_root, batch_id, load), json)
+        target = land(batch, source.folder, batch_id, landing_folder(raw_root, batch_id, load), json)
         split_count, line_count = index_splits(batch.sparkSession, raw_root, target)
         if check:
             check(target, split_count)
         note_load(batch.sparkSession, raw_root, batch_id, load, split_count, line_count)
 
-    return ingest_new(
-        spark, f"{landing}/{folder}/{batch_id}", f"{raw_root}/checkpoints/{batch_id}", sink, pattern
-    )
+    path, checkpoint = f"{landing}/{source.folder}/{batch_id}", f"{raw_root}/checkpoints/{batch_id}"
+    return ingest_new(spark, path, checkpoint, sink, source.pattern, source.whole_file)

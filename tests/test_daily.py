@@ -149,8 +149,10 @@ def test_rerun_changes_nothing(lake, landing):
     run_batch(lake, landing, D1)
     run_batch(lake, landing, D2)
     expected = snapshot(lake)
+    routed = {s.slot: s.version for s in lake.slots("member_country")}
     run_batch(lake, landing, D2)
     assert snapshot(lake) == expected
+    assert {s.slot: s.version for s in lake.slots("member_country")} == routed  # no country was rewritten
     run_batch(lake, landing, D1)  # older batch again: members keep the newer version
     again = snapshot(lake)
     assert (again[0], again[1]) == (expected[0], expected[1])
@@ -332,7 +334,11 @@ def test_current_state_is_not_shuffled_by_the_next_merge(spark, lake, landing):
         held = daily.read_member_current(lake)
         source = held.drop("created_at", "updated_at").withColumn("state", held.state).repartition(3)
         plan = daily.stages.merge_members(held, source)._jdf.queryExecution().executedPlan().toString()
+        again = daily.read_member_current(lake)
+        compared = daily.affected_partitions(held, again, "member_id", "country", daily.LINEAGE)
+        comparison = compared._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin", 1)[1]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     target_side = plan.split("SortMergeJoin", 1)[1].split(":- ", 1)[1].split("+- Sort", 1)[0]
     assert "Bucketed: true" in plan and "Exchange" not in target_side
+    assert "Exchange" not in comparison

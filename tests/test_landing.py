@@ -5,7 +5,7 @@ from feedtext import HEADER, line
 from pyspark.sql import functions as F
 
 from feedlake.operators.contract import check_contract, require_contract
-from feedlake.schemas import MEMBER_CONTRACT, ContractError
+from feedlake.schemas import MEMBER_CONTRACT, ContractError, FeedSource
 from feedlake.sources import landing
 from feedlake.sources.landing import (
     MalformedDocumentError,
@@ -156,7 +156,7 @@ def test_files_are_loaded_once(spark, folder, tmp_path):
     landing_root, raw_root = str(tmp_path), str(tmp_path / "raw")
 
     def load():
-        return load_feed(spark, landing_root, raw_root, "member", DAY, r".*\.csv")
+        return load_feed(spark, landing_root, raw_root, FeedSource("member", r".*\.csv"), DAY)
 
     def visible():
         lines, count = loaded_lines(spark, raw_root, DAY)
@@ -182,12 +182,22 @@ def test_a_failed_load_is_invisible_and_repeated(spark, folder, tmp_path):
         raise ContractError("not today")
 
     with pytest.raises(ContractError, match="not today"):
-        load_feed(spark, landing_root, raw_root, "member", DAY, ".*", check=refuse)
+        load_feed(spark, landing_root, raw_root, FeedSource("member", ".*"), DAY, check=refuse)
     assert loaded_lines(spark, raw_root, DAY)[1] == 0
     (folder / "a.csv").write_text("|D|1 mended\n")
-    assert load_feed(spark, landing_root, raw_root, "member", DAY, ".*") == 1
+    assert load_feed(spark, landing_root, raw_root, FeedSource("member", ".*"), DAY) == 1
     assert [r.raw_text for r in loaded_lines(spark, raw_root, DAY)[0].collect()] == ["|D|1 mended"]
 
 
+def test_whole_files_are_loaded_once(spark, tmp_path):
+    folder = tmp_path / "redemption" / DAY
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text('{\n"a": 1\n}\n')
+    source = FeedSource("redemption", r".*\.json", whole_file=True)
+    assert load_feed(spark, str(tmp_path), str(tmp_path / "raw"), source, DAY, json=True) == 1
+    lines, count = loaded_lines(spark, str(tmp_path / "raw"), DAY)
+    assert count == 1 and lines.first().raw_text == '{\n"a": 1\n}\n'
+
+
 def test_missing_folder_has_no_new_files(spark, tmp_path):
     assert ingest_new(spark, str(tmp_path / "none"), str(tmp_path / "cp"), lambda batch, load: None) == 0
