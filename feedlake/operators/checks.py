@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedlake.operators.keyed import absent_keys
+
 PASS, FAIL = "PASS", "FAIL"
 
 
@@ -104,8 +106,8 @@ def unreconciled(reconciliation: DataFrame) -> DataFrame:
 
 
 def unknown_member_accepted(evaluated: DataFrame, members: DataFrame) -> DataFrame:
-    """Accepted transactions whose member does not exist."""
-    return evaluated.where("is_valid").select("member_id").join(members.select("member_id"), "member_id", "left_anti")
+    """Members that have accepted transactions but do not exist."""
+    return absent_keys(evaluated.where("is_valid"), members, ["member_id"])
 
 
 def check_suite(tables: dict[str, DataFrame]) -> DataFrame:

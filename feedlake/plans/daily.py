@@ -278,12 +278,13 @@ def suite(lake: Lake) -> DataFrame:
     )
     _, eligible = split_conflicts(staged, pairs, "member_id", "source_feed_timestamp")
     current = read_member_current(lake)
+    held_before = eligible.select("member_id", "country").distinct()
     return check_suite(
         {
             "member_current": current,
             "member_eligible": eligible,
             "member_country": read_member_countries(lake),
-            "member_moved": movements(eligible, current, "member_id", "country").distinct(),
+            "member_moved": movements(held_before, current, "member_id", "country"),
             "redemption": read_redemption(lake),
             "redemption_staging": read_redemption_staging(lake),
             "redemption_evaluated": read_redemption_evaluated(lake),

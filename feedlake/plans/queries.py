@@ -78,11 +78,11 @@ def _flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _judged(spark: SparkSession, sf_dir: str, flattened: DataFrame) -> DataFrame:
     """Evaluated transactions; each day looks members up as they are after that day."""
-    states = _states(_staged(spark, sf_dir), BATCHES)
-    days = [
-        stages.evaluate_redemptions(_day(flattened, batch_id), members) for batch_id, members in zip(BATCHES, states)
-    ]
-    return days[0].unionByName(days[1])
+    first, second = (
+        state.select(F.lit(batch_id).alias("batch_id"), "member_id")
+        for batch_id, state in zip(BATCHES, _states(_staged(spark, sf_dir), BATCHES))
+    )
+    return stages.evaluate_redemptions(flattened, first.unionByName(second), ["batch_id", "member_id"])
 
 
 def _redemptions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from feedlake.functions.dates import age_at, batch_date, stale_at
 from feedlake.operators.keyed import HOT_ROWS, absent_keys, attach, key_sizes
 from feedlake.operators.merge import upsert
 from feedlake.operators.parse import parse_lines
-from feedlake.operators.rules import evaluate, member_rules, redemption_rules
+from feedlake.operators.rules import evaluate, member_rules, redemption_rules, split_valid
 from feedlake.schemas import (
     DQ_QUARANTINE,
     MEMBER_CONTRACT,
@@ -34,13 +36,13 @@ def evaluate_members(raw: DataFrame, contract: FeedContract = MEMBER_CONTRACT) -
 
 
 def member_staging(evaluated: DataFrame) -> DataFrame:
-    return evaluated.where("is_valid").select(column_names(MEMBER_STAGING))
+    return split_valid(evaluated)[0].select(column_names(MEMBER_STAGING))
 
 
 def member_quarantine(evaluated: DataFrame, conflicting_rows: DataFrame) -> DataFrame:
     """Rejected lines with all their reasons, and valid lines in conflict with one another."""
     columns = column_names(DQ_QUARANTINE)
-    return evaluated.where("not is_valid").select(columns).unionByName(conflicting_rows.select(columns))
+    return split_valid(evaluated)[1].select(columns).unionByName(conflicting_rows.select(columns))
 
 
 def merge_members(current: DataFrame | None, latest_rows: DataFrame, run_ts: Column | None = None) -> DataFrame:
@@ -58,14 +60,17 @@ def merge_members(current: DataFrame | None, latest_rows: DataFrame, run_ts: Col
     )
 
 
-def evaluate_redemptions(flattened: DataFrame, members: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def evaluate_redemptions(
+    flattened: DataFrame, members: DataFrame, member: Sequence[str] = ("member_id",), hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Flattened transactions judged by all rules.
 
     All copies of a transaction id within a batch are rejected, and so are
     transactions of members that are not in `members`. Both facts are found per
-    key from the key columns alone and then brought to the rows.
+    key from the key columns alone and then brought to the rows. With `member`
+    as batch and member id, each batch has members of its own.
     """
-    txn, member = ["batch_id", "txn_id"], ["member_id"]
+    txn, member = ["batch_id", "txn_id"], list(member)
     repeated = key_sizes(flattened, txn, "txn_id_rows").where("txn_id_rows > 1")
     unknown = absent_keys(flattened, members, member, "unknown_rows")
     marked = attach(attach(flattened, repeated, txn, "txn_id_rows", hot_rows), unknown, member, "unknown_rows", hot_rows)
@@ -74,11 +79,11 @@ def evaluate_redemptions(flattened: DataFrame, members: DataFrame, hot_rows: int
 
 
 def redemption_quarantine(evaluated: DataFrame) -> DataFrame:
-    return evaluated.where("not is_valid").select(column_names(REDEMPTION_QUARANTINE))
+    return split_valid(evaluated)[1].select(column_names(REDEMPTION_QUARANTINE))
 
 
 def accepted_redemptions(evaluated: DataFrame) -> DataFrame:
-    return evaluated.where("is_valid").select([name for name in column_names(REDEMPTION) if name != "loaded_at"])
+    return split_valid(evaluated)[0].select([name for name in column_names(REDEMPTION) if name != "loaded_at"])
 
 
 def merge_redemptions(curated: DataFrame | None, accepted: DataFrame, run_ts: Column | None = None) -> DataFrame:

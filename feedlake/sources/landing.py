@@ -49,6 +49,7 @@ def text_lines(reader, path: str, pattern: str, whole_file: bool = False) -> Dat
     each file is one row.
     """
     reader = reader.format("text").option("recursiveFileLookup", "true").option("lineSep", "\n")
+    reader = reader.option("maxFileAge", "36500d")  # a stream would pass over files much older than the newest
     if whole_file:
         reader = reader.option("wholetext", "true")
     # The path comes as a URI, where only `+` stands for itself although decoding would make it a space.

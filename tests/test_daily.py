@@ -232,11 +232,32 @@ def test_small_changes_leave_the_curated_base_alone(lake, landing):
 def test_each_bucket_is_one_file(spark, lake, landing):
     from pathlib import Path
 
-    deliver(landing, D1, [line(member=str(n)) for n in range(200)], [document("1", D1, [txn(f"T{n}") for n in range(200)])])
-    run_batch(lake, landing, D1)
+    people = [line(member=str(n)) for n in range(200)]
+    deliver(landing, D1, people, [document("1", D1, [txn(f"T{n}") for n in range(200)])])
+    deliver(landing, D2, people, [document("1", D2, [txn(f"T{n}") for n in range(150, 170)])])
+    deliver(landing, D3, people, [document("1", D3, [txn(f"T{n}") for n in range(150, 300)])])
+    for batch_id in (D1, D2, D3):
+        run_batch(lake, landing, batch_id)
+    files = {}
     for table in ("member_current", "redemption"):
-        files = [p.name for p in Path(lake.root, "tables", table).rglob("*.parquet")]
-        assert len(files) == lake.buckets
+        for path in Path(lake.root, "tables", table).rglob("*.parquet"):
+            files.setdefault(path.parent, []).append(path.name)
+    assert len(files) == 6 and all(len(names) <= lake.buckets for names in files.values())
+    assert daily.read_redemption(lake).count() == 300
+
+
+def test_another_process_sees_what_is_published(spark, lake, landing):
+    first_day(landing)
+    other = Lake(spark, lake.root)
+    assert daily.read_member_current(other).count() == 0
+    run_batch(lake, landing, D1)
+    other.refresh()
+    assert snapshot(other) == snapshot(lake)
+    second_day(landing)
+    run_batch(other, landing, D2)  # with buckets of another number
+    lake.refresh()
+    assert snapshot(lake) == snapshot(other)
+    require_passed(daily.suite(lake))
 
 
 def test_no_redemption_file(lake, landing):

@@ -1,5 +1,7 @@
 """Files: whole lines, numbers across splits, contract, malformed documents, load-once."""
 
+import os
+
 import pytest
 from feedtext import HEADER, line
 from pyspark.sql import functions as F
@@ -169,6 +171,7 @@ def test_files_are_loaded_once(spark, folder, tmp_path):
     assert load() == 1 and visible() == ["|D|1", "|D|2"]
     assert load() == 0 and visible() == ["|D|1", "|D|2"]
     (folder / "b.csv").write_text("|D|3\n")
+    os.utime(folder / "b.csv", (1_000_000_000, 1_000_000_000))  # new to us, however old it is
     assert load() == 1 and visible() == ["|D|1", "|D|2", "|D|3"]
     numbers = {(r.source_file_name[-5:], r.source_row_number) for r in loaded_lines(spark, raw_root, DAY)[0].collect()}
     assert numbers == {("a.csv", 1), ("a.csv", 2), ("b.csv", 1)}

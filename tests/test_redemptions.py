@@ -66,7 +66,7 @@ def test_miles(spark, miles, expected):
 
 def judge(spark, documents, members=("1", "2"), hot_rows=10**9):
     known = spark.createDataFrame([(member,) for member in members], "member_id string")
-    rows = evaluate_redemptions(flatten_redemptions(raw_json(spark, documents)), known, hot_rows).collect()
+    rows = evaluate_redemptions(flatten_redemptions(raw_json(spark, documents)), known, hot_rows=hot_rows).collect()
     return {(r.source_row_number, r.pos): r.dq_reason for r in rows}
 
 
