@@ -1,6 +1,7 @@
 """Files: whole lines, numbers across splits, contract, malformed documents, load-once."""
 
 import os
+import random
 
 import pytest
 from feedtext import HEADER, line
@@ -53,6 +54,29 @@ def test_line_numbers_across_splits(spark, folder, small_splits, monkeypatch, br
         "a.csv": 60_000, "b.csv": 50_003, "c.csv": 1}
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_random_lines_in_tiny_splits(spark, folder, seed):
+    """Lines longer than a split, blank lines, either line ending, with or without a last newline."""
+    rng = random.Random(seed)
+    expected = {}
+    for name in ("a.csv", "b.csv", "c.csv"):
+        lines = ["x" * rng.choice([0, 1, 7, 90, 700, 2500]) + str(n) * rng.randrange(2) for n in range(rng.randrange(1, 300))]
+        end = rng.choice(["\n", "\r\n"])
+        lines[-1] += "end"
+        (folder / name).write_bytes((end.join(lines) + end * rng.randrange(2)).encode())
+        expected |= {(f"member/{DAY}/{name}", number): text for number, text in enumerate(lines, start=1)}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(rng.choice([0, 400])))
+    try:
+        raw = ingest_lines(spark, str(folder.parent), DAY)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    rows = raw.collect()
+    assert {(r.source_file_name, r.source_row_number): r.raw_record for r in rows} == expected
+    assert len(rows) == len(expected)
+
+
 def test_lines_are_kept_whole(spark, folder):
     (folder / "x.csv").write_bytes(b'|H|a\r\n\n|D|"quoted|\ttab\r\r\n|D|last, no newline\xc3\xa9')
     raw = ingest_lines(spark, str(folder.parent), DAY)
@@ -192,6 +216,23 @@ def test_a_failed_load_is_invisible_and_repeated(spark, folder, tmp_path):
     assert [r.raw_text for r in loaded_lines(spark, raw_root, DAY)[0].collect()] == ["|D|1 mended"]
 
 
+def test_a_refused_file_may_be_taken_away(spark, folder, tmp_path):
+    landing_root, raw_root, source = str(tmp_path), str(tmp_path / "raw"), FeedSource("member", ".*")
+    (folder / "good.csv").write_text("|D|good\n")
+    (folder / "bad.csv").write_text("|D|bad\n")
+
+    def refuse(target, split_count):
+        raise ContractError("no")
+
+    with pytest.raises(ContractError):
+        load_feed(spark, landing_root, raw_root, source, DAY, check=refuse)
+    (folder / "bad.csv").unlink()
+    (folder / "mended.csv").write_text("|D|mended\n")
+    load_feed(spark, landing_root, raw_root, source, DAY)
+    load_feed(spark, landing_root, raw_root, source, DAY)
+    assert sorted(r.raw_text for r in loaded_lines(spark, raw_root, DAY)[0].collect()) == ["|D|good", "|D|mended"]
+
+
 def test_whole_files_are_loaded_once(spark, tmp_path):
     folder = tmp_path / "redemption" / DAY
     folder.mkdir(parents=True)
