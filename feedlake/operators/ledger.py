@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.schemas import ERROR_TEXT_LIMIT, LEDGER_EVENT
-from feedlake.sources.scratch import read_or_empty
+from feedlake.sources.scratch import append_rows, read_or_empty
 
 RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
 # Columns of the ledger that a run over whole folders has no single value for.
@@ -34,7 +34,7 @@ def ledger_event(
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     text = None if error is None else error[:ERROR_TEXT_LIMIT]
     event = (batch_id, feed_type, status, now, rows_loaded, rows_rejected, text)
-    spark.createDataFrame([event], LEDGER_EVENT).coalesce(1).write.mode("append").json(path)
+    append_rows(spark, path, [event], LEDGER_EVENT)
 
 
 def ledger_state(spark: SparkSession, path: str) -> DataFrame:

@@ -33,6 +33,7 @@ from feedlake.schemas import (
     FeedSource,
 )
 from feedlake.sources.landing import NoFilesError, first_lines, loaded_lines, raw_member, raw_redemption
+from feedlake.sources.scratch import small_frame
 from feedlake.sources.tables import Lake
 from feedlake.streaming.load_once import load_feed
 
@@ -218,7 +219,7 @@ def read_dq_quarantine(lake: Lake) -> DataFrame:
 
 def read_member_current(lake: Lake) -> DataFrame:
     held = lake.read_entity("member_current", MEMBER_CURRENT, MEMBER_KEY)
-    return lake.spark.createDataFrame([], MEMBER_CURRENT) if held is None else held
+    return small_frame(lake.spark, [], MEMBER_CURRENT) if held is None else held
 
 
 def read_member_countries(lake: Lake) -> DataFrame:
@@ -241,7 +242,7 @@ def read_redemption_quarantine(lake: Lake) -> DataFrame:
 def read_redemption(lake: Lake) -> DataFrame:
     base, recent = (lake.read_entity("redemption", REDEMPTION, REDEMPTION_KEY, slot) for slot in (BASE, RECENT))
     if base is None:
-        return lake.spark.createDataFrame([], REDEMPTION)
+        return small_frame(lake.spark, [], REDEMPTION)
     return base if recent is None else stages.merge_redemptions(base, recent)
 
 

@@ -20,7 +20,7 @@ from feedlake.plans import daily, feeds, stages
 from feedlake.plans.feeds import BATCHES, FILE_SOURCES
 from feedlake.schemas import COUNTRIES, MEMBER_ATTRIBUTES, MEMBER_CONTRACT
 from feedlake.sources.landing import ingest_json, ingest_lines, ingest_summary, land
-from feedlake.sources.scratch import materialise, new_folder
+from feedlake.sources.scratch import materialise, new_folder, small_frame
 from feedlake.sources.tables import Lake
 from feedlake.streaming.load_once import ingest_new
 
@@ -156,7 +156,7 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
             feeds.write_member_files(spark, sf_dir, landing, batch_id)
         ingest_new(spark, f"{landing}/member", checkpoint, sink, PATTERN)
         files = spark.read.option("recursiveFileLookup", "true").schema("raw_text string")
-        lines = files.parquet(f"{sink_root}/call={call}") if batch_id else spark.createDataFrame([], "raw_text string")
+        lines = files.parquet(f"{sink_root}/call={call}") if batch_id else small_frame(spark, [], "raw_text string")
         loaded.append(lines.agg(F.count("*").alias("row_count")).select(F.lit(call).alias("call_no"), "row_count"))
     return loaded[0].unionByName(loaded[1]).unionByName(loaded[2])
 
@@ -346,7 +346,7 @@ def check_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_day(lake, landing, FIRST)
     after = _row_counts(lake)
     rows = [(name, before[name], after[name]) for name in before]
-    return spark.createDataFrame(rows, "table_name string, rows_after_run bigint, rows_after_rerun bigint")
+    return small_frame(spark, rows, "table_name string, rows_after_run bigint, rows_after_rerun bigint")
 
 
 def check_suite(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from feedlake.functions.dates import batch_date, check_batch_id
 from feedlake.functions.text import record_type, without_carriage_return
 from feedlake.schemas import RAW_MEMBER, RAW_REDEMPTION, column_names
-from feedlake.sources.scratch import new_folder, read_or_empty
+from feedlake.sources.scratch import append_rows, new_folder, read_or_empty, small_frame
 
 LINES = "lines"
 SPLITS = "splits"
@@ -210,8 +210,7 @@ _LOADS_DDL = "batch_id string, load bigint, split_count bigint, line_count bigin
 
 def note_load(spark: SparkSession, root: str, batch_id: str, load: int, split_count: int, line_count: int) -> None:
     """Make a complete load visible."""
-    noted = spark.createDataFrame([(batch_id, load, split_count, line_count)], _LOADS_DDL)
-    noted.coalesce(1).write.mode("append").json(f"{root}/loads")
+    append_rows(spark, f"{root}/loads", [(batch_id, load, split_count, line_count)], _LOADS_DDL)
 
 
 def loaded_lines(spark: SparkSession, root: str, batch_id: str | None = None) -> tuple[DataFrame, int]:
@@ -222,7 +221,7 @@ def loaded_lines(spark: SparkSession, root: str, batch_id: str | None = None) ->
     # A load that was repeated after a failure may be noted twice.
     loads = {(row.batch_id, row.load): row for row in noted.collect()}
     if not loads:
-        return _numbered(spark.createDataFrame([], _LINES_DDL), spark.createDataFrame([], _SPLITS_DDL), 0), 0
+        return _numbered(small_frame(spark, [], _LINES_DDL), small_frame(spark, [], _SPLITS_DDL), 0), 0
     targets = [landing_folder(root, *key) for key in sorted(loads)]
     lines = landed_lines(spark, root, targets, sum(row.split_count for row in loads.values()))
     return lines, sum(row.line_count for row in loads.values())

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
@@ -45,8 +48,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def small_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A frame of a few given rows, handed over as Arrow, which starts no Python worker."""
+    schema = StructType.fromDDL(ddl)
+    records = [dict(zip(schema.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, to_arrow_schema(schema)), schema)
+
+
+def append_rows(spark: SparkSession, path: str, rows: list[tuple], ddl: str) -> None:
+    """Append a few rows to a log as one JSON file, which appears as a whole or not at all."""
+    small_frame(spark, rows, ddl).coalesce(1).write.mode("append").json(path)
+
+
 def read_or_empty(spark: SparkSession, fmt: str, path: str, ddl: str) -> DataFrame:
     """The files at `path`, or an empty frame of the same shape if there are none yet."""
     if exists(spark, path):
         return spark.read.format(fmt).schema(ddl).load(path)
-    return spark.createDataFrame([], ddl)
+    return small_frame(spark, [], ddl)

@@ -12,12 +12,13 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.schemas import column_names
-from feedlake.sources.scratch import read_or_empty
+from feedlake.sources.scratch import append_rows, read_or_empty, small_frame
 
 _COMMITS_DDL = (
     "version bigint, batch_id string, table_name string, slot string, row_count bigint, buckets int,"
@@ -81,10 +82,9 @@ class Lake:
         """Publish everything written since the last commit, by one appended file."""
         if not self._pending:
             return
-        rows = [(s.version, batch_id, s.table, s.slot, s.row_count, s.buckets) for s in self._pending]
-        ddl = _COMMITS_DDL.removesuffix(", committed_at timestamp_ntz")
-        log = self.spark.createDataFrame(rows, ddl).withColumn("committed_at", F.localtimestamp())
-        log.coalesce(1).write.mode("append").json(f"{self.root}/control/commits")
+        now = datetime.now(timezone.utc).replace(tzinfo=None)
+        rows = [(s.version, batch_id, s.table, s.slot, s.row_count, s.buckets, now) for s in self._pending]
+        append_rows(self.spark, f"{self.root}/control/commits", rows, _COMMITS_DDL)
         self._pending.clear()
         self.refresh()
 
@@ -180,7 +180,7 @@ class Lake:
         found = [s for s in self.slots(table) if slot is None or s.slot == slot]
         # A split or projected slot without rows may have no file to read.
         paths = [self._path(table, s.version, s.slot) for s in found if s.row_count]
-        return self._read(paths, table, ddl) if paths else self.spark.createDataFrame([], ddl)
+        return self._read(paths, table, ddl) if paths else small_frame(self.spark, [], ddl)
 
     def read_entity(self, table: str, ddl: str, keys: list[str], slot: str = WHOLE) -> DataFrame | None:
         """A published slot of an entity table with its bucketing, or None if it has no rows."""
