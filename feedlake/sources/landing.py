@@ -83,7 +83,7 @@ def land(lines: DataFrame, folder: str, batch_id: str, target: str, json: bool =
     """
     watch = None
     if json:
-        lines = lines.where(F.trim("raw_text") != "")
+        lines = lines.where(F.col("raw_text").rlike(r"\S"))
         watch = Observation()
         lines = lines.observe(watch, F.count_if(F.try_parse_json("raw_text").isNull()).alias("malformed"))
     landed = lines.select(

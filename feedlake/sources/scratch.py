@@ -48,6 +48,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all below it."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def small_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     """A frame of a few given rows, handed over as Arrow, which starts no Python worker."""
     schema = StructType.fromDDL(ddl)

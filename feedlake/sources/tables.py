@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.schemas import column_names
-from feedlake.sources.scratch import append_rows, read_or_empty, small_frame
+from feedlake.sources.scratch import append_rows, delete_folder, exists, read_or_empty, small_frame
 
 _COMMITS_DDL = (
     "version bigint, batch_id string, table_name string, slot string, row_count bigint, buckets int,"
@@ -92,6 +92,23 @@ class Lake:
         """Forget what was written since the last commit; its folders are overwritten by the next run."""
         self._pending.clear()
 
+    def superseded(self, keep_runs: int = 1) -> list[str]:
+        """Folders of slots that neither the current state nor the states of the last `keep_runs` runs before need."""
+        commits = read_or_empty(self.spark, "json", f"{self.root}/control/commits", _COMMITS_DDL)
+        oldest = self.next_version() - 1 - keep_runs  # the oldest state that must stay readable
+        in_force = F.max(F.when(F.col("version") <= oldest, F.col("version"))).alias("needed")
+        needed = commits.groupBy("table_name", "slot").agg(in_force)
+        gone = commits.join(needed, ["table_name", "slot"]).where("version < needed and row_count > 0")
+        rows = gone.select("table_name", "version", "slot").distinct().collect()
+        return sorted(self._path(row.table_name, row.version, row.slot) for row in rows)
+
+    def remove_superseded(self, keep_runs: int = 1) -> int:
+        """Delete the superseded folders; returns how many there were. Not to be called while a run writes."""
+        folders = [folder for folder in self.superseded(keep_runs) if exists(self.spark, folder)]
+        for folder in folders:
+            delete_folder(self.spark, folder)
+        return len(folders)
+
     # -- writing ---------------------------------------------------------------
 
     def _path(self, table: str, version: int, slot: str = WHOLE) -> str:

@@ -246,6 +246,32 @@ def test_each_bucket_is_one_file(spark, lake, landing):
     assert daily.read_redemption(lake).count() == 300
 
 
+def test_superseded_folders_can_be_removed(lake, landing):
+    from pathlib import Path
+
+    first_day(landing)
+    second_day(landing)
+    run_batch(lake, landing, D1)
+    first_state = {s.slot: s.version for s in lake.slots("member_country")}
+    run_batch(lake, landing, D2)
+    run_batch(lake, landing, D1)
+    expected = snapshot(lake)
+    assert lake.superseded(keep_runs=2) == []
+    # With one run kept, the state before the last run stays readable, the first one does not.
+    assert lake.remove_superseded(keep_runs=1) > 0
+    members = Path(lake.root, "tables", "member_current")
+    assert sorted(p.name for p in members.iterdir() if any(p.rglob("*.parquet"))) == ["v=2", "v=3"]
+    assert snapshot(lake) == expected
+    lake.remove_superseded(keep_runs=0)
+    assert lake.remove_superseded(keep_runs=0) == 0
+    assert sorted(p.name for p in members.iterdir() if any(p.rglob("*.parquet"))) == ["v=3"]
+    assert snapshot(lake) == expected
+    # CAN was last written by the first run and is in force.
+    assert first_state["country=CAN"] == 1 and Path(lake.root, "tables", "member_country", "v=1", "country=CAN").exists()
+    run_batch(lake, landing, D2)
+    require_passed(daily.suite(lake))
+
+
 def test_another_process_sees_what_is_published(spark, lake, landing):
     first_day(landing)
     other = Lake(spark, lake.root)

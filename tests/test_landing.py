@@ -156,7 +156,7 @@ def test_first_lines_reads_only_heads(spark, folder, small_splits, tmp_path):
 def test_json_documents(spark, tmp_path):
     folder = tmp_path / "redemption" / DAY
     folder.mkdir(parents=True)
-    (folder / "redemptions.json").write_text('{"a": 1}\n\n  \n[{"a": 2}, {"a": 3}]\n{"a": "é"}\n')
+    (folder / "redemptions.json").write_text('{"a": 1}\n\n \t \n[{"a": 2}, {"a": 3}]\n{"a": "é"}\n')
     raw = ingest_json(spark, str(folder.parent), DAY)
     rows = raw.select("source_row_number", F.to_json("raw_record").alias("doc")).orderBy("source_row_number").collect()
     assert [(r.source_row_number, r.doc) for r in rows] == [(1, '{"a":1}'), (2, '[{"a":2},{"a":3}]'), (3, '{"a":"é"}')]
