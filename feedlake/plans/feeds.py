@@ -20,8 +20,8 @@ from feedlake.sources.scratch import materialise, new_folder
 
 BATCHES = ("20260926", "20260927")
 FILE_SOURCES = {
-    "member": FeedSource("member", r".*/part-[^/]*\.txt"),
-    "redemption": FeedSource("redemption", r".*/part-[^/]*\.txt"),
+    "member": FeedSource("member", r".*\.txt"),
+    "redemption": FeedSource("redemption", r".*\.txt"),
 }
 CUSTOMERS_PER_FILE = 1_000
 ORDERS_PER_FILE = 10_000

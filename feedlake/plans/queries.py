@@ -150,7 +150,7 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     for call, batch_id in enumerate((FIRST, None, SECOND), start=1):
 
         def sink(batch: DataFrame, load: int, call: int = call) -> None:
-            land(batch, "member", f"{call}", f"{sink_root}/call={call}/load={load}")
+            land(batch, f"{sink_root}/call={call}/load={load}")
 
         if batch_id:
             feeds.write_member_files(spark, sf_dir, landing, batch_id)

@@ -24,10 +24,10 @@ from feedlake.sources.scratch import append_rows, new_folder, read_or_empty, sma
 
 LINES = "lines"
 SPLITS = "splits"
-_LINES_DDL = "raw_text string, source_file_name string, split_start bigint, row_id bigint, batch_id string"
+_LINES_DDL = "raw_text string, file_path string, split_start bigint, row_id bigint, batch_id string"
 _SPLITS_DDL = (
-    "source_file_name string, split_start bigint, first_id bigint, line_count bigint, lines_before bigint,"
-    " ingestion_timestamp timestamp_ntz, batch_id string"
+    "file_path string, split_start bigint, first_id bigint, line_count bigint, source_file_name string,"
+    " lines_before bigint, ingestion_timestamp timestamp_ntz, batch_id string"
 )
 # One row per split of some 128 MB: a register of this size stands for over 100 TB and takes some 200 MB.
 MAX_BROADCAST_SPLITS = 1_000_000
@@ -41,6 +41,24 @@ class NoFilesError(ValueError):
     """A batch has no file to read."""
 
 
+def _decoded(file_path: Column) -> Column:
+    # The path comes as a URI, where only `+` stands for itself although decoding would make it a space.
+    return F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
+
+
+def path_filter(pattern: str) -> Column:
+    """Whether the whole path of a row's file matches `pattern`.
+
+    Spark prunes the file list with it, but also tests it for every row, so a
+    pattern that only asks for a certain end is tested as just that.
+    """
+    file_path = F.col("_metadata.file_path")
+    ending = re.fullmatch(r"\.\*((?:[A-Za-z0-9_~/-]|\\\.)*)", pattern)
+    if ending:
+        return F.endswith(file_path, F.lit(ending[1].replace("\\.", ".")))
+    return _decoded(file_path).rlike(f"^(?:{pattern})$")
+
+
 def text_lines(reader, path: str, pattern: str, whole_file: bool = False) -> DataFrame:
     """Whole lines of all files below `path` whose full path matches `pattern`, with their split.
 
@@ -52,15 +70,12 @@ def text_lines(reader, path: str, pattern: str, whole_file: bool = False) -> Dat
     reader = reader.option("maxFileAge", "36500d")  # a stream would pass over files much older than the newest
     if whole_file:
         reader = reader.option("wholetext", "true")
-    # The path comes as a URI, where only `+` stands for itself although decoding would make it a space.
-    file_path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    # Paths are matched as a whole; the filter on the path prunes the file list before anything is read.
     return (
         reader.load(path)
-        .where(file_path.rlike(f"^(?:{pattern})$"))
+        .where(path_filter(pattern))
         .select(
             without_carriage_return(F.col("value")).alias("raw_text"),
-            file_path.alias("file_path"),
+            F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.file_block_start").alias("split_start"),
         )
     )
@@ -68,14 +83,14 @@ def text_lines(reader, path: str, pattern: str, whole_file: bool = False) -> Dat
 
 def relative_name(file_path: Column, folder: str, batch_id: str) -> Column:
     """File name below the landing root: `<folder>/<batch_id>/...`."""
-    return F.regexp_extract(file_path, f"({re.escape(folder)}/{re.escape(batch_id)}/.*)$", 1)
+    return F.regexp_extract(_decoded(file_path), f"({re.escape(folder)}/{re.escape(batch_id)}/.*)$", 1)
 
 
 def landing_folder(root: str, batch_id: str, load: int) -> str:
     return f"{root}/batch_id={batch_id}/load={load}"
 
 
-def land(lines: DataFrame, folder: str, batch_id: str, target: str, json: bool = False) -> str:
+def land(lines: DataFrame, target: str, json: bool = False) -> None:
     """Write the lines of a load to `target`.
 
     With `json`, blank lines are skipped, and a line that is no JSON document
@@ -86,16 +101,10 @@ def land(lines: DataFrame, folder: str, batch_id: str, target: str, json: bool =
         lines = lines.where(F.col("raw_text").rlike(r"\S"))
         watch = Observation()
         lines = lines.observe(watch, F.count_if(F.try_parse_json("raw_text").isNull()).alias("malformed"))
-    landed = lines.select(
-        "raw_text",
-        relative_name(F.col("file_path"), folder, batch_id).alias("source_file_name"),
-        "split_start",
-        F.monotonically_increasing_id().alias("row_id"),
-    )
+    landed = lines.select("raw_text", "file_path", "split_start", F.monotonically_increasing_id().alias("row_id"))
     landed.write.mode("overwrite").parquet(f"{target}/{LINES}")
     if watch is not None and watch.get["malformed"]:
-        raise MalformedDocumentError(f"{watch.get['malformed']} lines of batch {batch_id} are not JSON documents")
-    return target
+        raise MalformedDocumentError(f"{watch.get['malformed']} lines of {target} are not JSON documents")
 
 
 def _read(spark: SparkSession, root: str, targets: list[str], part: str, ddl: str) -> DataFrame:
@@ -104,18 +113,19 @@ def _read(spark: SparkSession, root: str, targets: list[str], part: str, ddl: st
     return reader.parquet(*(f"{target}/{part}" for target in targets)).select(column_names(ddl))
 
 
-def index_splits(spark: SparkSession, root: str, target: str) -> tuple[int, int]:
+def index_splits(spark: SparkSession, root: str, target: str, folder: str, batch_id: str) -> tuple[int, int]:
     """Write one row per split of the landed lines: its first row id, and the lines its file has before it.
 
     Returns the number of splits and of lines.
     """
     splits = (
         _read(spark, root, [target], LINES, _LINES_DDL)
-        .groupBy("source_file_name", "split_start")
+        .groupBy("file_path", "split_start")
         .agg(F.min("row_id").alias("first_id"), F.count("*").alias("line_count"))
+        .withColumn("source_file_name", relative_name(F.col("file_path"), folder, batch_id))
     )
     earlier = (
-        Window.partitionBy("source_file_name")
+        Window.partitionBy("file_path")
         .orderBy("split_start")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
     )
@@ -135,7 +145,7 @@ def index_splits(spark: SparkSession, root: str, target: str) -> tuple[int, int]
 def _numbered(lines: DataFrame, splits: DataFrame, split_count: int) -> DataFrame:
     if split_count <= MAX_BROADCAST_SPLITS:
         splits = F.broadcast(splits)
-    return lines.join(splits, ["batch_id", "source_file_name", "split_start"]).select(
+    return lines.join(splits, ["batch_id", "file_path", "split_start"]).select(
         "raw_text",
         "batch_id",
         "source_file_name",
@@ -180,8 +190,8 @@ def _ingest(
     folder = path.rstrip("/").rsplit("/", 1)[-1]
     root = new_folder(spark, f"landing-{folder}")
     target = landing_folder(root, batch_id, 0)
-    land(text_lines(spark.read, f"{path}/{batch_id}", pattern, whole_file), folder, batch_id, target, json)
-    split_count, _ = index_splits(spark, root, target)
+    land(text_lines(spark.read, f"{path}/{batch_id}", pattern, whole_file), target, json)
+    split_count, _ = index_splits(spark, root, target, folder, batch_id)
     return landed_lines(spark, root, [target], split_count)
 
 

@@ -69,8 +69,9 @@ def load_feed(
     """
 
     def sink(batch: DataFrame, load: int) -> None:
-        target = land(batch, source.folder, batch_id, landing_folder(raw_root, batch_id, load), json)
-        split_count, line_count = index_splits(batch.sparkSession, raw_root, target)
+        target = landing_folder(raw_root, batch_id, load)
+        land(batch, target, json)
+        split_count, line_count = index_splits(batch.sparkSession, raw_root, target, source.folder, batch_id)
         if check:
             check(target, split_count)
         note_load(batch.sparkSession, raw_root, batch_id, load, split_count, line_count)

@@ -101,6 +101,24 @@ def test_files_are_chosen_by_pattern_and_day(spark, folder):
         (f"member/{DAY}/member_profile_feed.csv", "|D|yes"), (f"member/{DAY}/sub/member_profile_feed.csv", "|D|yes")}
 
 
+@pytest.mark.parametrize(
+    "pattern, names",
+    [
+        (r".*", {"feed.csv", "feed.csv.bak", "xfeed-csv"}),
+        (r".*feed\.csv", {"feed.csv"}),
+        (r".*/feed\.csv", {"feed.csv"}),
+        (r".*feed.csv", {"feed.csv", "xfeed-csv"}),
+        (r".*/member/\d{8}/feed.*", {"feed.csv", "feed.csv.bak"}),
+        (r"feed\.csv", set()),
+    ],
+)
+def test_patterns_match_whole_paths(spark, folder, pattern, names):
+    for name in ("feed.csv", "feed.csv.bak", "xfeed-csv"):
+        (folder / name).write_text("|D|\n")
+    raw = ingest_lines(spark, str(folder.parent), DAY, pattern)
+    assert {r.source_file_name.rsplit("/", 1)[-1] for r in raw.collect()} == names
+
+
 def test_odd_file_names(spark, folder):
     name = "a b+c%20é'd.csv"
     (folder / name).write_text("|D|1\n")
@@ -145,8 +163,8 @@ def test_first_lines_reads_only_heads(spark, folder, small_splits, tmp_path):
         (folder / f"{name}.csv").write_text("".join(f"|{name}|{n}\n" for n in range(1, 40_000)))
     root = str(tmp_path / "landed")
     target = landing.landing_folder(root, DAY, 0)
-    land(text_lines(spark.read, str(folder), ".*"), "member", DAY, target)
-    split_count, line_count = index_splits(spark, root, target)
+    land(text_lines(spark.read, str(folder), ".*"), target)
+    split_count, line_count = index_splits(spark, root, target, "member", DAY)
     assert split_count > 2 and line_count == 2 * 39_999
     heads = first_lines(spark, root, target, split_count)
     assert sorted(r.raw_record for r in heads.collect()) == ["|a|1", "|b|1"]
