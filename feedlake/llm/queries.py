@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import byte_bpe, chat_format, length_histogram, wu_manber
+from feedlake.llm import byte_bpe, chat_format, labelled, length_histogram, line_crf, toxic_segments, wu_manber
 from feedlake.llm.tables import read
 from feedlake.sources.scratch import small_frame
 
@@ -34,6 +34,16 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def _judged(scored: DataFrame, held_out: Column, threshold: float) -> DataFrame:
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op3_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fold = read(spark, sf_dir, "documents"), labelled.remainder("doc_id", 5)
+    model = line_crf.fit(docs, read(spark, sf_dir, "labels"), fold != 0)
+    return _judged(line_crf.score(docs, model, ["doc_id"]), fold == 0, 0.3)
+
+
 def op6_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = wu_manber.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), ["doc_id"])
     return found.select(
@@ -43,6 +53,12 @@ def op6_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fold = read(spark, sf_dir, "documents"), labelled.remainder("doc_id", 3)
+    model = toxic_segments.fit(docs, read(spark, sf_dir, "labels"), fold != 1)
+    return _judged(toxic_segments.score(docs, model, ["doc_id"]), fold == 1, 0.7)
+
+
 def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram.limits(length_histogram.histogram(read(spark, sf_dir, "documents"), RANKS))
 
@@ -50,7 +66,9 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_line_crf": op3_line_crf,
     "op6_wu_manber": op6_wu_manber,
+    "op7_toxic_segments": op7_toxic_segments,
     "op10_length_histogram": op10_length_histogram,
 }
 
