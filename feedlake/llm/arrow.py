@@ -39,13 +39,17 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return batch.column(column).cast(pa.binary()).fill_null(b"").to_pylist()
 
 
+def _quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
 def per_text(df: DataFrame, ddl: str, make: Callable[[], Callable[[list[bytes]], dict]], keep: list[str], text: str = "text") -> DataFrame:
     """Map texts to columns, slice by slice, next to the kept columns of their rows.
 
     `make` runs once per task and returns a function from a list of UTF-8 texts to
     the new columns by name; `ddl` gives their types in that order.
     """
-    kept = df.select(*keep).schema
+    kept = df.select(*map(_quoted, keep)).schema
     added = StructType.fromDDL(ddl)
     schema = StructType([*kept.fields, *added.fields])
 
@@ -61,7 +65,7 @@ def per_text(df: DataFrame, ddl: str, make: Callable[[], Callable[[list[bytes]],
                 columns.append(values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind))
             yield pa.RecordBatch.from_arrays(columns, schema=shape)
 
-    return df.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
+    return df.select(*map(_quoted, dict.fromkeys([*keep, text]))).mapInArrow(run, schema)
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:

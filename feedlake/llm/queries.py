@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import byte_bpe, chat_format, labelled, length_histogram, line_crf, toxic_segments, wu_manber
+from feedlake.llm import (
+    bbit_minhash,
+    byte_bpe,
+    chat_format,
+    cross_polytope,
+    labelled,
+    length_histogram,
+    line_crf,
+    phrase_automata,
+    pii_votes,
+    toxic_segments,
+    wu_manber,
+)
 from feedlake.llm.tables import read
 from feedlake.sources.scratch import small_frame
 
@@ -44,6 +56,26 @@ def op3_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(line_crf.score(docs, model, ["doc_id"]), fold == 0, 0.3)
 
 
+def op4_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = pii_votes.find(docs, pii_votes.fit(docs), ["doc_id"])
+
+    def told(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+    base = F.filter("spans", lambda x: x["base"])
+    return found.select(
+        "doc_id",
+        *[F.size(F.filter(base, lambda x, kind=kind: x["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii_votes.KINDS],
+        F.sha2(told(base), 256).alias("base_sha256"),
+        told(F.col("spans")).alias("spans"),
+    )
+
+
+def op5_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bbit_minhash.near_duplicates(read(spark, sf_dir, "documents"), size=4)
+
+
 def op6_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = wu_manber.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), ["doc_id"])
     return found.select(
@@ -59,6 +91,14 @@ def op7_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxic_segments.score(docs, model, ["doc_id"]), fold == 1, 0.7)
 
 
+def op8_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+def op9_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_automata.remove_repeats(read(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram.limits(length_histogram.histogram(read(spark, sf_dir, "documents"), RANKS))
 
@@ -67,8 +107,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_line_crf": op3_line_crf,
+    "op4_pii_votes": op4_pii_votes,
+    "op5_bbit_minhash": op5_bbit_minhash,
     "op6_wu_manber": op6_wu_manber,
     "op7_toxic_segments": op7_toxic_segments,
+    "op8_cross_polytope": op8_cross_polytope,
+    "op9_phrase_automata": op9_phrase_automata,
     "op10_length_histogram": op10_length_histogram,
 }
 
@@ -86,6 +130,18 @@ select conv_id, count(*) as n_turns,
   sum(length('<|im_start|>') + length(role) + 1 + length(text) + escapes + length('<|im_end|>') + 1)::bigint as formatted_chars,
   0::bigint as n_attachments, 0::bigint as expanded_tokens
 from said group by conv_id""",
+    "op5_bbit_minhash": r"""
+with recursive doc as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w from documents),
+shingle as (select distinct doc_id, array_to_string(w[i : i + 3], ' ') as s
+  from (select doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) as i from doc where len(w) > 0)),
+size as (select doc_id, count(*) as n from shingle group by doc_id),
+shared as (select a.doc_id as a, b.doc_id as b, count(*) as n from shingle a join shingle b on a.s = b.s and a.doc_id < b.doc_id group by all),
+link as (select a, b from shared join size x on x.doc_id = a join size y on y.doc_id = b where 100 * shared.n >= 80 * (x.n + y.n - shared.n)),
+both_ways as (select a, b from link union all select b, a from link),
+reached as (select doc_id as a, doc_id as b from doc union select r.a, l.b from reached r join both_ways l on l.a = r.b)
+select d.doc_id, coalesce(any_value(s.n), 0)::bigint as n_shingles, min(r.b) as component_id, min(r.b) = d.doc_id as kept
+from doc d join reached r on r.a = d.doc_id left join size s on s.doc_id = d.doc_id group by d.doc_id""",
     "op6_wu_manber": r"""
 with doc as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
@@ -102,4 +158,25 @@ named as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item
 select d.doc_id, len(d.w)::bigint as n_words, coalesce(c.n_hit, 0)::bigint as n_hit, coalesce(n.n_items, 0)::bigint as n_items,
   sha256(coalesce(n.items, '')) as items_sha256, coalesce(c.n_hit, 0) > 0 as contaminated
 from doc d left join covered c on c.doc_id = d.doc_id left join named n on n.doc_id = d.doc_id""",
+    "op8_cross_polytope": r"""
+with recursive usable as (select vec_id, embedding::double[] as v from embeddings
+  where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link as (select a.vec_id as a, b.vec_id as b from usable a join usable b on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where list_cosine_similarity(a.v, b.v) >= 0.95),
+reached as (select vec_id as a, vec_id as b from embeddings union select r.a, l.b from reached r join link l on l.a = r.b),
+counted as (select a, count(*) as n from link group by a)
+select e.vec_id, coalesce(any_value(c.n), 0)::bigint as n_links, min(r.b) as component_id, min(r.b) = e.vec_id as kept
+from embeddings e join reached r on r.a = e.vec_id left join counted c on c.a = e.vec_id group by e.vec_id""",
+    "op9_phrase_automata": r"""
+with doc as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+win as (select doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) as s
+  from (select doc_id, w, unnest(generate_series(1, len(w) - 49)) as i from doc where len(w) >= 50)),
+first as (select s, min(doc_id) as first_doc from win group by s),
+gone as (select distinct win.doc_id, unnest(generate_series(i, i + 49)) as at from win join first on win.s = first.s where first_doc < win.doc_id),
+word as (select doc_id, unnest(w) as word, unnest(generate_series(1, len(w))) as at from doc where len(w) > 0),
+left_over as (select word.doc_id, count(*) as n, string_agg(word.word, ' ' order by word.at) as kept
+  from word left join gone on gone.doc_id = word.doc_id and gone.at = word.at where gone.at is null group by word.doc_id)
+select doc.doc_id, len(w)::bigint as n_words, (len(w) - coalesce(l.n, 0))::bigint as n_removed, sha256(coalesce(l.kept, '')) as kept_sha256
+from doc left join left_over l on l.doc_id = doc.doc_id""",
 }
