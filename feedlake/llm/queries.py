@@ -63,10 +63,13 @@ def op4_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     def told(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda x: x["base"] & (x["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
     base = F.filter("spans", lambda x: x["base"])
     return found.select(
         "doc_id",
-        *[F.size(F.filter(base, lambda x, kind=kind: x["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii_votes.KINDS],
+        *map(number, pii_votes.KINDS),
         F.sha2(told(base), 256).alias("base_sha256"),
         told(F.col("spans")).alias("spans"),
     )
