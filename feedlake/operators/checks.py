@@ -33,11 +33,17 @@ def misrouted(current: DataFrame, routed: DataFrame, key: str) -> DataFrame:
     return several.union(absent).distinct()
 
 
-def not_latest(current: DataFrame, eligible: DataFrame, key: str, version: str) -> DataFrame:
-    """Keys whose current version is not the newest eligible one, or that are missing on either side."""
+def not_latest(current: DataFrame, eligible: DataFrame, staged: DataFrame, key: str, version: str) -> DataFrame:
+    """Keys that are missing or held in a version that is older than the newest eligible one or was never staged.
+
+    A held version need not be eligible any more: a later file of its day may have contradicted it, which leaves the
+    accepted row in force.
+    """
     newest = eligible.groupBy(key).agg(F.max(version).alias("_newest"))
+    known = staged.select(key, F.col(version).alias("_held"), F.lit(True).alias("_known")).distinct()
     both = current.select(key, F.col(version).alias("_held")).join(newest, key, "full_outer")
-    return both.where(~F.col("_held").eqNullSafe(F.col("_newest")))
+    outdated = F.col("_held").isNull() | (F.col("_held") < F.col("_newest"))
+    return both.join(known, [key, "_held"], "left").where(outdated | F.col("_known").isNull()).drop("_known")
 
 
 def unmoved(moved: DataFrame, routed: DataFrame, key: str, by: str) -> DataFrame:
@@ -113,7 +119,7 @@ def unknown_member_accepted(evaluated: DataFrame, members: DataFrame) -> DataFra
 def check_suite(tables: dict[str, DataFrame]) -> DataFrame:
     """All checks over the published tables.
 
-    Expects member_current, member_eligible (staged rows free of conflicts),
+    Expects member_current, member_staging, member_eligible (staged rows free of conflicts),
     member_country, member_moved, redemption, redemption_staging and
     redemption_evaluated.
     """
@@ -129,7 +135,8 @@ def check_suite(tables: dict[str, DataFrame]) -> DataFrame:
         verdict("member_unique", repeated_keys(current, ["member_id"])),
         verdict("country_routing", misrouted(current, routed, "member_id")),
         verdict(
-            "latest_wins", not_latest(current, tables["member_eligible"], "member_id", "source_feed_timestamp")
+            "latest_wins",
+            not_latest(current, tables["member_eligible"], tables["member_staging"], "member_id", "source_feed_timestamp"),
         ),
         verdict("country_movement", unmoved(tables["member_moved"], routed, "member_id", "country")),
         verdict("txn_unique", repeated_keys(curated, ["txn_id"])),

@@ -2,10 +2,11 @@
 
 A key may own any share of the rows: a missing id, an unknown member, a
 transaction delivered again and again. Results per key are therefore computed by
-aggregation, which combines on the map side, and then joined to the rows in two
-parts: keys with very many rows by a broadcast of at most `MAX_HOT_KEYS` keys,
-so that their rows stay where they are, and all others by an ordinary join on
-the key. Where no key is hot, adaptive execution drops the first part.
+aggregation, which combines on the map side, and written, as they are read twice:
+keys with very many rows, at most `MAX_HOT_KEYS`, are broadcast, and all others
+are joined by key. The rows themselves are read once. A row of a hot key has its
+answer from the broadcast; it takes part in the join under a salt, a hash of
+the row, which no key has, and so is spread instead of piled up with its likes.
 
 The broadcast is bounded in bytes too: a hot key is in at least `HOT_ROWS` rows,
 so all hot keys together take at most the size of the data divided by that,
@@ -19,9 +20,14 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, VariantType
+
+from feedlake.sources.scratch import materialise
 
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
+# Places that the rows of a hot key are spread to.
+SALTS = 1 << 20
 
 
 def key_sizes(df: DataFrame, keys: list[str], rows: str = "key_rows") -> DataFrame:
@@ -29,10 +35,6 @@ def key_sizes(df: DataFrame, keys: list[str], rows: str = "key_rows") -> DataFra
     return df.groupBy(*keys).agg(F.count("*").alias(rows))
 
 
-def _aliased(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.withColumnsRenamed({key: f"_key_{key}" for key in keys})
-
-
 def _same_key(keys: list[str]) -> Column:
     return reduce(and_, (F.col(key).eqNullSafe(F.col(f"_key_{key}")) for key in keys))
 
@@ -43,17 +45,26 @@ def _hot(stats: DataFrame, keys: list[str], rows: str, hot_rows: int) -> DataFra
     return stats.where(F.col(rows) >= hot_rows).orderBy(F.desc(rows), *keys).limit(MAX_HOT_KEYS)
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """A number made of the row's values alone, so that a task that is run again deals its rows as before."""
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType) and not isinstance(f.dataType, VariantType)]
+    return F.xxhash64(*plain)
+
+
 def attach(
     df: DataFrame, stats: DataFrame, keys: list[str], rows: str = "key_rows", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Left join of `stats` (one row per key, `rows` telling the key's size in `df`) to the rows of `df`."""
-    renamed = _aliased(stats, keys)
-    hot = _aliased(_hot(stats, keys, rows, hot_rows), keys)
-    on = _same_key(keys)
-    aliases = [f"_key_{key}" for key in keys]
-    head = df.join(F.broadcast(hot), on, "inner").drop(*aliases)
-    tail = df.join(F.broadcast(hot.select(*aliases)), on, "left_anti").join(renamed, on, "left").drop(*aliases)
-    return head.unionByName(tail)
+    """Left join of a count per key to the rows of `df`: adds the column `rows` of `stats`.
+
+    `stats` has one row per key, with the key's size in `df`. It is read twice and should be a written table.
+    """
+    renamed = {key: f"_key_{key}" for key in keys}
+    hot = _hot(stats, keys, rows, hot_rows).select(*keys, F.col(rows).alias("_hot_rows")).withColumnsRenamed(renamed)
+    marked = df.join(F.broadcast(hot), _same_key(keys), "left").drop(*renamed.values())
+    salted = marked.withColumn("_salt", F.when(F.col("_hot_rows").isNull(), 0).otherwise(1 + F.pmod(_row_hash(df), F.lit(SALTS))))
+    plain = stats.select(*keys, F.col(rows).alias("_rows"), F.lit(0).cast("long").alias("_place")).withColumnsRenamed(renamed)
+    on = _same_key(keys) & (F.col("_salt") == F.col("_place"))
+    return salted.join(plain, on, "left").select(*df.columns, F.coalesce("_hot_rows", "_rows").alias(rows))
 
 
 def with_key_size(df: DataFrame, keys: list[str], name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -61,7 +72,7 @@ def with_key_size(df: DataFrame, keys: list[str], name: str, hot_rows: int = HOT
 
     Only keys with more than one row take part in the join back.
     """
-    repeated = key_sizes(df, keys, name).where(F.col(name) > 1)
+    repeated = materialise(key_sizes(df, keys, name).where(F.col(name) > 1), "repeated-keys")
     return attach(df, repeated, keys, name, hot_rows).withColumn(name, F.coalesce(name, F.lit(1).cast("long")))
 
 
@@ -79,6 +90,6 @@ def with_exists(
     `lookup` need not be unique on the keys.
     """
     rows = f"_{name}_rows"
-    absent = absent_keys(df, lookup, keys, rows)
+    absent = materialise(absent_keys(df, lookup, keys, rows), "absent-keys")
     present = reduce(and_, (F.col(key).isNotNull() for key in keys))
     return attach(df, absent, keys, rows, hot_rows).withColumn(name, present & F.col(rows).isNull()).drop(rows)

@@ -5,17 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-class AmbiguousMergeError(ValueError):
-    """Several source rows claim the same target row."""
-
-
-def require_unique(df: DataFrame, keys: list[str]) -> DataFrame:
-    """`df` itself; raises if two rows share a key, as an upsert would then be ambiguous."""
-    repeated = df.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1").head(1)
-    if repeated:
-        raise AmbiguousMergeError(f"key {repeated[0].asDict()} occurs {repeated[0]['copies']} times in the source")
-    return df
+AMBIGUOUS = "AMBIGUOUS_MERGE"
 
 
 def upsert(
@@ -29,8 +19,9 @@ def upsert(
 ) -> DataFrame:
     """Snapshot of `target` after inserting or updating the rows of `source`.
 
-    Both sides hold one row per key. With `version`, a source row replaces a
-    target row only if its version is strictly greater, so late and repeated
+    The target holds one row per key. Two source rows of one key make the upsert fail; they are met
+    in an aggregation by the keys that the join then joins by, so this takes no further shuffle. With `version`, a
+    source row replaces a target row only if its version is strictly greater, so late and repeated
     deliveries change nothing. `inserted_at` and `updated_at` name audit columns:
     both are set on insert, `updated_at` also on update, to `run_ts` or, if the
     source has the column itself, to the source's value.
@@ -39,11 +30,11 @@ def upsert(
     audit = [name for name in (inserted_at, updated_at) if name]
     values = [name for name in source.columns if name not in keys and name not in audit]
     source = source.withColumns({name: run_ts for name in audit if name not in source.columns})
+    new = _one_per_key(source, keys, [*values, *audit])
     if target is None:
-        return source.select(*keys, *values, *audit)
+        return new.select(*keys, "_new.*")
 
     old = target.select(*keys, F.struct(*values, *audit).alias("_old"))
-    new = source.select(*keys, F.struct(*values, *audit).alias("_new"))
     both = old.join(new, keys, "full_outer")
     inserts = F.col("_old").isNull()
     takes = F.col("_new").isNotNull()
@@ -57,3 +48,10 @@ def upsert(
             F.when(takes, F.col(f"_new.{updated_at}")).otherwise(F.col(f"_old.{updated_at}")).alias(updated_at)
         )
     return both.select(*keys, *columns)
+
+
+def _one_per_key(source: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """Keys and the struct `_new` of the other columns; a key with two rows fails the job that computes it."""
+    grouped = source.groupBy(*keys).agg(F.first(F.struct(*values)).alias("_new"), F.count("*").alias("_copies"))
+    message = F.format_string(f"{AMBIGUOUS}: key %s occurs %d times in the source", F.to_json(F.struct(*keys)), "_copies")
+    return grouped.select(*keys, F.when(F.col("_copies") > 1, F.raise_error(message)).otherwise(F.col("_new")).alias("_new"))

@@ -81,7 +81,8 @@ def run_batch(
             )
             staged = pool.submit(inherit(_stage_redemptions), lake, landing, batch_id, redemption_source, version)
         counts, after = members.result()
-        counts |= _redemptions(lake, batch_id, version, run_ts, staged.result(), after)
+        loaded, flattened = staged.result()
+        counts |= loaded | _redemptions(lake, batch_id, version, run_ts, flattened, after)
         lake.commit(batch_id)
     except Exception as error:
         lake.discard()
@@ -98,13 +99,13 @@ def _members(
 ) -> tuple[dict[str, int], DataFrame]:
     spark, root = lake.spark, raw_root(lake, "member")
 
-    def check(target: str, split_count: int) -> None:
-        require_contract(first_lines(spark, root, target, split_count), contract)
+    def check(target: str) -> None:
+        require_contract(first_lines(spark, root, target), contract)
 
-    load_feed(spark, landing, root, source, batch_id, check=check)
+    loaded = load_feed(spark, landing, root, source, batch_id, check=check)
     lines, line_count = loaded_lines(spark, root, batch_id)
     if not line_count:
-        raise NoFilesError(f"no member feed file found for batch {batch_id}")
+        raise NoFilesError(f"batch {batch_id} has no lines in any {source.folder} file")
 
     # One pass over the raw lines; valid and rejected rows go to folders of their own.
     evaluated, seen = lake.write_batch(
@@ -138,6 +139,9 @@ def _members(
     lake.write_projection(project(after, "country", affected), "member_country", version, "country", affected)
 
     counts = {
+        "member_files_loaded": loaded.files,
+        "member_lines_loaded": loaded.lines,
+        "member_files_replaced": loaded.replaced_files,
         "member_lines": line_count,
         "member_staged": seen["valid"],
         "member_rejected": seen["rows"] - seen["valid"],
@@ -146,12 +150,19 @@ def _members(
     return counts, after
 
 
-def _stage_redemptions(lake: Lake, landing: str, batch_id: str, source: FeedSource, version: int) -> DataFrame:
+def _stage_redemptions(
+    lake: Lake, landing: str, batch_id: str, source: FeedSource, version: int
+) -> tuple[dict[str, int], DataFrame]:
     root = raw_root(lake, "redemption")
-    load_feed(lake.spark, landing, root, source, batch_id, json=True)
+    loaded = load_feed(lake.spark, landing, root, source, batch_id, json=True)
     lines, _ = loaded_lines(lake.spark, root, batch_id)
     flattened = flatten_redemptions(raw_redemption(lines))
-    return lake.write_batch(flattened, "redemption_staging", REDEMPTION_STAGING, version, batch_id)[0]
+    counts = {
+        "redemption_files_loaded": loaded.files,
+        "redemption_lines_loaded": loaded.lines,
+        "redemption_files_replaced": loaded.replaced_files,
+    }
+    return counts, lake.write_batch(flattened, "redemption_staging", REDEMPTION_STAGING, version, batch_id)[0]
 
 
 def _redemptions(
@@ -283,6 +294,7 @@ def suite(lake: Lake) -> DataFrame:
     return check_suite(
         {
             "member_current": current,
+            "member_staging": staged,
             "member_eligible": eligible,
             "member_country": read_member_countries(lake),
             "member_moved": movements(held_before, current, "member_id", "country"),

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from feedlake.functions.dates import batch_date
 from feedlake.functions.text import record_type
 from feedlake.schemas import MEMBER_CONTRACT, FeedSource
-from feedlake.sources.scratch import materialise, new_folder
+from feedlake.sources.landing import delivered_files
+from feedlake.sources.scratch import materialise, new_folder, replace_file, small_frame
 
 BATCHES = ("20260926", "20260927")
 FILE_SOURCES = {
@@ -84,16 +85,22 @@ REDEMPTION_DOCUMENT = f"""
 || ']}}'
 """
 
-_feeds: dict[tuple[str, str, str], DataFrame] = {}
+_feeds: dict[tuple, DataFrame] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, key: str, build) -> DataFrame:
-    """A feed is input: it is written once per application and data folder, and read from there.
+def state(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    """Names, sizes and times of a table's files, by which a change is noticed."""
+    files = delivered_files(spark, f"{sf_dir}/{name}.parquet", ".*")
+    return tuple(sorted(files.select("file_path", "file_size", F.unix_micros("file_modified")).collect()))
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, source: str, key: str, build) -> DataFrame:
+    """A feed is input: it is written once per application and state of its source's files, and read from there.
 
     A table that is one small file would make the feed one file too, which a
     single task then reads; it is spread over the cores.
     """
-    place = (spark.sparkContext.applicationId, sf_dir, name)
+    place = (spark.sparkContext.applicationId, name, state(spark, sf_dir, source))
     if place not in _feeds:
         spread = build().repartition(spark.sparkContext.defaultParallelism, key)
         _feeds[place] = materialise(spread, f"feed-{name}")
@@ -126,11 +133,11 @@ def _redemption_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def member_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _once(spark, sf_dir, "member", "k", lambda: _member_lines(spark, sf_dir))
+    return _once(spark, sf_dir, "member", "customer", "k", lambda: _member_lines(spark, sf_dir))
 
 
 def redemption_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _once(spark, sf_dir, "redemption", "o_orderkey", lambda: _redemption_documents(spark, sf_dir))
+    return _once(spark, sf_dir, "redemption", "orders", "o_orderkey", lambda: _redemption_documents(spark, sf_dir))
 
 
 def _stamped(df: DataFrame) -> DataFrame:
@@ -199,13 +206,26 @@ def write_member_files(
     _write_files(headers.unionByName(details), f"{landing}/member", batch_id)
 
 
-def write_redemption_files(spark: SparkSession, sf_dir: str, landing: str, batch_id: str) -> None:
-    """The redemption documents of a day as files of ten thousand orders each, one document per line."""
+def rewrite_first_member_file(spark: SparkSession, sf_dir: str, landing: str, batch_id: str) -> None:
+    """Deliver the file of the smallest customers anew under its name: every line in capitals, and the details twice."""
+    folder = f"{landing}/member/{batch_id}/file_no=0"
+    name = delivered_files(spark, folder, ".*").first().file_path
+    lines = member_lines(spark, sf_dir).where((F.col("batch_id") == batch_id) & F.expr(f"k div {CUSTOMERS_PER_FILE} = 0"))
+    twice = lines.select(F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"), "k", "v", F.upper("raw_record").alias("text"))
+    header = small_frame(spark, [(0, -1, 0, HEADER.upper())], "copy int, k bigint, v int, text string")
+    rows = header.unionByName(twice).coalesce(1).sortWithinPartitions("copy", "k", "v").select("text")
+    anew = new_folder(spark, "anew")
+    rows.write.text(anew)
+    replace_file(spark, delivered_files(spark, anew, r".*/part-[^/]*").first().file_path, name)
+
+
+def write_redemption_files(spark: SparkSession, sf_dir: str, landing: str, batch_id: str, line: str = "%s") -> None:
+    """The redemption documents of a day as files of ten thousand orders each, one document per line, put into `line`."""
     documents = redemption_documents(spark, sf_dir).where(F.col("batch_id") == batch_id)
     rows = documents.select(
         F.expr(f"o_orderkey div {ORDERS_PER_FILE}").alias("file_no"),
         F.col("o_orderkey").alias("place"),
-        F.col("raw_text").alias("text"),
+        F.format_string(line, "raw_text").alias("text"),
     )
     _write_files(rows, f"{landing}/redemption", batch_id)
 

@@ -165,6 +165,13 @@ files as (
   union all
   select distinct batch_id, k // {CUSTOMERS_PER_FILE}, -1, '{HEADER}' from member_feed
 )"""
+REDELIVERED = f"""
+kept as (
+  select count(*) as n, count(*) filter (where raw_record = upper(raw_record)) as capitals, coalesce(max(line_no), 0) as last_line
+  from (select *, row_number() over (partition by file_no order by place) as line_no from files where batch_id = '{FIRST}' and file_no > 0) f),
+first_file as (
+  select count(*) - 1 as d, count(*) filter (where raw_record = upper(raw_record)) as old_capitals
+  from files where batch_id = '{FIRST}' and file_no = 0)"""
 TXN = "txn_id, member_id, feed_date, txn_date, partner, miles_redeemed, status"
 
 
@@ -173,6 +180,10 @@ def _verdict(name: str, violations: str) -> str:
   cast(count(*) as bigint) as violations from ({violations}) x"""
 
 
+def _ends_in(*digits: int) -> str:
+    return f"coalesce(try_cast(member_id as bigint) % 10 in ({', '.join(map(str, digits))}), false)"
+
+
 DUPLICATE_MEMBERS = "select member_id from current_members group by member_id having count(*) > 1"
 MISROUTED = f"""select member_id from current_members where country in ({DOMAIN}) group by member_id having count(*) <> 1
   union select member_id from current_members where country is null or country not in ({DOMAIN})"""
@@ -230,6 +241,31 @@ ORACLE: dict[str, str] = {
         (MEMBER_FEED, FILES),
         f"""select cast(case batch_id when '{FIRST}' then 1 else 3 end as integer) as call_no, count(*) as row_count
   from files group by batch_id union all select 2, 0""",
+    ),
+    "redelivered_file": _with(
+        (MEMBER_FEED, FILES, REDELIVERED),
+        """select 1 as call_no, 'LOADED' as status, n + d + 1 as lines_loaded, 0::bigint as files_replaced,
+  n + d + 1 as visible_lines, capitals + old_capitals as in_capitals, greatest(last_line, d + 1) as last_line from kept, first_file
+  union all
+  select 2, 'SKIPPED', 0, 0, n + d + 1, capitals + old_capitals, greatest(last_line, d + 1) from kept, first_file
+  union all
+  select 3, 'LOADED', 2 * d + 1, 1, n + 2 * d + 1, capitals + 2 * d + 1, greatest(last_line, 2 * d + 1) from kept, first_file""",
+    ),
+    "pattern_ingest": _with(
+        (MEMBER_FEED, FILES),
+        f"""select batch_id, file_no, count(*) as row_count from files
+  where batch_id = '{FIRST}' and file_no % 2 = 0 group by batch_id, file_no""",
+    ),
+    "array_ingest": _with(
+        (REDEMPTION_FEED,),
+        f"""select o_orderkey // {ORDERS_PER_FILE} as file_no,
+  row_number() over (partition by o_orderkey // {ORDERS_PER_FILE} order by o_orderkey) as source_row_number,
+  true as is_array, raw_text::json->>'member_id' as member_id from redemption_feed where batch_id = '{FIRST}'""",
+    ),
+    "malformed_ingest": _with(
+        (REDEMPTION_FEED,),
+        f"""select '{FIRST}' as batch_id, 0::bigint as visible_lines
+  union all select '{SECOND}', count(*) from redemption_feed where batch_id = '{SECOND}'""",
     ),
     "ingest_summary": _with(
         (MEMBER_FEED, FILES), "select batch_id, file_no, count(*) as row_count from files group by batch_id, file_no"
@@ -305,6 +341,25 @@ ORACLE: dict[str, str] = {
     "check_country_routing": _with(MEMBERS, _verdict("country_routing", MISROUTED)),
     "check_latest_wins": _with(MEMBERS, _verdict("latest_wins", OUTDATED)),
     "check_txn_unique": _with(EVERYTHING, _verdict("txn_unique", DUPLICATE_TXNS)),
+    "check_member_unique_found": _with(
+        MEMBERS, _verdict("member_unique", f"select member_id from current_members where {_ends_in(3)}")
+    ),
+    "check_country_routing_found": _with(
+        MEMBERS,
+        _verdict(
+            "country_routing",
+            f"select member_id from current_members where country in ({DOMAIN}) and {_ends_in(3, 4)} union {MISROUTED}",
+        ),
+    ),
+    "check_latest_wins_found": _with(
+        MEMBERS, _verdict("latest_wins", f"select member_id from current_members where {_ends_in(3, 4)}")
+    ),
+    "check_txn_unique_found": _with(
+        EVERYTHING, _verdict("txn_unique", "select txn_id from curated where txn_id like '%3-0'")
+    ),
+    "check_reconcile_found": _with(
+        EVERYTHING, RECONCILED.replace("from curated)", "from curated where txn_id not like '%3-0')")
+    ),
     "check_idempotent": _with(
         EVERYTHING,
         "\nunion all\n".join(
@@ -347,6 +402,21 @@ ORACLE: dict[str, str] = {
         MEMBERS, f"select country, member_id, batch_id, state, age from current_members where country in ({DOMAIN})"
     ),
     "daily_redemption": _with(EVERYTHING, f"select {TXN}, batch_id from curated"),
+    "daily_views": _with(
+        MEMBERS,
+        f"""select d.country, count(c.member_id) as members
+  from (select unnest([{DOMAIN}]) as country) d left join current_members c on c.country = d.country group by d.country
+  union all select 'ALL', count(*) from current_members""",
+    ),
+    "daily_audit": _with(
+        MEMBERS,
+        f"""select c.member_id, c.batch_id = '{SECOND}' and exists (
+    select 1 from daily d where d.member_id = c.member_id and d.batch_id = '{FIRST}') as updated_later, true as loaded_before_now
+  from current_members c""",
+    ),
+    "failed_batches": f"""select batch_id, 'FAILED' as status, batch_id = '{FIRST}' as names_header, true as completed,
+  cast(null as bigint) as rows_loaded, cast(null as bigint) as visible_lines, 0::bigint as members
+  from (select unnest(['{FIRST}', '{SECOND}']) as batch_id) b where exists (select 1 from customer)""",
     "events_props_extract": "select event_id, try_cast(props::json->>'k' as integer) as k from events",
     "orders_latest_per_customer": """select o_custkey, o_orderkey, o_orderstatus, o_totalprice from orders
   qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1""",

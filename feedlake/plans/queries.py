@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +19,19 @@ from feedlake.operators.rules import reason_counts
 from feedlake.operators.versions import conflicts, latest, latest_members, split_conflicts
 from feedlake.plans import daily, feeds, stages
 from feedlake.plans.feeds import BATCHES, FILE_SOURCES
-from feedlake.schemas import COUNTRIES, MEMBER_ATTRIBUTES, MEMBER_CONTRACT
-from feedlake.sources.landing import ingest_json, ingest_lines, ingest_summary, land
-from feedlake.sources.scratch import materialise, new_folder, small_frame
+from feedlake.schemas import COUNTRIES, MEMBER_ATTRIBUTES, MEMBER_CONTRACT, ContractError
+from feedlake.sources.landing import (
+    MalformedDocumentError,
+    NoFilesError,
+    ingest_json,
+    ingest_lines,
+    ingest_summary,
+    land,
+    loaded_lines,
+)
+from feedlake.sources.scratch import exists, materialise, new_folder, small_frame
 from feedlake.sources.tables import Lake
-from feedlake.streaming.load_once import ingest_new
+from feedlake.streaming.load_once import ingest_new, load_feed
 
 FIRST, SECOND = BATCHES
 ROW = ["batch_id", "source_row_number"]
@@ -155,12 +164,80 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         if batch_id:
             feeds.write_member_files(spark, sf_dir, landing, batch_id)
         ingest_new(spark, f"{landing}/member", checkpoint, sink, PATTERN)
-        files = spark.read.option("recursiveFileLookup", "true").schema("raw_text string")
-        lines = files.parquet(f"{sink_root}/call={call}") if batch_id else small_frame(spark, [], "raw_text string")
-        loaded.append(lines.agg(F.count("*").alias("row_count")).select(F.lit(call).alias("call_no"), "row_count"))
+        loaded.append(_passed_on(spark, f"{sink_root}/call={call}", call))
     return loaded[0].unionByName(loaded[1]).unionByName(loaded[2])
 
 
+def _passed_on(spark: SparkSession, folder: str, call: int) -> DataFrame:
+    """Number of lines below a folder, which is missing if nothing was passed on."""
+    ddl = "raw_text string"
+    files = spark.read.option("recursiveFileLookup", "true").schema(ddl)
+    lines = files.parquet(folder) if exists(spark, folder) else small_frame(spark, [], ddl)
+    return lines.agg(F.count("*").alias("row_count")).select(F.lit(call).alias("call_no"), "row_count")
+
+
+def redelivered_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines loaded and visible after three calls: first day, nothing changed, and one file delivered anew.
+
+    The file that comes anew is that of the smallest customers, each line in capitals and all lines twice.
+    """
+    landing, root = feeds.new_landing(spark), new_folder(spark, "raw")
+    source = FILE_SOURCES["member"]
+    seen = []
+    for call in (1, 2, 3):
+        if call == 1:
+            feeds.write_member_files(spark, sf_dir, landing, FIRST)
+        if call == 3:
+            feeds.rewrite_first_member_file(spark, sf_dir, landing, FIRST)
+        loaded = load_feed(spark, landing, root, source, FIRST)
+        lines, _ = loaded_lines(spark, root, FIRST)
+        counted = lines.agg(
+            F.count("*").alias("visible_lines"),
+            F.count_if(F.col("raw_text") == F.upper("raw_text")).alias("in_capitals"),
+            F.max("source_row_number").alias("last_line"),
+        )
+        told = [F.lit(call).alias("call_no"), F.lit(loaded.status).alias("status")]
+        numbers = {"lines_loaded": loaded.lines, "files_replaced": loaded.replaced_files}
+        seen.append(counted.select(*told, *(F.lit(n).cast("long").alias(name) for name, n in numbers.items()), *counted.columns))
+    return seen[0].unionByName(seen[1]).unionByName(seen[2])
+
+
+def pattern_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines per file where the pattern leaves out every file with an odd number."""
+    landing = _member_files(spark, sf_dir)
+    raw = ingest_lines(spark, f"{landing}/member", FIRST, r".*/file_no=\d*[02468]/[^/]*\.txt")
+    return ingest_summary(raw).select("batch_id", _file_no(), "row_count")
+
+
+def array_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents delivered as arrays of one: each stays one array."""
+    landing = feeds.new_landing(spark)
+    feeds.write_redemption_files(spark, sf_dir, landing, FIRST, "[%s]")
+    raw = ingest_json(spark, f"{landing}/redemption", FIRST, PATTERN)
+    return raw.select(
+        _file_no(), "source_row_number", F.schema_of_variant("raw_record").startswith("ARRAY").alias("is_array"),
+        text_at(F.col("raw_record"), "$[0].member_id").alias("member_id"),
+    )
+
+
+def malformed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible lines per day where the documents of the first day are broken off and its load fails as a whole."""
+    landing, root = feeds.new_landing(spark), new_folder(spark, "raw")
+    source = FILE_SOURCES["redemption"]
+    feeds.write_redemption_files(spark, sf_dir, landing, FIRST, "{%s")
+    feeds.write_redemption_files(spark, sf_dir, landing, SECOND)
+    for batch_id in BATCHES:
+        try:
+            load_feed(spark, landing, root, source, batch_id, json=True)
+        except MalformedDocumentError:
+            continue
+    days = [
+        loaded_lines(spark, root, batch_id)[0].agg(F.count("*").alias("visible_lines")).select(F.lit(batch_id).alias("batch_id"), "visible_lines")
+        for batch_id in BATCHES
+    ]
+    return days[0].unionByName(days[1])
+
+
 def file_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _ingested_members(spark, _member_files(spark, sf_dir))
     return ingest_summary(raw).select("batch_id", _file_no(), "row_count")
@@ -293,7 +370,7 @@ def check_country_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def check_latest_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = _staged(spark, sf_dir)
     current = _states(staged, (SECOND, FIRST))[-1]
-    wrong = checks.not_latest(current, _split(staged)[1], "member_id", "source_feed_timestamp")
+    wrong = checks.not_latest(current, _split(staged)[1], staged, "member_id", "source_feed_timestamp")
     return checks.verdict("latest_wins", wrong)
 
 
@@ -302,12 +379,58 @@ def check_txn_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.verdict("txn_unique", checks.repeated_keys(_curated(evaluated), ["txn_id"]))
 
 
-_lakes: dict[tuple[str, str], tuple[Lake, str]] = {}
+# The same checks over tables into which faults were put, so that each has something to find.
+
+
+def _numbered(place: int) -> Column:
+    """Members whose number ends in this digit."""
+    return F.coalesce(F.col("member_id").try_cast("long") % 10 == place, F.lit(False))
+
+
+def check_member_unique_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some members are there twice."""
+    current = _states(_staged(spark, sf_dir), BATCHES)[-1]
+    twice = current.unionByName(current.where(_numbered(3)))
+    return checks.verdict("member_unique", checks.repeated_keys(twice, ["member_id"]))
+
+
+def check_country_routing_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some members are in two countries and some in none."""
+    current = _states(_staged(spark, sf_dir), BATCHES)[-1]
+    routed = project(current, "country", COUNTRIES).where(~_numbered(3))
+    routed = routed.unionByName(routed.where(_numbered(4)).withColumn("country", F.lit("XXX")))
+    return checks.verdict("country_routing", checks.misrouted(current, routed, "member_id"))
+
+
+def check_latest_wins_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some members are held in an older version and some are missing."""
+    staged = _staged(spark, sf_dir)
+    current = _states(staged, BATCHES)[-1].where(~_numbered(4))
+    older = F.col("source_feed_timestamp") - F.expr("interval 1 day")
+    held = current.withColumn("source_feed_timestamp", F.when(_numbered(3), older).otherwise(F.col("source_feed_timestamp")))
+    wrong = checks.not_latest(held, _split(staged)[1], staged, "member_id", "source_feed_timestamp")
+    return checks.verdict("latest_wins", wrong)
+
+
+def check_txn_unique_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some transactions are there twice."""
+    curated = _curated(_redemptions(spark, sf_dir)[1])
+    twice = curated.unionByName(curated.where("txn_id like '%3-0'"))
+    return checks.verdict("txn_unique", checks.repeated_keys(twice, ["txn_id"]))
+
+
+def check_reconcile_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some accepted transactions are lost."""
+    flattened, evaluated = _redemptions(spark, sf_dir)
+    return checks.reconcile(flattened, evaluated, _curated(evaluated).where("txn_id not like '%3-0'"))
+
+
+_lakes: dict[tuple, tuple[Lake, str]] = {}
 
 
 def daily_lake(spark: SparkSession, sf_dir: str) -> tuple[Lake, str]:
-    """Both days processed from files; done once per application and data folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """Both days processed from files; done once per application and state of the tables' files."""
+    key = (spark.sparkContext.applicationId, feeds.state(spark, sf_dir, "customer"), feeds.state(spark, sf_dir, "orders"))
     if key not in _lakes:
         landing, lake = feeds.new_landing(spark), Lake(spark, new_folder(spark, "lake"))
         for batch_id in BATCHES:
@@ -323,7 +446,8 @@ def run_day(lake: Lake, landing: str, batch_id: str) -> dict[str, int]:
     )
 
 
-def _row_counts(lake: Lake) -> dict[str, int]:
+def _row_counts(lake: Lake, name: str) -> DataFrame:
+    """Rows of every published table, as one row each, written while the state is as it is now."""
     tables = {
         "dq_quarantine": daily.read_dq_quarantine(lake),
         "member_country": daily.read_member_countries(lake),
@@ -334,7 +458,8 @@ def _row_counts(lake: Lake) -> dict[str, int]:
         "redemption_quarantine": daily.read_redemption_quarantine(lake),
         "redemption_staging": daily.read_redemption_staging(lake),
     }
-    return {name: df.count() for name, df in tables.items()}
+    counted = [df.agg(F.count("*").alias(name)).select(F.lit(table).alias("table_name"), name) for table, df in tables.items()]
+    return materialise(reduce(DataFrame.unionByName, counted), name)
 
 
 def check_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -342,11 +467,9 @@ def check_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, lake = feeds.new_landing(spark), Lake(spark, new_folder(spark, "lake"))
     feeds.write_day(spark, sf_dir, landing, FIRST)
     run_day(lake, landing, FIRST)
-    before = _row_counts(lake)
+    before = _row_counts(lake, "rows_after_run")
     run_day(lake, landing, FIRST)
-    after = _row_counts(lake)
-    rows = [(name, before[name], after[name]) for name in before]
-    return small_frame(spark, rows, "table_name string, rows_after_run bigint, rows_after_rerun bigint")
+    return before.join(_row_counts(lake, "rows_after_rerun"), "table_name", "full_outer")
 
 
 def check_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -375,6 +498,40 @@ def daily_redemption(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.read_redemption(daily_lake(spark, sf_dir)[0]).select(*TXN, "batch_id")
 
 
+def daily_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members per country, asked of the published views in SQL."""
+    daily.create_views(daily_lake(spark, sf_dir)[0])
+    per_view = [f"select '{country}' as country, count(*) as members from member_{country.lower()}" for country in COUNTRIES]
+    return spark.sql(" union all ".join([*per_view, "select 'ALL', count(*) from member_current"]))
+
+
+def daily_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a member's row was updated after it was created, and whether its lines have their time of loading."""
+    lake = daily_lake(spark, sf_dir)[0]
+    current = daily.read_member_current(lake).select("member_id", (F.col("updated_at") > F.col("created_at")).alias("updated_later"))
+    staged = daily.read_member_staging(lake).groupBy("member_id").agg(F.bool_and(F.col("ingestion_timestamp") <= F.localtimestamp()).alias("loaded_before_now"))
+    return current.join(staged, "member_id")
+
+
+def failed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of two days that fail: one has files with wrong headers, the other no member file."""
+    landing, lake = feeds.new_landing(spark), Lake(spark, new_folder(spark, "lake"))
+    feeds.write_member_files(spark, sf_dir, landing, FIRST, feeds.HEADER_VARIANTS[1:])
+    feeds.write_redemption_files(spark, sf_dir, landing, FIRST)
+    feeds.write_redemption_files(spark, sf_dir, landing, SECOND)
+    for batch_id in BATCHES:
+        try:
+            run_day(lake, landing, batch_id)
+        except (ContractError, NoFilesError):
+            continue
+    lines = daily.read_raw_member(lake).groupBy("batch_id").agg(F.count("*").alias("visible_lines"))
+    published = daily.read_member_current(lake).agg(F.count("*").alias("members"))
+    ledger = daily.read_ledger(lake).select(
+        "batch_id", "status", F.col("error_message").contains("HEADER_").alias("names_header"), F.col("completed_at").isNotNull().alias("completed"), "rows_loaded"
+    )
+    return ledger.join(lines, "batch_id", "left").join(F.broadcast(published))
+
+
 # -- the same operators on the tables themselves -----------------------------------------------
 
 
@@ -412,6 +569,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_member_ingest": raw_member_ingest,
     "raw_redemption_ingest": raw_redemption_ingest,
     "incremental_ingest": incremental_ingest,
+    "redelivered_file": redelivered_file,
+    "pattern_ingest": pattern_ingest,
+    "array_ingest": array_ingest,
+    "malformed_ingest": malformed_ingest,
     "ingest_summary": file_summary,
     "contract_check": contract_check,
     "member_parse": member_parse,
@@ -436,12 +597,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_country_routing": check_country_routing,
     "check_latest_wins": check_latest_wins,
     "check_txn_unique": check_txn_unique,
+    "check_member_unique_found": check_member_unique_found,
+    "check_country_routing_found": check_country_routing_found,
+    "check_latest_wins_found": check_latest_wins_found,
+    "check_txn_unique_found": check_txn_unique_found,
+    "check_reconcile_found": check_reconcile_found,
     "check_idempotent": check_idempotent,
     "check_suite": check_suite,
     "batch_ledger": batch_ledger,
     "daily_member_current": daily_member_current,
     "daily_member_countries": daily_member_countries,
     "daily_redemption": daily_redemption,
+    "daily_views": daily_views,
+    "daily_audit": daily_audit,
+    "failed_batches": failed_batches,
     "events_props_extract": events_props_extract,
     "orders_latest_per_customer": orders_latest_per_customer,
     "events_upsert_by_user": events_upsert_by_user,

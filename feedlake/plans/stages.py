@@ -24,6 +24,7 @@ from feedlake.schemas import (
     FeedContract,
     column_names,
 )
+from feedlake.sources.scratch import materialise
 
 
 def evaluate_members(raw: DataFrame, contract: FeedContract = MEMBER_CONTRACT) -> DataFrame:
@@ -67,12 +68,12 @@ def evaluate_redemptions(
 
     All copies of a transaction id within a batch are rejected, and so are
     transactions of members that are not in `members`. Both facts are found per
-    key from the key columns alone and then brought to the rows. With `member`
+    key from the key columns alone, written, and then brought to the rows, which are read once. With `member`
     as batch and member id, each batch has members of its own.
     """
     txn, member = ["batch_id", "txn_id"], list(member)
-    repeated = key_sizes(flattened, txn, "txn_id_rows").where("txn_id_rows > 1")
-    unknown = absent_keys(flattened, members, member, "unknown_rows")
+    repeated = materialise(key_sizes(flattened, txn, "txn_id_rows").where("txn_id_rows > 1"), "repeated-txns")
+    unknown = materialise(absent_keys(flattened, members, member, "unknown_rows"), "unknown-members")
     marked = attach(attach(flattened, repeated, txn, "txn_id_rows", hot_rows), unknown, member, "unknown_rows", hot_rows)
     judged = evaluate(marked.withColumn("member_known", F.col("unknown_rows").isNull()), redemption_rules())
     return judged.select(column_names(REDEMPTION_EVALUATED))

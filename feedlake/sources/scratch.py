@@ -54,6 +54,14 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def replace_file(spark: SparkSession, source_uri: str, target_uri: str) -> None:
+    """Put a file in place of another, both named by their URIs."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)) for uri in (source_uri, target_uri))
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(target, False)
+    files.rename(source, target)
+
+
 def small_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     """A frame of a few given rows, handed over as Arrow, which starts no Python worker."""
     schema = StructType.fromDDL(ddl)

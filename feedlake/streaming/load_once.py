@@ -3,13 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feedlake.schemas import FeedSource
-from feedlake.sources.landing import index_splits, land, landing_folder, note_load, text_lines
-from feedlake.sources.scratch import exists
+from feedlake.sources.landing import (
+    Register,
+    delivered_files,
+    index_splits,
+    land,
+    landing_folder,
+    note_load,
+    note_replaced,
+    text_lines,
+    visible_splits,
+)
+from feedlake.sources.scratch import exists, small_frame
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -53,6 +65,20 @@ def ingest_new(
     return len(loads)
 
 
+@dataclass
+class LoadResult:
+    """What a call has loaded; `status` is LOADED or SKIPPED."""
+
+    loads: int = 0
+    files: int = 0
+    lines: int = 0
+    replaced_files: int = 0
+
+    @property
+    def status(self) -> str:
+        return "LOADED" if self.loads else "SKIPPED"
+
+
 def load_feed(
     spark: SparkSession,
     landing: str,
@@ -60,21 +86,55 @@ def load_feed(
     source: FeedSource,
     batch_id: str,
     json: bool = False,
-    check: Callable[[str, int], None] | None = None,
-) -> int:
-    """Load the new files of one feed and batch into RAW; returns how many loads ran.
+    check: Callable[[str], None] | None = None,
+) -> LoadResult:
+    """Load the new and the changed files of one feed and batch into RAW.
 
-    `check` gets the folder of the landed lines and their number of splits before
+    A file that was loaded is skipped as long as its size and modification time stay; once they differ, its
+    lines replace those loaded before. A file that is empty or gone delivers nothing. `check` gets the folder of the landed lines before
     they become visible, and may raise; then nothing of the load does.
     """
+    path, checkpoint = f"{landing}/{source.folder}/{batch_id}", f"{raw_root}/checkpoints/{batch_id}"
+    result = LoadResult()
 
-    def sink(batch: DataFrame, load: int) -> None:
+    def store(batch: DataFrame, load: int) -> Register:
         target = landing_folder(raw_root, batch_id, load)
         land(batch, target, json)
-        split_count, line_count = index_splits(batch.sparkSession, raw_root, target, source.folder, batch_id)
+        register = index_splits(batch.sparkSession, raw_root, target, source.folder, batch_id, heads=not json)
         if check:
-            check(target, split_count)
-        note_load(batch.sparkSession, raw_root, batch_id, load, split_count, line_count)
+            check(target)
+        return register
 
-    path, checkpoint = f"{landing}/{source.folder}/{batch_id}", f"{raw_root}/checkpoints/{batch_id}"
-    return ingest_new(spark, path, checkpoint, sink, source.pattern, source.whole_file)
+    def sink(batch: DataFrame, load: int) -> None:
+        register = store(batch, load)
+        note_load(batch.sparkSession, raw_root, batch_id, load, register)
+        _add(result, register)
+
+    if not exists(spark, path):
+        return result
+    ingest_new(spark, path, checkpoint, sink, source.pattern, source.whole_file)
+
+    splits, load = visible_splits(spark, raw_root, batch_id)
+    loaded = splits.groupBy("file_path").agg(
+        F.max("file_size").alias("old_size"), F.max("file_modified").alias("old_modified"), F.sum("line_count").alias("old_lines")
+    )
+    same = F.col("file_size").eqNullSafe(F.col("old_size")) & F.col("file_modified").eqNullSafe(F.col("old_modified"))
+    changed = delivered_files(spark, path, source.pattern).join(loaded, "file_path", "left").where(~same & (F.col("file_size") > 0))
+    # Spark lists all paths of a folder on the driver anyway; these are the few among them that differ.
+    found = changed.select("file_path", F.coalesce("old_lines", F.lit(0)).alias("old_lines")).collect()
+    if found:
+        paths = [row.file_path for row in found]
+        register = store(text_lines(spark.read, path, source.pattern, source.whole_file, paths), load)
+        replaced_lines = sum(row.old_lines for row in found)
+        if register.lines or replaced_lines:
+            note_replaced(spark, raw_root, batch_id, load, small_frame(spark, [(path,) for path in paths], "file_path string"))
+            note_load(spark, raw_root, batch_id, load, register, replaced_lines)
+            _add(result, register)
+            result.replaced_files += sum(row.old_lines > 0 for row in found)
+    return result
+
+
+def _add(result: LoadResult, register: Register) -> None:
+    result.loads += 1
+    result.files += register.files
+    result.lines += register.lines

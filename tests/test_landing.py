@@ -41,9 +41,9 @@ def small_splits(spark):
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-@pytest.mark.parametrize("broadcast_limit", [1_000_000, 0])
+@pytest.mark.parametrize("broadcast_limit", [64 << 20, 0])
 def test_line_numbers_across_splits(spark, folder, small_splits, monkeypatch, broadcast_limit):
-    monkeypatch.setattr(landing, "MAX_BROADCAST_SPLITS", broadcast_limit)
+    monkeypatch.setattr(landing, "MAX_BROADCAST_BYTES", broadcast_limit)
     for name, size in (("a", 60_000), ("b", 50_003), ("c", 1)):
         (folder / f"{name}.csv").write_text("".join(f"|D|{name}|{n}\n" for n in range(1, size + 1)))
     raw = ingest_lines(spark, str(folder.parent), DAY)
@@ -158,17 +158,28 @@ def test_every_file_is_checked(spark, folder):
         require_contract(raw, MEMBER_CONTRACT)
 
 
-def test_first_lines_reads_only_heads(spark, folder, small_splits, tmp_path):
+def test_first_lines_come_from_the_register(spark, folder, small_splits, tmp_path):
     for name in "ab":
         (folder / f"{name}.csv").write_text("".join(f"|{name}|{n}\n" for n in range(1, 40_000)))
     root = str(tmp_path / "landed")
     target = landing.landing_folder(root, DAY, 0)
     land(text_lines(spark.read, str(folder), ".*"), target)
-    split_count, line_count = index_splits(spark, root, target, "member", DAY)
-    assert split_count > 2 and line_count == 2 * 39_999
-    heads = first_lines(spark, root, target, split_count)
+    register = index_splits(spark, root, target, "member", DAY, heads=True)
+    assert register.lines == 2 * 39_999 and register.files == 2
+    heads = first_lines(spark, root, target)
     assert sorted(r.raw_record for r in heads.collect()) == ["|a|1", "|b|1"]
-    assert "EqualTo(split_start,0)" in heads._jdf.queryExecution().executedPlan().toString()
+    assert "/lines" not in heads._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_large_register_is_not_broadcast(spark, folder, monkeypatch):
+    for number in range(30):
+        (folder / f"{number}.csv").write_text("|D|1\n")
+
+    def forced(limit):
+        monkeypatch.setattr(landing, "MAX_BROADCAST_BYTES", limit)
+        return "strategy=broadcast" in ingest_lines(spark, str(folder.parent), DAY)._jdf.queryExecution().logical().toString()
+
+    assert forced(64 << 20) and not forced(30 * landing.SPLIT_ROW_BYTES)
 
 
 def test_json_documents(spark, tmp_path):
@@ -200,7 +211,7 @@ def test_files_are_loaded_once(spark, folder, tmp_path):
     landing_root, raw_root = str(tmp_path), str(tmp_path / "raw")
 
     def load():
-        return load_feed(spark, landing_root, raw_root, FeedSource("member", r".*\.csv"), DAY)
+        return load_feed(spark, landing_root, raw_root, FeedSource("member", r".*\.csv"), DAY).loads
 
     def visible():
         lines, count = loaded_lines(spark, raw_root, DAY)
@@ -219,18 +230,46 @@ def test_files_are_loaded_once(spark, folder, tmp_path):
     assert numbers == {("a.csv", 1), ("a.csv", 2), ("b.csv", 1)}
 
 
+def test_a_changed_file_replaces_its_lines(spark, folder, tmp_path):
+    landing_root, raw_root, source = str(tmp_path), str(tmp_path / "raw"), FeedSource("member", ".*")
+
+    def load():
+        result = load_feed(spark, landing_root, raw_root, source, DAY)
+        lines, count = loaded_lines(spark, raw_root, DAY)
+        rows = sorted((r.source_file_name[-5:], r.source_row_number, r.raw_text) for r in lines.collect())
+        assert len(rows) == count
+        return (result.status, result.files, result.lines, result.replaced_files), [(name, text) for name, _, text in rows]
+
+    (folder / "a.csv").write_text("1\n2\n")
+    (folder / "b c.csv").write_text("3\n")
+    (folder / "e.csv").write_text("")
+    first = [("c.csv", "3"), ("a.csv", "1"), ("a.csv", "2")]
+    assert load() == (("LOADED", 2, 3, 0), sorted(first))
+    assert load()[0] == ("SKIPPED", 0, 0, 0)
+    (folder / "a.csv").write_text("1\n2 mended\n4\n")
+    (folder / "e.csv").write_text("5\n")
+    second = [("c.csv", "3"), ("a.csv", "1"), ("a.csv", "2 mended"), ("a.csv", "4"), ("e.csv", "5")]
+    assert load() == (("LOADED", 2, 4, 1), sorted(second))
+    assert load()[0] == ("SKIPPED", 0, 0, 0)
+    (folder / "b c.csv").write_text("")  # an emptied file delivers nothing, as one that is taken away
+    (folder / "n.csv").write_text("6\n")
+    (folder / "a.csv").write_text("7\n")
+    assert load()[1] == [("a.csv", "7"), ("c.csv", "3"), ("e.csv", "5"), ("n.csv", "6")]
+    assert load()[0] == ("SKIPPED", 0, 0, 0)
+
+
 def test_a_failed_load_is_invisible_and_repeated(spark, folder, tmp_path):
     landing_root, raw_root = str(tmp_path), str(tmp_path / "raw")
     (folder / "a.csv").write_text("|D|1\n")
 
-    def refuse(target, split_count):
+    def refuse(target):
         raise ContractError("not today")
 
     with pytest.raises(ContractError, match="not today"):
         load_feed(spark, landing_root, raw_root, FeedSource("member", ".*"), DAY, check=refuse)
     assert loaded_lines(spark, raw_root, DAY)[1] == 0
     (folder / "a.csv").write_text("|D|1 mended\n")
-    assert load_feed(spark, landing_root, raw_root, FeedSource("member", ".*"), DAY) == 1
+    assert load_feed(spark, landing_root, raw_root, FeedSource("member", ".*"), DAY).loads == 1
     assert [r.raw_text for r in loaded_lines(spark, raw_root, DAY)[0].collect()] == ["|D|1 mended"]
 
 
@@ -239,7 +278,7 @@ def test_a_refused_file_may_be_taken_away(spark, folder, tmp_path):
     (folder / "good.csv").write_text("|D|good\n")
     (folder / "bad.csv").write_text("|D|bad\n")
 
-    def refuse(target, split_count):
+    def refuse(target):
         raise ContractError("no")
 
     with pytest.raises(ContractError):
@@ -256,7 +295,7 @@ def test_whole_files_are_loaded_once(spark, tmp_path):
     folder.mkdir(parents=True)
     (folder / "a.json").write_text('{\n"a": 1\n}\n')
     source = FeedSource("redemption", r".*\.json", whole_file=True)
-    assert load_feed(spark, str(tmp_path), str(tmp_path / "raw"), source, DAY, json=True) == 1
+    assert load_feed(spark, str(tmp_path), str(tmp_path / "raw"), source, DAY, json=True).loads == 1
     lines, count = loaded_lines(spark, str(tmp_path / "raw"), DAY)
     assert count == 1 and lines.first().raw_text == '{\n"a": 1\n}\n'
 

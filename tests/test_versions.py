@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from feedlake.operators.merge import AmbiguousMergeError, require_unique, upsert
+from feedlake.operators.merge import AMBIGUOUS, upsert
 from feedlake.operators.routing import affected_partitions, changed_keys, movements, project, reroute
 from feedlake.operators.versions import CONFLICT_REASON, conflicts, latest, split_conflicts
 
@@ -51,9 +51,12 @@ def test_latest_limits_before_the_shuffle(spark):
 
 
 def test_upsert_needs_unique_source(spark):
-    with pytest.raises(AmbiguousMergeError):
-        require_unique(frame(spark, ROWS), ["id", "ver"])
-    assert require_unique(frame(spark, ROWS), ["row"]).count() == len(ROWS)
+    twice = frame(spark, [("1", 1, "x", "y", 1), ("1", 2, "x", "y", 2), ("2", 1, "x", "y", 3)])
+    once = frame(spark, [("1", 1, "x", "y", 1)])
+    for target in (None, once):
+        with pytest.raises(Exception, match=f'{AMBIGUOUS}: key .*"1".* occurs 2 times'):
+            upsert(target, twice, ["id"], version="ver").collect()
+        assert upsert(target, once, ["id"], version="ver").count() == 1
 
 
 def stamp(day):
