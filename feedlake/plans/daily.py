@@ -12,8 +12,9 @@ from feedlake.functions.dates import check_batch_id
 from feedlake.operators.checks import check_suite
 from feedlake.operators.contract import require_contract
 from feedlake.operators.ledger import FAILED, RUNNING, SUCCESS, ledger_event, ledger_state
+from feedlake.operators.merge import upsert
 from feedlake.operators.parse import flatten_redemptions
-from feedlake.operators.routing import affected_partitions, movements, project
+from feedlake.operators.routing import affected_partitions, changed_keys, movements, project, reroute
 from feedlake.operators.versions import conflicts, latest_members, split_conflicts
 from feedlake.plans import stages
 from feedlake.schemas import (
@@ -40,7 +41,7 @@ from feedlake.streaming.load_once import load_feed
 FEED_TYPE = "PIPELINE"
 CONFLICTING_VERSIONS = "batch_id string, member_id string, source_feed_timestamp timestamp_ntz, key_rows bigint"
 BASE, RECENT = "base", "recent"
-# Changes to curated transactions are folded into the base when they reach this share of its rows.
+# Changes to members and curated transactions are folded into the base when they reach this share of its rows.
 FOLD_SHARE = 0.2
 MEMBER_KEY, REDEMPTION_KEY = ["member_id"], ["txn_id"]
 
@@ -80,9 +81,9 @@ def run_batch(
                 inherit(_members), lake, landing, batch_id, contract, member_source, version, run_ts
             )
             staged = pool.submit(inherit(_stage_redemptions), lake, landing, batch_id, redemption_source, version)
-        counts, after = members.result()
+        counts, known = members.result()
         loaded, flattened = staged.result()
-        counts |= loaded | _redemptions(lake, batch_id, version, run_ts, flattened, after)
+        counts |= loaded | _redemptions(lake, batch_id, version, run_ts, flattened, known)
         lake.commit(batch_id)
     except Exception as error:
         lake.discard()
@@ -126,17 +127,7 @@ def _members(
     bad, good = split_conflicts(staged, pairs.drop("batch_id"), "member_id", "source_feed_timestamp")
     _, clashing = lake.write_batch(bad, "conflicting_members", DQ_QUARANTINE, version, batch_id)
 
-    before = lake.read_entity("member_current", MEMBER_CURRENT, MEMBER_KEY)
-    newest = latest_members(good)
-    if int(spark.conf.get("spark.sql.shuffle.partitions")) != lake.buckets:
-        newest = lake.in_buckets(newest, MEMBER_KEY)  # else the latest rows are in their buckets already
-    after = lake.write_entity(
-        stages.merge_members(before, newest, run_ts), "member_current", MEMBER_CURRENT, version, MEMBER_KEY
-    )
-
-    touched = affected_partitions(before, after, "member_id", "country", LINEAGE)
-    affected = sorted(row.country for row in touched.where(F.col("country").isin(*COUNTRIES)).collect())
-    lake.write_projection(project(after, "country", affected), "member_country", version, "country", affected)
+    known = _hold_members(lake, latest_members(good), seen["valid"], version, run_ts)
 
     counts = {
         "member_files_loaded": loaded.files,
@@ -147,7 +138,40 @@ def _members(
         "member_rejected": seen["rows"] - seen["valid"],
         "member_conflicting": clashing["rows"],
     }
-    return counts, after
+    return counts, known
+
+
+def _hold_members(lake: Lake, newest: DataFrame, newest_rows: int, version: int, run_ts: Column) -> DataFrame:
+    """Merge a day's latest rows into the current members; returns the member ids that are known then.
+
+    A day costs what it delivers, not what there is: only the members it names are looked up and merged, and they are kept in
+    a slot of recent changes. Base and country tables are rewritten, countries as far as they differ, when the
+    recent changes outgrow a share of the base.
+    """
+    base, recent = (lake.read_entity("member_current", MEMBER_CURRENT, MEMBER_KEY, slot) for slot in (BASE, RECENT))
+    if int(lake.spark.conf.get("spark.sql.shuffle.partitions")) != lake.buckets:
+        newest = lake.in_buckets(newest, MEMBER_KEY)  # else the latest rows are in their buckets already
+    if base is None:
+        changes = stages.merge_members(None, newest, run_ts)
+    else:
+        named = newest.select(*MEMBER_KEY)
+        held = base.join(named, MEMBER_KEY, "left_semi")
+        if recent is not None:
+            held = upsert(held, recent.join(named, MEMBER_KEY, "left_semi"), MEMBER_KEY)
+        changes = stages.merge_members(held, newest, run_ts)
+        if recent is not None:
+            changes = upsert(recent, changes, MEMBER_KEY)
+    changed_rows = lake.row_count("member_current", RECENT) + newest_rows
+    if base is not None and changed_rows <= FOLD_SHARE * lake.row_count("member_current", BASE):
+        recent = lake.write_entity(changes, "member_current", MEMBER_CURRENT, version, MEMBER_KEY, RECENT)
+        return base.select(*MEMBER_KEY).unionByName(recent.select(*MEMBER_KEY))
+    folded = changes if base is None else upsert(base, changes, MEMBER_KEY)
+    after = lake.write_entity(folded, "member_current", MEMBER_CURRENT, version, MEMBER_KEY, BASE)
+    lake.empty_slot("member_current", RECENT, version)
+    touched = affected_partitions(base, after, "member_id", "country", LINEAGE)
+    affected = sorted(row.country for row in touched.where(F.col("country").isin(*COUNTRIES)).collect())
+    lake.write_projection(project(after, "country", affected), "member_country", version, "country", affected)
+    return after.select(*MEMBER_KEY)
 
 
 def _stage_redemptions(
@@ -229,13 +253,19 @@ def read_dq_quarantine(lake: Lake) -> DataFrame:
 
 
 def read_member_current(lake: Lake) -> DataFrame:
-    held = lake.read_entity("member_current", MEMBER_CURRENT, MEMBER_KEY)
-    return small_frame(lake.spark, [], MEMBER_CURRENT) if held is None else held
+    base, recent = (lake.read_entity("member_current", MEMBER_CURRENT, MEMBER_KEY, slot) for slot in (BASE, RECENT))
+    if base is None:
+        return small_frame(lake.spark, [], MEMBER_CURRENT)
+    return base if recent is None else upsert(base, recent, MEMBER_KEY)
 
 
 def read_member_countries(lake: Lake) -> DataFrame:
-    """All country tables together; filter on `country` for one of them."""
-    return lake.read("member_country", MEMBER_CURRENT)
+    """All country tables together, recent changes routed in; filter on `country` for one of them."""
+    routed = lake.read("member_country", MEMBER_CURRENT)
+    recent = lake.read_entity("member_current", MEMBER_CURRENT, MEMBER_KEY, RECENT)
+    if recent is None:
+        return routed
+    return reroute(routed, recent, changed_keys(recent, "member_id"), "member_id", "country", COUNTRIES)
 
 
 def read_redemption_staging(lake: Lake) -> DataFrame:

@@ -81,6 +81,8 @@ def test_two_days(lake, landing):
     first_day(landing)
     counts = run_batch(lake, landing, D1)
     assert counts == {
+        "member_files_loaded": 1, "member_lines_loaded": 10, "member_files_replaced": 0,
+        "redemption_files_loaded": 1, "redemption_lines_loaded": 4, "redemption_files_replaced": 0,
         "member_lines": 10, "member_staged": 6, "member_rejected": 1, "member_conflicting": 2,
         "redemption_flattened": 7, "redemption_accepted": 2, "redemption_rejected": 5,
     }
@@ -229,6 +231,55 @@ def test_small_changes_leave_the_curated_base_alone(lake, landing):
     require_passed(daily.suite(lake))
 
 
+def test_small_deliveries_leave_members_and_countries_alone(lake, landing):
+    def versions(table):
+        return {s.slot: (s.version, s.row_count) for s in lake.slots(table)}
+
+    deliver(landing, D1, [line(member=str(n), country="USA" if n % 2 else "IND") for n in range(40)], [])
+    run_batch(lake, landing, D1)
+    created = {r.member_id: r.created_at for r in daily.read_member_current(lake).collect()}
+    routed = versions("member_country")
+
+    deliver(landing, D2, [line(member="1", country="IND"), line(member="2", country="FRA"), line(member="new")], [document("new", D2, [txn()])])
+    assert run_batch(lake, landing, D2)["redemption_accepted"] == 1
+    assert versions("member_current") == {"base": (1, 40), "recent": (2, 3)}
+    assert versions("member_country") == routed
+    assert (countries(lake)["1"], countries(lake)["2"], countries(lake)["new"], countries(lake)["3"]) == ("IND", "FRA", "USA", "USA")
+    assert len(countries(lake)) == daily.read_member_countries(lake).count() == 41
+    rows = {r.member_id: r for r in daily.read_member_current(lake).collect()}
+    assert rows["1"].created_at == created["1"] < rows["1"].updated_at and rows["3"].updated_at == created["3"]
+    require_passed(daily.suite(lake))
+
+    run_batch(lake, landing, D1)  # late and large: nothing changes, and the recent changes are folded in
+    assert versions("member_current") == {"base": (3, 41), "recent": (3, 0)}
+    assert countries(lake)["1"] == "IND" and current(lake)["1"] == ("IND", D2)
+    assert {slot for slot, (version, _) in versions("member_country").items() if version == 3} == {"country=USA", "country=IND", "country=FRA"}
+    again = {r.member_id: r for r in daily.read_member_current(lake).collect()}
+    assert again == rows
+    require_passed(daily.suite(lake))
+
+
+def test_a_later_file_that_contradicts_an_accepted_member(lake, landing):
+    deliver(landing, D1, [line(member="1", country="USA"), line(member="2")], [])
+    run_batch(lake, landing, D1)
+    deliver(landing, D1, [line(member="1", country="FRA")], file="more_member_profile_feed.csv")
+    run_batch(lake, landing, D1)
+    assert current(lake)["1"] == ("USA", D1) and len(quarantine(lake)[0]) == 2
+    require_passed(daily.suite(lake))
+
+
+def test_a_changed_file_is_taken_in(lake, landing):
+    deliver(landing, D1, [line(member="1", country="USA"), line(member="2", country="")], [])
+    run_batch(lake, landing, D1)
+    deliver(landing, D1, [line(member="1", country="USA"), line(member="2", country="CAN"), line(member="3")], [])
+    counts = run_batch(lake, landing, D1)
+    assert (counts["member_files_loaded"], counts["member_files_replaced"], counts["member_lines"]) == (1, 1, 4)
+    assert countries(lake) == {"1": "USA", "2": "CAN", "3": "USA"} and quarantine(lake)[0] == []
+    assert daily.read_raw_member(lake).count() == 4
+    assert run_batch(lake, landing, D1)["member_files_loaded"] == 0
+    require_passed(daily.suite(lake))
+
+
 def test_each_bucket_is_one_file(spark, lake, landing):
     from pathlib import Path
 
