@@ -23,6 +23,7 @@ from feedlake.schemas import COUNTRIES, MEMBER_ATTRIBUTES, MEMBER_CONTRACT, Cont
 from feedlake.sources.landing import (
     MalformedDocumentError,
     NoFilesError,
+    first_lines,
     ingest_json,
     ingest_lines,
     ingest_summary,
@@ -110,11 +111,25 @@ def _curated(evaluated: DataFrame) -> DataFrame:
 # -- files -----------------------------------------------------------------------------------
 
 
+_deliveries: dict[tuple, str] = {}
+
+
+def _delivered(spark: SparkSession, sf_dir: str, table: str, variant: object, write: Callable[[str, str], None]) -> str:
+    """A landing folder with the files of both days; files are input, written once per state of their table."""
+    key = (spark.sparkContext.applicationId, feeds.state(spark, sf_dir, table), variant)
+    if key not in _deliveries:
+        landing = feeds.new_landing(spark)
+        for batch_id in BATCHES:
+            write(landing, batch_id)
+        _deliveries[key] = landing
+    return _deliveries[key]
+
+
 def _member_files(spark: SparkSession, sf_dir: str, headers: tuple[str, ...] = (feeds.HEADER,)) -> str:
-    landing = feeds.new_landing(spark)
-    for batch_id in BATCHES:
-        feeds.write_member_files(spark, sf_dir, landing, batch_id, headers)
-    return landing
+    return _delivered(
+        spark, sf_dir, "customer", headers,
+        lambda landing, batch_id: feeds.write_member_files(spark, sf_dir, landing, batch_id, headers),
+    )
 
 
 def _ingested_members(spark: SparkSession, landing: str) -> DataFrame:
@@ -135,11 +150,11 @@ def raw_member_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_redemption_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landing = feeds.new_landing(spark)
-    days = []
-    for batch_id in BATCHES:
-        feeds.write_redemption_files(spark, sf_dir, landing, batch_id)
-        days.append(ingest_json(spark, f"{landing}/redemption", batch_id, PATTERN))
+    landing = _delivered(
+        spark, sf_dir, "orders", "documents",
+        lambda landing, batch_id: feeds.write_redemption_files(spark, sf_dir, landing, batch_id),
+    )
+    days = [ingest_json(spark, f"{landing}/redemption", batch_id, PATTERN) for batch_id in BATCHES]
     raw = days[0].unionByName(days[1])
     return raw.select(
         "batch_id",
@@ -244,8 +259,12 @@ def file_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contract_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _ingested_members(spark, _member_files(spark, sf_dir, feeds.HEADER_VARIANTS))
-    return check_contract(raw, MEMBER_CONTRACT).select("batch_id", _file_no(), "violation")
+    """The first lines of all files, as the daily batch reads them from the register of splits, against the contract."""
+    landing, root = _member_files(spark, sf_dir, feeds.HEADER_VARIANTS), new_folder(spark, "raw")
+    heads = []
+    for batch_id in BATCHES:
+        load_feed(spark, landing, root, FILE_SOURCES["member"], batch_id, check=lambda target: heads.append(first_lines(spark, root, target)))
+    return check_contract(reduce(DataFrame.unionByName, heads), MEMBER_CONTRACT).select("batch_id", _file_no(), "violation")
 
 
 # -- members ---------------------------------------------------------------------------------
