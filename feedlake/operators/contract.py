@@ -34,8 +34,10 @@ def check_contract(raw: DataFrame, contract: FeedContract) -> DataFrame:
 
 
 def require_contract(raw: DataFrame, contract: FeedContract) -> None:
-    """Raise if any file violates the contract; a few of them are named."""
-    found = check_contract(raw, contract).orderBy("source_file_name").head(5)
-    if found:
-        named = ", ".join(f"{row.source_file_name}: {row.violation}" for row in found)
-        raise ContractError(f"feed does not follow contract version {contract.version} ({named})")
+    """Raise if any file violates the contract, with the number of such files and a few of their names."""
+    found = check_contract(raw, contract)
+    told = found.groupBy("violation").agg(F.count("*").alias("files"), F.min(F.concat_ws(": ", "source_file_name", "violation")).alias("example"))
+    rows = told.orderBy("violation").collect()  # at most one row per kind of violation
+    if rows:
+        named = ", ".join(f"{row.example} and {row.files - 1} more" if row.files > 1 else row.example for row in rows)
+        raise ContractError(f"{sum(row.files for row in rows)} files do not follow contract version {contract.version} ({named})")

@@ -59,6 +59,9 @@ class FeedContract:
         absent = {"version", "record_type", "expected_field_count", "expected_header", "fields"} - set(spec)
         if absent:
             raise ContractError(f"contract lacks {', '.join(sorted(absent))}")
+        for number, field in enumerate(spec["fields"], start=1):
+            if missing := {"name", "position"} - set(field):
+                raise ContractError(f"field {number} of the contract lacks {', '.join(sorted(missing))}")
         formats = spec.get("date_formats") or {}
         header = tuple(spec["expected_header"])
         ordered = sorted(spec["fields"], key=lambda f: f["position"])
@@ -79,6 +82,7 @@ def _spark_date_format(strftime: str | None) -> str | None:
     return strftime
 
 
+# The member feed's header, positions and lengths.
 MEMBER_CONTRACT = FeedContract.of(
     1,
     (
@@ -111,7 +115,7 @@ class FeedSource:
 MEMBER_SOURCE = FeedSource("member", r".*member_profile_feed\.csv")
 REDEMPTION_SOURCE = FeedSource("redemption", r".*redemptions\.json")
 
-# Columns whose values decide whether two rows of one member and version agree.
+# Columns that decide whether two rows of one member and version agree.
 MEMBER_ATTRIBUTES = (
     "member_name",
     "enrollment_date",

@@ -42,6 +42,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables below the scratch folder; frames that were read from them are void then."""
+    delete_folder(spark, f"{scratch_root(spark)}/feedlake")
+
+
+# Spark offers no public way to ask about or remove paths of any file system; this one needs a classic session.
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, on whatever file system it names."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -121,6 +121,13 @@ def test_contract_lacks_a_key(key):
         FeedContract.from_mapping({k: v for k, v in MAPPING.items() if k != key})
 
 
+@pytest.mark.parametrize("key", ["name", "position"])
+def test_contract_field_lacks_a_key(key):
+    fields = [MAPPING["fields"][0], {k: v for k, v in MAPPING["fields"][1].items() if k != key}]
+    with pytest.raises(ContractError, match=f"field 2 of the contract lacks {key}"):
+        FeedContract.from_mapping({**MAPPING, "fields": fields})
+
+
 def test_contract_counts_must_agree():
     with pytest.raises(ContractError, match="header"):
         FeedContract(1, 2, (Field("a", "A"), Field("b", "B")), ("A",))
