@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from feedlake.llm import arrow
 from feedlake.llm.graph import components
@@ -120,32 +120,24 @@ def _keyed(df: DataFrame, vector: str) -> DataFrame:
     return df.mapInArrow(run, with_node)
 
 
-def _entries(classes: DataFrame) -> DataFrame:
-    """(node, table_no, bucket, own): where each class is entered and looked up."""
-    ddl = "node string, table_no int, bucket long, own boolean"
-    schema = arrow.arrow_schema(ddl)
+def _hashed(classes: DataFrame) -> DataFrame:
+    """The classes with `keys`: table by table, the key under which a class is entered and those it probes."""
+    with_keys = StructType([*classes.schema.fields, StructField("keys", ArrayType(LongType()))])
+    schema = arrow.to_arrow_schema(with_keys)
 
     def run(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
-                nodes = np.asarray(part.column("node").to_pylist(), dtype=object)
                 vectors = [np.asarray(value.values, dtype=np.float64) for value in part.column("vector")]
                 sizes = np.array([len(v) for v in vectors])
+                keys = np.empty((len(vectors), TABLES * (1 + HASHES)), dtype=np.int64)
                 for size in np.unique(sizes).tolist():
                     rows = np.flatnonzero(sizes == size)
-                    keys = _keys(*hashes(_unit(np.stack([vectors[row] for row in rows]))), size)
-                    per_node = TABLES * (1 + HASHES)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.repeat(nodes[rows], per_node), pa.string()),
-                            pa.array(np.tile(np.repeat(np.arange(TABLES, dtype=np.int32), 1 + HASHES), len(rows))),
-                            pa.array(keys.reshape(-1)), pa.array(np.tile(np.arange(1 + HASHES) == 0, TABLES * len(rows))),
-                        ],
-                        schema=schema,
-                    )
+                    keys[rows] = _keys(*hashes(_unit(np.stack([vectors[row] for row in rows]))), size).reshape(len(rows), -1)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(list(keys), pa.list_(pa.int64()))], schema=schema)
 
-    return classes.mapInArrow(run, ddl)
+    return classes.mapInArrow(run, with_keys)
 
 
 def _met_here(table_no: int, bucket: int, keys: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -178,7 +170,7 @@ def _blocks(batches, cosine: float, schema: pa.Schema):
         a, b = np.nonzero(np.triu(near & allowed, 1))
         if not len(a):
             continue
-        keys = _keys(*hashes(unit), unit.shape[1])
+        keys = np.asarray(table["keys"].combine_chunks().flatten()).reshape(len(nodes), TABLES, 1 + HASHES)
         met = _met_here(table_no, bucket, keys, a, b)
         a, b = a[met], b[met]
         n = np.bincount(a, weight[b], len(nodes)) + np.bincount(b, weight[a], len(nodes))
@@ -206,14 +198,17 @@ def near_vectors(df: DataFrame, cosine: float = COSINE, vec_id: str = "vec_id",
         keyed.where("node is not null").groupBy("node").agg(F.min("vec").alias("first_vec"), F.count("*").alias("copies"), F.any_value("vector").alias("vector")),
         "vector-classes",
     )
-    entries = written(_entries(classes.select("node", "vector")), "vector-entries")
+    hashed = written(_hashed(classes.select("node", "copies", "vector")), "vector-keys")
+    entries = hashed.select("node", F.posexplode("keys").alias("place", "bucket")).select(
+        "node", F.floor(F.col("place") / (1 + HASHES)).cast("int").alias("table_no"), "bucket", (F.col("place") % (1 + HASHES) == 0).alias("own")
+    )
     shared = entries.groupBy("table_no", "bucket").agg(F.count("*").alias("n"), F.count_if("own").alias("n_own")).where("n > 1 and n_own > 0")
     placed = entries.join(shared.select("table_no", "bucket", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), ["table_no", "bucket"])
     chunked = placed.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     at = F.col("chunk")
     blocks = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(F.least(c, at).alias("left"), F.greatest(c, at).alias("right")))
     dealt = chunked.select("node", "table_no", "bucket", "own", "chunk", F.explode(blocks).alias("block"))
-    filled = dealt.select("node", "table_no", "bucket", "own", "chunk", "block.left", "block.right").join(classes.select("node", "copies", "vector"), "node")
+    filled = dealt.select("node", "table_no", "bucket", "own", "chunk", "block.left", "block.right").join(hashed, "node")
     ordered = filled.repartition("table_no", "bucket", "left", "right").sortWithinPartitions("table_no", "bucket", "left", "right", "node")
     ddl = "a string, b string, n long"
     found = written(ordered.mapInArrow(partial(_blocks, cosine=cosine, schema=arrow.arrow_schema(ddl)), ddl), "vector-links")

@@ -21,7 +21,7 @@ from feedlake.llm import arrow
 from feedlake.llm.byte_bpe import PATTERN, read_ranks
 
 #: Lengths per range of the two-level sums.
-RANGE = 4096
+RANGE = 256
 
 
 @lru_cache(maxsize=2)

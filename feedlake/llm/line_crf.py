@@ -26,8 +26,6 @@ from feedlake.llm.labelled import logistic, sample, sigmoid
 
 #: Labelled documents to learn from, at most; with some 15 lines each they are a few MB of features.
 TRAIN_DOCS = 4000
-#: Lines of one training document that are looked at; a longer document still has its label once.
-TRAIN_LINES = 400
 STEPS, RATE, RIDGE = 200, 0.1, 1e-3
 
 _CLASSES = {
@@ -192,9 +190,9 @@ def fit(docs: DataFrame, labels: DataFrame, training, label: str = "quality", ro
             made = [line_features(value) for value in arrow.texts(part)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("label").cast(pa.int32()), pa.array([min(len(f), TRAIN_LINES) for f, _ in made], pa.int32()),
-                    pa.array([n[:TRAIN_LINES] for _, n in made], pa.list_(pa.int32())),
-                    pa.array([f[:TRAIN_LINES].tobytes() for f, _ in made], pa.binary()),
+                    part.column("label").cast(pa.int32()), pa.array([len(f) for f, _ in made], pa.int32()),
+                    pa.array([n for _, n in made], pa.list_(pa.int32())),
+                    pa.array([f.tobytes() for f, _ in made], pa.binary()),
                 ],
                 schema=schema,
             )
