@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedlake.llm import labelled, line_crf, queries, toxic_segments
+from feedlake.llm.tables import written
 
-SF_DIR = "/root/testdata/sf0.01"
+# The smaller table has some 30 toxic documents to learn from in four languages, too few to ask much of a word model.
+TABLES = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 DOCS = "doc_id long, text string"
 
 
@@ -64,13 +66,17 @@ def test_maximal_segments(seed):
     assert all(np.isclose(score, sum(values[start:end])) for start, end, score in got)
 
 
-@pytest.mark.parametrize("name,label,accuracy", [("op3_line_crf", "quality", 0.95), ("op7_toxic_segments", "toxic", 0.93)])
-def test_held_out_accuracy(spark, name, label, accuracy):
-    found = queries.QUERIES[name](spark, SF_DIR)
-    judged = found.join(spark.read.parquet(f"{SF_DIR}/labels.parquet"), "doc_id").where("held_out")
-    right = judged.agg(F.avg((F.col("predicted") == F.col(label)).cast("int"))).first()[0]
-    assert found.count() == 1000 and found.where("score is null or score < 0 or score > 1").count() == 0
-    assert right >= accuracy
+@pytest.mark.parametrize("name,label,sf_dir", [("op3_line_crf", "quality", TABLES[0]), ("op7_toxic_segments", "toxic", TABLES[1])])
+def test_held_out_accuracy(spark, name, label, sf_dir):
+    found = written(queries.QUERIES[name](spark, sf_dir), "judged")
+    judged = found.join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id").where("held_out")
+    wrong = judged.agg(
+        F.avg((F.col("predicted") != F.col(label)).cast("int")).alias("all"),
+        F.avg(F.when(F.col(label) == 0, F.col("predicted"))).alias("taken_for_1"),
+    ).first()
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert found.count() == documents.count() and found.where("score is null or score < 0 or score > 1").count() == 0
+    assert wrong["all"] <= 0.03 and wrong["taken_for_1"] <= 0.02
 
 
 def test_passages_are_found_and_clean_text_is_left(spark):
