@@ -21,12 +21,13 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql.types import BinaryType, StructField, StructType
 from public_tokenizers import PATTERN
 
 from feedlake.llm import arrow
 
 #: Pre-tokens up to so many code points are remembered, so many of them per worker.
-CACHED_CHARS, CACHED_TOKENS = 48, 1 << 19
+CACHED_CHARS, CACHED_TOKENS = 48, 1 << 20
 #: Bytes from which a pre-token's linked list is held in flat arrays.
 LONG = 4096
 
@@ -64,7 +65,7 @@ class Encoder:
         self.queue = RankQueue(max(self.tokens, default=0) + 1)
         self.slots = {token: self.queue.slot(rank) for token, rank in self.ranks.items()}
         self.pieces = regex.compile(PATTERN)
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.cache: dict[str, bytes] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -133,18 +134,23 @@ class Encoder:
             at = end
         return ids
 
-    def encode(self, text: str) -> array:
-        ids, cache = array("i"), self.cache
-        for piece in self.pieces.findall(text):
-            known = cache.get(piece)
-            if known is None:
-                known = tuple(self.merge(piece.encode()))
+    def encode(self, text: str) -> bytes:
+        """Ids of a text, as the bytes of 32-bit integers."""
+        pieces, cache = self.pieces.findall(text), self.cache
+        parts = list(map(cache.get, pieces))
+        at = -1
+        for _ in range(parts.count(None)):
+            at = parts.index(None, at + 1)
+            piece = pieces[at]
+            made = cache.get(piece)
+            if made is None:
+                made = array("i", self.merge(piece.encode())).tobytes()
                 if len(piece) <= CACHED_CHARS:
                     if len(cache) >= CACHED_TOKENS:
                         cache.clear()
-                    cache[piece] = known
-            ids.extend(known)
-        return ids
+                    cache[piece] = made
+            parts[at] = made
+        return b"".join(parts)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -162,11 +168,9 @@ def encode(docs: DataFrame, ranks_path: str, keep: list[str], text: str = "text"
         own = encoder(ranks_path)
 
         def ids_of(values: list[bytes]) -> dict:
-            flat, ends = array("i"), [0]
-            for value in values:
-                flat.extend(own.encode(value.decode()))
-                ends.append(len(flat))
-            return {"ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, dtype=np.int32)))}
+            made = [own.encode(value.decode()) for value in values]
+            ends = np.cumsum([0, *(len(ids) // 4 for ids in made)], dtype=np.int32)
+            return {"ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(made), dtype=np.int32)))}
 
         return ids_of
 
@@ -176,7 +180,7 @@ def encode(docs: DataFrame, ranks_path: str, keep: list[str], text: str = "text"
 def decode(encoded: DataFrame, ranks_path: str, keep: list[str], ids: str = "ids") -> DataFrame:
     """The kept columns and `decoded`, the bytes that the ids stand for; null ids decode to nothing."""
     kept = encoded.select(*keep).schema
-    schema = kept.add("decoded", "binary")
+    schema = StructType([*kept.fields, StructField("decoded", BinaryType())])
 
     def run(batches):
         own = encoder(ranks_path)
@@ -185,7 +189,7 @@ def decode(encoded: DataFrame, ranks_path: str, keep: list[str], ids: str = "ids
             for start in range(0, batch.num_rows, arrow.SLICE_ROWS):
                 part = batch.slice(start, arrow.SLICE_ROWS)
                 decoded = [own.decode(value.as_py() or []) for value in part.column(ids)]
-                columns = [part.column(name).cast(shape.field(name).type) for name in kept.names if name != "decoded"]
+                columns = [part.column(name).cast(shape.field(name).type) for name in kept.names]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(decoded, pa.binary())], schema=shape)
 
     return encoded.select(*dict.fromkeys([*keep, ids])).mapInArrow(run, schema)
