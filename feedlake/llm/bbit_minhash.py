@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm import arrow
+from feedlake.llm import arrow, words
 from feedlake.llm.graph import components
 from feedlake.llm.tables import written
 
@@ -40,8 +40,6 @@ PERCENT, MARGIN = 80, 0.2
 CHUNK = 1 << 18
 #: Documents up to which candidate numbers are broadcast, 8 bytes each.
 BROADCAST_IDS = 1 << 20
-#: Words whose hash a worker remembers.
-REMEMBERED = 1 << 19
 
 _rng = np.random.Generator(np.random.PCG64(5))
 _PLACES = _rng.integers(1, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -49,7 +47,6 @@ _FACTORS = _rng.integers(1, 1 << 31, MINIMA, dtype=np.uint32) * np.uint32(2) + n
 _OFFSETS = _rng.integers(0, 1 << 32, MINIMA, dtype=np.uint32)
 _HIGH = np.uint64(0x8000800080008000)
 _LOW = np.uint64(0x7FFF7FFF7FFF7FFF)
-_known: dict[bytes, int] = {}
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -58,19 +55,9 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """A 64-bit hash of each word, A-Z lower-cased; words are split at ASCII white space."""
-    own = text.lower().split()
-    if len(_known) > REMEMBERED:
-        _known.clear()
-    for word in set(own).difference(_known):
-        _known[word] = xxhash.xxh3_64_intdigest(word)
-    return np.fromiter(map(_known.__getitem__, own), np.uint64, len(own))
-
-
 def shingle_set(text: bytes, size: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of a text."""
-    own = word_hashes(text)
+    """Sorted distinct 64-bit hashes of the shingles of a text; words are split at ASCII white space, A-Z lower-cased."""
+    own = words.hashes(text.lower().split())
     if not len(own):
         return own
     width = min(size, len(own))
@@ -107,13 +94,13 @@ def _described(docs: DataFrame, size: int, keep: list[str], text: str) -> DataFr
             sets = [shingle_set(value, size) for value in values]
             return {
                 "n_shingles": [len(own) for own in sets],
-                "set_key": [xxhash.xxh3_128_hexdigest(own.tobytes()) if len(own) else None for own in sets],
+                "set_key": [xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None for own in sets],
                 "bands": [signature(own).view(np.int64) if len(own) else None for own in sets],
             }
 
         return described
 
-    return arrow.per_text(docs, "n_shingles long, set_key string, bands array<long>", make, keep, text)
+    return arrow.per_text(docs, "n_shingles long, set_key binary, bands array<long>", make, keep, text)
 
 
 def _sets(docs: DataFrame, size: int, doc_id: str, text: str) -> DataFrame:
@@ -122,11 +109,11 @@ def _sets(docs: DataFrame, size: int, doc_id: str, text: str) -> DataFrame:
     def make():
         def sets_of(values: list[bytes]) -> dict:
             sets = [shingle_set(value, size) for value in values]
-            return {"set_key": [xxhash.xxh3_128_hexdigest(own.tobytes()) for own in sets], "shingles": [own.view(np.int64) for own in sets]}
+            return {"set_key": [xxhash.xxh3_128_digest(own.tobytes()) for own in sets], "shingles": [own.view(np.int64) for own in sets]}
 
         return sets_of
 
-    return arrow.per_text(docs, "set_key string, shingles array<long>", make, [doc_id], text).withColumnRenamed(doc_id, "doc")
+    return arrow.per_text(docs, "set_key binary, shingles array<long>", make, [doc_id], text).withColumnRenamed(doc_id, "doc")
 
 
 def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -144,15 +131,15 @@ def _linked(a: Column, b: Column, percent: int) -> Column:
 
 def _estimated(pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, bands_a, bands_b) whose estimated similarity is not clearly too low."""
-    ddl = "a string, b string"
+    ddl = "a binary, b binary"
     schema = arrow.arrow_schema(ddl)
 
     def likely(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            words = [np.asarray(batch.column(name).flatten()).view(np.uint64).reshape(-1, BANDS) for name in ("bands_a", "bands_b")]
-            alike = pa.array(estimates(*words) >= percent / 100 - MARGIN)
+            packed = [np.asarray(batch.column(name).flatten()).view(np.uint64).reshape(-1, BANDS) for name in ("bands_a", "bands_b")]
+            alike = pa.array(estimates(*packed) >= percent / 100 - MARGIN)
             yield pa.RecordBatch.from_arrays([batch.column(name).filter(alike) for name in ("a", "b")], schema=schema)
 
     return pairs.mapInArrow(likely, ddl)
@@ -163,22 +150,22 @@ def _blocks(batches, percent: int, schema: pa.Schema):
     for (band, *_), table in arrow.runs(batches, ["band", "bucket", "left", "right"]):
         nodes, labels = table["node"].to_pylist(), table["label"].to_pylist()
         outside = np.asarray(table["outside"].to_pylist(), dtype=bool)
-        words = np.asarray(table["bands"].combine_chunks().flatten()).view(np.uint64).reshape(-1, BANDS)
+        packed = np.asarray(table["bands"].combine_chunks().flatten()).view(np.uint64).reshape(-1, BANDS)
         sets = table["shingles"].combine_chunks()
         roots = {label: label for label in labels}
 
-        def find(label: str) -> str:
+        def find(label: bytes) -> bytes:
             while roots[label] != label:
                 roots[label] = label = roots[roots[label]]
             return label
 
         pairs, across = [], not outside.all()
         for row in np.flatnonzero(outside).tolist():
-            alike = estimates(words[row], words)
+            alike = estimates(packed[row], packed)
             for other in np.flatnonzero(alike >= percent / 100 - MARGIN).tolist():
                 if labels[other] == labels[row] or outside[other] and (across or other <= row):
                     continue
-                if int(np.argmax(words[row] == words[other])) == band:
+                if int(np.argmax(packed[row] == packed[other])) == band:
                     pairs.append((-alike[other], row, other))
         found = []
         for _, row, other in sorted(pairs):
@@ -187,7 +174,7 @@ def _blocks(batches, percent: int, schema: pa.Schema):
                 roots[first] = second
                 found.append((nodes[row], nodes[other]))
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(column, pa.string()) for column in zip(*found)], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(column, pa.binary()) for column in zip(*found)], schema=schema)
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -266,7 +253,7 @@ def _block_links(opened: DataFrame, signatures: DataFrame, sets: DataFrame, perc
     dealt = own.select("band", "bucket", "node", "label", "outside", F.explode(places).alias("block"))
     filled = dealt.select("band", "bucket", "block.left", "block.right", "node", "label", "outside").join(signatures, "node").join(sets, "node")
     ordered = filled.repartition("band", "bucket", "left", "right").sortWithinPartitions("band", "bucket", "left", "right", "node")
-    ddl = "a string, b string"
+    ddl = "a binary, b binary"
     schema = arrow.arrow_schema(ddl)
     columns = ["band", "bucket", "left", "right", "node", "label", "outside", "bands", "shingles"]
     return ordered.select(*columns).mapInArrow(partial(_blocks, percent=percent, schema=schema), ddl)
