@@ -7,9 +7,9 @@ smaller id. The steps:
    so that about one word in twenty starts one. Only anchors that two documents have can lie in a repeated window.
 2. The windows of such anchors are hashed, and each hash keeps its smallest document and place. Hashes with two documents
    confirm recurring passages: runs of such windows in the document that owns them.
-3. The anchors of the passages, with up to `SIDE` words of the passage on either side, are the patterns: for each, the 25 words that begin with
-   the anchor's phrase and the 25 that end with it; one of the two lies in any window of the anchor. Patterns are
-   dealt to shards of bounded size by anchor, and each shard compiles an Aho-Corasick automaton over word numbers.
+3. The phrases of the passages' anchors are the patterns, each with up to `SIDE` words of the passage on either side.
+   Patterns are dealt to shards of bounded size by anchor, and each shard compiles an Aho-Corasick automaton over
+   numbered words.
 4. All documents that hold a pattern's anchor are streamed, as segments of words around it, past the automaton of the
    anchor's shard. Each occurrence found is compared word by word with the passage, to both sides; a common run of a window's length
    covers its words. Shards with many segments are copied, so that a frequent passage is many tasks.
@@ -33,27 +33,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.llm import arrow
+from feedlake.llm import words as words_of
 from feedlake.llm.tables import written
 
 WINDOW, PHRASE = 50, 10
-#: Words on either side of an anchor's phrase that its windows can reach, and words of a pattern.
-SIDE, PATTERN = WINDOW - PHRASE, 25
+#: Words on either side of an anchor's phrase that its windows can reach, and words that they have on one side at least.
+SIDE = WINDOW - PHRASE
+NEAR = SIDE // 2
 #: Anchors in a shard's automaton, and segments that one copy of it searches.
-SHARD_ANCHORS, COPY_SEGMENTS = 4096, 16384
+SHARD_ANCHORS, COPY_SEGMENTS = 2048, 8192
 #: Documents up to which candidate numbers are broadcast, 8 bytes each.
 BROADCAST_IDS = 1 << 20
-#: Words whose hash a worker remembers.
-REMEMBERED = 1 << 19
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_known: dict[bytes, int] = {}
-
-
-def _word_hashes(own: list[bytes]) -> np.ndarray:
-    if len(_known) > REMEMBERED:
-        _known.clear()
-    for word in set(own).difference(_known):
-        _known[word] = xxhash.xxh3_64_intdigest(word)
-    return np.fromiter(map(_known.__getitem__, own), np.uint64, len(own))
 
 
 def _rolling(hashed: np.ndarray, width: int, base: int) -> np.ndarray:
@@ -99,7 +90,7 @@ def _scanned(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 made["all_sha256"].append(hashlib.sha256(joined).hexdigest())
                 found = np.zeros(0, np.int64)
                 if len(own) >= WINDOW:
-                    at, phrases = anchors(_word_hashes(own))
+                    at, phrases = anchors(words_of.hashes(own))
                     found = np.unique(phrases[np.unique(at)]).view(np.int64)
                 made["anchors"].append(found)
             return made
@@ -134,7 +125,7 @@ def _windows(batches, schema: pa.Schema):
     """(first, second, doc, unit, place): hashes of the windows whose anchor is wanted."""
     for part in arrow.slices(batches, "words"):
         for doc, unit, wanted, text in zip(*(part.column(name).to_pylist() for name in ("doc", "unit", "anchors", "words"))):
-            hashed = _word_hashes(text.split())
+            hashed = words_of.hashes(text.split())
             at, phrases = anchors(hashed)
             places = np.flatnonzero(np.isin(phrases[at].view(np.int64), np.asarray(wanted, dtype=np.int64)))
             if len(places):
@@ -153,7 +144,7 @@ def _patterns(batches, schema: pa.Schema):
     for part in arrow.slices(batches, "words"):
         for doc, places, text in zip(*(part.column(name).to_pylist() for name in ("doc", "places", "words"))):
             own = text.split()
-            at, phrases = anchors(_word_hashes(own))
+            at, phrases = anchors(words_of.hashes(own))
             places = np.unique(np.asarray(places))
             rows = set()
             for run in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1):
@@ -165,63 +156,86 @@ def _patterns(batches, schema: pa.Schema):
 
 
 def _segments(batches, schema: pa.Schema):
-    """(anchor, doc, unit, words, base): the words around each wanted anchor of a document, from word number `base`."""
+    """(anchor, doc, unit, words, base, place): the words around each wanted anchor of a document, from word number
+    `base`, and where among them the anchor is."""
     for part in arrow.slices(batches, "words"):
         for doc, unit, wanted, text in zip(*(part.column(name).to_pylist() for name in ("doc", "unit", "anchors", "words"))):
             own = text.split()
-            at, phrases = anchors(_word_hashes(own))
+            at, phrases = anchors(words_of.hashes(own))
             places = np.unique(at)
             hashed = phrases[places].view(np.int64)
             rows = []
             for place, anchor in zip(places[(keep := np.isin(hashed, np.asarray(wanted, dtype=np.int64)))].tolist(), hashed[keep].tolist()):
                 start, around = _around(own, place, 0, len(own))
-                rows.append((anchor, doc, unit, around, start))
+                rows.append((anchor, doc, unit, around, start, place - start))
             if rows:
                 yield _rows(schema, rows)
 
 
 class Shard:
-    """An automaton over word numbers for the patterns of some anchors."""
+    """An automaton for the phrases of some anchors, with the passages that hold them.
+
+    Words are spelled as a few symbols of 64 each, from an alphabet per place, so that the automaton's nodes have few
+    children and no match begins or ends within a word. A window of an anchor has at least `NEAR` words before its phrase or
+    after it; passages are found by those words, so that a phrase in very many passages costs no more than others.
+    """
 
     def __init__(self, patterns: list[tuple[int, bytes, int]]):
         import ahocorasick
 
         self.numbers: dict[bytes, int] = {}
-        self.passages = [(owner, [self.numbers.setdefault(word, len(self.numbers) + 1) for word in words.split()]) for owner, words, _ in patterns]
-        holders: dict[tuple[int, ...], list[tuple[int, int]]] = {}
-        for number, ((_, _, at), (_, passage)) in enumerate(zip(patterns, self.passages)):
-            for start in {at, at + PHRASE - PATTERN}:
-                if start >= 0 and start + PATTERN <= len(passage):
-                    holders.setdefault(tuple(passage[start : start + PATTERN]), []).append((number, start))
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for phrase, of_phrase in holders.items():
-            self.automaton.add_word(phrase, of_phrase)
-        if holders:
+        self.passages = []
+        self.by_side: dict[tuple, list[int]] = {}
+        for number, (owner, words, at) in enumerate(patterns):
+            passage = words.split()
+            self.passages.append((owner, passage, at))
+            for key in self._sides(passage, at):
+                self.by_side.setdefault(key, []).append(number)
+            for word in passage[at : at + PHRASE]:
+                self.numbers.setdefault(word, len(self.numbers) + 1)
+        self.width = 1
+        while 64**self.width <= len(self.numbers):
+            self.width += 1
+        self.spelled = {word: self._spell(number) for word, number in self.numbers.items()}
+        self.unknown = self._spell(0)
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        for _, passage, at in self.passages:
+            self.automaton.add_word("".join(map(self.spelled.__getitem__, passage[at : at + PHRASE])))
+        if self.passages:
             self.automaton.make_automaton()
-        self.any = bool(holders)
 
-    def covered(self, doc: int, words: bytes) -> list[tuple[int, int]]:
-        """Word ranges that windows of other owners' passages cover, owners with smaller ids only."""
-        known = self.numbers.get
-        own = [known(word, 0) for word in words.split()]
+    def _spell(self, number: int) -> str:
+        return "".join(chr(0x100 + 64 * place + (number >> 6 * place) % 64) for place in range(self.width))
+
+    @staticmethod
+    def _sides(words: list[bytes], at: int) -> list[tuple]:
+        """The phrase at this place with the words after it, and with those before it, as far as there are enough."""
+        end = at + PHRASE
+        after = [("after", b" ".join(words[at : end + NEAR]))] if end + NEAR <= len(words) else []
+        before = [("before", b" ".join(words[at - NEAR : end]))] if at >= NEAR else []
+        return after + before
+
+    def covered(self, doc: int, words: bytes, place: int) -> list[tuple[int, int]]:
+        """Word ranges that windows of other owners' passages cover, owners with smaller ids only.
+
+        Only windows of the anchor at `place` are looked for; others have segments of their own.
+        """
+        own = words.split()
         found: list[tuple[int, int]] = []
-        if not self.any or len(own) < WINDOW:
+        if not self.passages or len(own) < WINDOW:
             return found
-        met: set[tuple[int, int]] = set()
-        for end, holders in self.automaton.iter(tuple(own)):
-            for number, offset in holders:
-                owner, passage = self.passages[number]
-                begin = end + 1 - PATTERN
-                if owner >= doc or (number, begin - offset) in met:
+        spelled = "".join([self.spelled.get(word, self.unknown) for word in own[place : place + PHRASE]])
+        for last, _ in self.automaton.iter(spelled):
+            begin = place + (last + 1) // self.width - PHRASE
+            for number in {number for key in self._sides(own, begin) for number in self.by_side.get(key, ())}:
+                owner, passage, offset = self.passages[number]
+                if owner >= doc:
                     continue
-                met.add((number, begin - offset))
-                left = 0
-                while left < min(begin, offset) and own[begin - left - 1] == passage[offset - left - 1]:
-                    left += 1
-                right = PATTERN
-                most = min(len(own) - begin, len(passage) - offset)
-                while right < most and own[begin + right] == passage[offset + right]:
-                    right += 1
+                left, right = min(begin, offset), min(len(own) - begin, len(passage) - offset)
+                if own[begin - left : begin] != passage[offset - left : offset]:
+                    left = next(n for n in range(left) if own[begin - n - 1] != passage[offset - n - 1])
+                if own[begin : begin + right] != passage[offset : offset + right]:
+                    right = next(n for n in range(right) if own[begin + n] != passage[offset + n])
                 if left + right >= WINDOW:
                     found.append((begin - left, begin + right))
         return _united(found)
@@ -238,20 +252,23 @@ def _united(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _searched(batches, schema: pa.Schema):
-    """(doc, unit, start, end): covered word ranges; rows come sorted by shard and copy, patterns before segments."""
+    """(doc, unit, start, end): covered word ranges; rows come sorted by shard and copy, patterns before segments.
+
+    Patterns have no unit; their `place` is the anchor's in their words, and they have no `base`.
+    """
     key, shard, patterns = None, None, []
     for batch in batches:
         rows = []
-        for number, copy, doc, unit, words, at in zip(*(batch.column(name).to_pylist() for name in ("shard", "copy", "doc", "unit", "words", "at"))):
+        for number, copy, doc, unit, words, base, place in zip(*(batch.column(name).to_pylist() for name in ("shard", "copy", "doc", "unit", "words", "base", "place"))):
             if (number, copy) != key:
                 key, shard, patterns = (number, copy), None, []
             if unit is None:
-                patterns.append((doc, words, at))
+                patterns.append((doc, words, place))
                 continue
             if shard is None:
                 shard = Shard(patterns)
                 patterns = []
-            rows += [(doc, unit, at + start, at + end) for start, end in shard.covered(doc, words)]
+            rows += [(doc, unit, base + start, base + end) for start, end in shard.covered(doc, words, place)]
         if rows:
             yield _rows(schema, rows)
 
@@ -298,14 +315,19 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     of_unit = confirmed.groupBy("doc", "unit").agg(F.collect_list("anchor").alias("anchors"))
     confirmed_texts = texts.select("doc", "unit", "words").join(of_unit, ["doc", "unit"]).select("doc", "unit", "anchors", "words")
     segments = written(
-        _mapped(confirmed_texts, _segments, "anchor long, doc long, unit long, words binary, base int").select(shard, "doc", "unit", "words", F.col("base").alias("at")),
+        _mapped(confirmed_texts, _segments, "anchor long, doc long, unit long, words binary, base int, place int").select(shard, "doc", "unit", "words", "base", "place"),
         "segments",
     )
-    copies = segments.groupBy("shard").agg(F.ceil(F.count("*") / COPY_SEGMENTS).cast("int").alias("copies"))
-    copied = patterns.select(shard, "doc", F.lit(None).cast("long").alias("unit"), "words", "at").join(copies, "shard")
-    copied = copied.select("shard", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), "doc", "unit", "words", "at")
-    dealt = segments.join(copies, "shard").select("shard", F.pmod(F.xxhash64("doc", "unit", "at"), F.col("copies")).cast("int").alias("copy"), "doc", "unit", "words", "at")
-    together = copied.unionByName(dealt).repartition("shard", "copy").sortWithinPartitions("shard", "copy", F.col("unit").asc_nulls_first(), "doc", "at")
+    copies = written(segments.groupBy("shard").agg(F.ceil(F.count("*") / COPY_SEGMENTS).cast("int").alias("copies")), "copies")
+    tasks = (copies.agg(F.sum("copies")).first()[0] or 0) + 1
+    copied = patterns.withColumn("shard", shard).join(copies, "shard")
+    columns = ["shard", "copy", "doc", "unit", "words", "base", "place"]
+    copied = copied.withColumns(
+        {"copy": F.explode(F.sequence(F.lit(0), F.col("copies") - 1)), "unit": F.lit(None).cast("long"), "base": F.lit(None).cast("int"), "place": F.col("at")}
+    )
+    dealt = segments.join(copies, "shard").withColumn("copy", F.pmod(F.xxhash64("doc", "unit", "base"), F.col("copies")).cast("int"))
+    together = copied.select(*columns).unionByName(dealt.select(*columns))
+    together = together.repartition(2 * tasks, "shard", "copy").sortWithinPartitions("shard", "copy", F.col("unit").asc_nulls_first(), "doc", "base")
     covered = _mapped(together, _searched, "doc long, unit long, start int, end int").distinct()
     ranges = covered.groupBy("doc", "unit").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
     kept = _mapped(
