@@ -15,6 +15,23 @@ from pyspark.sql.types import StructType
 SLICE_ROWS, SLICE_BYTES = 512, 4 << 20
 
 
+#: What workers remember between tasks, with the modules that use it.
+_remembered: list[tuple[dict, tuple[str, ...]]] = []
+
+
+def remembered(*users: str) -> dict:
+    """A dictionary that lives as long as the worker, and is emptied when it turns to another module's work."""
+    held: dict = {}
+    _remembered.append((held, tuple(f"feedlake.llm.{user}" for user in users)))
+    return held
+
+
+def _turn_to(user: str) -> None:
+    for held, users in _remembered:
+        if user not in users:
+            held.clear()
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
@@ -54,6 +71,7 @@ def per_text(df: DataFrame, ddl: str, make: Callable[[], Callable[[list[bytes]],
     schema = StructType([*kept.fields, *added.fields])
 
     def run(batches):
+        _turn_to(make.__module__)
         of_texts = make()
         shape = to_arrow_schema(schema)
         for part in slices(batches, text):

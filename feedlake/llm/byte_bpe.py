@@ -27,7 +27,7 @@ from public_tokenizers import PATTERN
 from feedlake.llm import arrow
 
 #: Pre-tokens up to so many code points are remembered, so many of them per worker.
-CACHED_CHARS, CACHED_TOKENS = 48, 1 << 20
+CACHED_CHARS, CACHED_TOKENS = 48, 1 << 19
 #: Bytes from which a pre-token's linked list is held in flat arrays.
 LONG = 4096
 
@@ -65,7 +65,7 @@ class Encoder:
         self.queue = RankQueue(max(self.tokens, default=0) + 1)
         self.slots = {token: self.queue.slot(rank) for token, rank in self.ranks.items()}
         self.pieces = regex.compile(PATTERN)
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[str, bytes] = arrow.remembered("byte_bpe")
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""

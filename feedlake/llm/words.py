@@ -5,9 +5,11 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from feedlake.llm.arrow import remembered
+
 #: Words whose hash a worker remembers.
-REMEMBERED = 1 << 19
-_known: dict[bytes, bytes] = {}
+REMEMBERED = 1 << 18
+_known: dict[bytes, bytes] = remembered("bbit_minhash", "phrase_automata")
 
 
 def hashes(own: list[bytes]) -> np.ndarray:
