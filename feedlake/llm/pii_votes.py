@@ -134,10 +134,7 @@ def described(text: str, kind: str, start: int, end: int, base: int) -> tuple:
 
 def candidates(text: str) -> list[tuple[int, int, bool, tuple]]:
     """(start, end, base, description) of all candidates; loose ones overlapping no valid base match."""
-    matches = base_matches(text)
-    if not matches and "at" not in text and "AT" not in text and "At" not in text and "aT" not in text:
-        return []
-    found = [(start, end, valid, described(text, kind, start, end, 1 if valid else -1)) for kind, start, end, valid in matches]
+    found = [(start, end, valid, described(text, kind, start, end, 1 if valid else -1)) for kind, start, end, valid in base_matches(text)]
     taken = [(start, end) for start, end, valid, _ in found if valid]
     for kind, start, end in _loose_matches(text):
         if not any(start < b and a < end for a, b in taken):

@@ -208,6 +208,16 @@ def test_loose_spans_join_and_base_spans_stay(spark):
     assert all(0.55 <= p <= 0.99 for p in model.reliability.values()) and model.reliability["email", "base"] > 0.9
 
 
+@pytest.mark.parametrize("text,span", [("Call (555) 123-4567", (5, 19)), ("555.123.4567", (0, 12)), ("звоните (555) 123-4567", (8, 22)), ("电话 555.123.4567。", (3, 15))])
+def test_local_phones_in_texts_without_other_signs(spark, text, span):
+    assert [(start, end, base) for start, end, base, _ in pii_votes.candidates(text)] == [(*span, False)]
+    docs = spark.createDataFrame([(1, text), (2, "phone (555) 987-6543 at noon")], "doc_id long, text string")
+    model = pii_votes.fit(docs)
+    assert sum(r.n for r in pii_votes.pattern_counts(docs).collect()) == 2
+    clean = {r.doc_id: r.text for r in pii_votes.redact(docs, model).collect()}
+    assert clean == {1: text[: span[0]] + "<PHONE>" + text[span[1] :], 2: "phone <PHONE> at noon"}
+
+
 def test_personal_data_of_an_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, spans string")
     model = pii_votes.fit(docs)
