@@ -7,11 +7,13 @@ smaller id. The steps:
    so that about one word in twenty starts one. Only anchors that two documents have can lie in a repeated window.
 2. The windows of such anchors are hashed, and each hash keeps its smallest document and place. Hashes with two documents
    confirm recurring passages: runs of such windows in the document that owns them.
-3. The phrases of the passages' anchors are the patterns, each with up to `SIDE` words of the passage on either side.
-   Patterns are dealt to shards of bounded size by anchor, and each shard compiles an Aho-Corasick automaton over
-   numbered words.
-4. All documents that hold a pattern's anchor are streamed, as segments of words around it, past the automaton of the
-   anchor's shard. Each occurrence found is compared word by word with the passage, to both sides; a common run of a window's length
+3. The phrases of the passages' anchors are the patterns, each with the words of the passage's windows around it. The
+   windows of an anchor are cut by the anchor's place in them into two ranges, and a range's key is the words that all its
+   windows have in common, 30 at least. Patterns are dealt to shards by key. A key with many passages is cut into finer ranges, at
+   last into single windows, which have one owner each; so shards are bounded in passages, also around a phrase that very many
+   passages share. Each shard compiles an Aho-Corasick automaton over numbered words.
+4. All documents that hold a pattern's anchor are streamed, as segments of words around it that are cut alike, past the automaton of
+   the key's shard. Each occurrence found is compared word by word with the passage, to both sides; a common run of a window's length
    covers its words. Shards with many segments are copied, so that a frequent passage is many tasks.
 
 Documents with equal word sequences are settled beforehand: all but those with the smallest id lose every word if they
@@ -37,11 +39,14 @@ from feedlake.llm import words as words_of
 from feedlake.llm.tables import written
 
 WINDOW, PHRASE = 50, 10
-#: Words on either side of an anchor's phrase that its windows can reach, and words that they have on one side at least.
+#: Words on either side of an anchor's phrase that its windows can reach.
 SIDE = WINDOW - PHRASE
-NEAR = SIDE // 2
-#: Anchors in a shard's automaton, and segments that one copy of it searches.
-SHARD_ANCHORS, COPY_SEGMENTS = 2048, 8192
+#: Ranges of an anchor's place in its windows, each set cutting the one before.
+RANGES = [[(low, min(low + width, SIDE + 1) - 1) for low in range(0, SIDE + 1, width)] for width in (21, 7, 1)]
+#: Anchors and passages in a shard's automaton on average, and segments that one copy of it searches.
+SHARD_ANCHORS, SHARD_PASSAGES, COPY_SEGMENTS = 2048, 4096, 8192
+#: Passages with the same key from which its range is cut.
+KEY_PASSAGES = 64
 #: Documents up to which candidate numbers are broadcast, 8 bytes each.
 BROADCAST_IDS = 1 << 20
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -134,63 +139,109 @@ def _windows(batches, schema: pa.Schema):
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (first, second, *same, places.astype(np.int32))], schema=schema)
 
 
-def _around(own: list[bytes], at: int, low: int, high: int) -> tuple[int, bytes]:
-    start = max(low, at - SIDE)
-    return start, b" ".join(own[start : min(high, at + PHRASE + SIDE)])
+#: Patterns and segments: words around an anchor, from word number `base` of the document, the anchor at `place` among them.
+#: They hold the windows with the anchor at `low` to `high`. Patterns have neither unit nor base.
+_CUT = "anchor long, key long, doc long, unit long, words binary, base int, place int, low int, high int"
+
+
+def _cut(own: list[bytes], place: int, first: int, last: int, ranges: list[tuple[int, int]]):
+    """(key, start, words, place, low, high): the windows with the anchor at `first` to `last`, cut by ranges."""
+    for low, high in ranges:
+        a, b = max(low, first), min(high, last)
+        if a <= b:
+            common = b" ".join(own[place - low : place + WINDOW - high])
+            key = xxhash.xxh3_64_intdigest(b"%d %d " % (low, high) + common) - (1 << 63)
+            yield key, place - b, b" ".join(own[place - b : place + WINDOW - a]), b, low, high
+
+
+def _by_anchor(at: np.ndarray, windows: np.ndarray):
+    """(place, first, last) of the anchors of neighbouring windows, and at which places their windows have them."""
+    of = at[windows]
+    starts = np.flatnonzero(np.diff(of, prepend=-1))
+    for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(of)]):
+        place = int(of[start])
+        yield place, place - int(windows[end - 1]), place - int(windows[start])
 
 
 def _patterns(batches, schema: pa.Schema):
-    """(anchor, doc, words, at): passages around the anchors of their windows."""
+    """Passages around the anchors of their windows."""
     for part in arrow.slices(batches, "words"):
         for doc, places, text in zip(*(part.column(name).to_pylist() for name in ("doc", "places", "words"))):
             own = text.split()
             at, phrases = anchors(words_of.hashes(own))
+            hashed = phrases.view(np.int64)
             places = np.unique(np.asarray(places))
             rows = set()
             for run in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1):
-                low, high = int(run[0]), int(run[-1]) + WINDOW
-                for place in np.unique(at[run]).tolist():
-                    start, around = _around(own, place, low, high)
-                    rows.add((int(phrases[place : place + 1].view(np.int64)[0]), doc, around, place - start))
-            yield _rows(schema, sorted(rows))
+                for place, first, last in _by_anchor(at, run):
+                    rows.update((int(hashed[place]), key, doc, None, words, None, *rest) for key, _, words, *rest in _cut(own, place, first, last, RANGES[0]))
+            yield _rows(schema, list(rows))
 
 
 def _segments(batches, schema: pa.Schema):
-    """(anchor, doc, unit, words, base, place): the words around each wanted anchor of a document, from word number
-    `base`, and where among them the anchor is."""
+    """The words around each wanted anchor of a document."""
     for part in arrow.slices(batches, "words"):
         for doc, unit, wanted, text in zip(*(part.column(name).to_pylist() for name in ("doc", "unit", "anchors", "words"))):
             own = text.split()
             at, phrases = anchors(words_of.hashes(own))
-            places = np.unique(at)
-            hashed = phrases[places].view(np.int64)
+            hashed = phrases.view(np.int64)
+            keep = np.flatnonzero(np.isin(hashed[at], np.asarray(wanted, dtype=np.int64)))
             rows = []
-            for place, anchor in zip(places[(keep := np.isin(hashed, np.asarray(wanted, dtype=np.int64)))].tolist(), hashed[keep].tolist()):
-                start, around = _around(own, place, 0, len(own))
-                rows.append((anchor, doc, unit, around, start, place - start))
+            for run in np.split(keep, np.flatnonzero(np.diff(keep) > 1) + 1) if len(keep) else []:
+                for place, first, last in _by_anchor(at, run):
+                    anchor = int(hashed[place])
+                    rows += [(anchor, key, doc, unit, words, start, *rest) for key, start, words, *rest in _cut(own, place, first, last, RANGES[0])]
             if rows:
                 yield _rows(schema, rows)
 
 
+def _finer(batches, schema: pa.Schema, ranges: list[tuple[int, int]]):
+    """Patterns or segments, cut by finer ranges."""
+    for part in arrow.slices(batches, "words"):
+        rows = []
+        for anchor, doc, unit, words, base, place in zip(*(part.column(name).to_pylist() for name in ("anchor", "doc", "unit", "words", "base", "place"))):
+            own = words.split()
+            first, last = place + WINDOW - len(own), place
+            rows += [(anchor, key, doc, unit, cut, None if base is None else base + start, *rest) for key, start, cut, *rest in _cut(own, place, first, last, ranges)]
+        yield _rows(schema, rows)
+
+
+def _uncrowded(patterns: DataFrame, segments: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Patterns and segments with crowded keys cut by finer ranges."""
+    done: list[tuple[DataFrame, DataFrame]] = []
+    for level, ranges in enumerate(RANGES[1:], start=1):
+        crowded = written(patterns.groupBy("key").count().where(F.col("count") > KEY_PASSAGES).select("key"), "crowded")
+        if not (n := crowded.count()):
+            break
+        crowded = F.broadcast(crowded) if n <= BROADCAST_IDS else crowded
+        done.append((patterns.join(crowded, "key", "left_anti"), segments.join(crowded, "key", "left_anti")))
+        cut = partial(_finer, ranges=ranges)
+        columns = patterns.columns
+        patterns = written(_mapped(patterns.join(crowded, "key", "left_semi").select(*columns), cut, _CUT).distinct(), f"patterns-{level}")
+        segments = written(_mapped(segments.join(crowded, "key", "left_semi").select(*columns), cut, _CUT), f"segments-{level}")
+    for some_patterns, some_segments in done:
+        patterns, segments = patterns.unionByName(some_patterns), segments.unionByName(some_segments)
+    return patterns, segments
+
+
 class Shard:
     """An automaton for the phrases of some anchors, with the passages that hold them.
 
     Words are spelled as a few symbols of 64 each, from an alphabet per place, so that the automaton's nodes have few
-    children and no match begins or ends within a word. A window of an anchor has at least `NEAR` words before its phrase or
-    after it; passages are found by those words, so that a phrase in very many passages costs no more than others.
+    children and no match begins or ends within a word. Passages are found by their key's words, so that a phrase in very many
+    passages costs no more than others.
     """
 
-    def __init__(self, patterns: list[tuple[int, bytes, int]]):
+    def __init__(self, patterns: list[tuple[int, bytes, int, int, int]]):
         import ahocorasick
 
         self.numbers: dict[bytes, int] = {}
         self.passages = []
-        self.by_side: dict[tuple, list[int]] = {}
-        for number, (owner, words, at) in enumerate(patterns):
+        self.by_key: dict[tuple, list[int]] = {}
+        for number, (owner, words, at, low, high) in enumerate(patterns):
             passage = words.split()
             self.passages.append((owner, passage, at))
-            for key in self._sides(passage, at):
-                self.by_side.setdefault(key, []).append(number)
+            self.by_key.setdefault(self._key(passage, at, low, high), []).append(number)
             for word in passage[at : at + PHRASE]:
                 self.numbers.setdefault(word, len(self.numbers) + 1)
         self.width = 1
@@ -208,14 +259,12 @@ class Shard:
         return "".join(chr(0x100 + 64 * place + (number >> 6 * place) % 64) for place in range(self.width))
 
     @staticmethod
-    def _sides(words: list[bytes], at: int) -> list[tuple]:
-        """The phrase at this place with the words after it, and with those before it, as far as there are enough."""
-        end = at + PHRASE
-        after = [("after", b" ".join(words[at : end + NEAR]))] if end + NEAR <= len(words) else []
-        before = [("before", b" ".join(words[at - NEAR : end]))] if at >= NEAR else []
-        return after + before
-
-    def covered(self, doc: int, words: bytes, place: int) -> list[tuple[int, int]]:
+    def _key(words: list[bytes], at: int, low: int, high: int) -> tuple:
+        """What the windows with the phrase at `low` to `high` have in common; none if the words do not reach so far."""
+        start, end = at - low, at + WINDOW - high
+        return (low, high, b" ".join(words[start:end])) if start >= 0 and end <= len(words) else ()
+
+    def covered(self, doc: int, words: bytes, place: int, low: int, high: int) -> list[tuple[int, int]]:
         """Word ranges that windows of other owners' passages cover, owners with smaller ids only.
 
         Only windows of the anchor at `place` are looked for; others have segments of their own.
@@ -227,7 +276,7 @@ class Shard:
         spelled = "".join([self.spelled.get(word, self.unknown) for word in own[place : place + PHRASE]])
         for last, _ in self.automaton.iter(spelled):
             begin = place + (last + 1) // self.width - PHRASE
-            for number in {number for key in self._sides(own, begin) for number in self.by_side.get(key, ())}:
+            for number in self.by_key.get(self._key(own, begin, low, high), ()):
                 owner, passage, offset = self.passages[number]
                 if owner >= doc:
                     continue
@@ -259,16 +308,16 @@ def _searched(batches, schema: pa.Schema):
     key, shard, patterns = None, None, []
     for batch in batches:
         rows = []
-        for number, copy, doc, unit, words, base, place in zip(*(batch.column(name).to_pylist() for name in ("shard", "copy", "doc", "unit", "words", "base", "place"))):
+        for number, copy, doc, unit, words, base, place, low, high in zip(*(batch.column(name).to_pylist() for name in ("shard", "copy", "doc", "unit", "words", "base", "place", "low", "high"))):
             if (number, copy) != key:
                 key, shard, patterns = (number, copy), None, []
             if unit is None:
-                patterns.append((doc, words, place))
+                patterns.append((doc, words, place, low, high))
                 continue
             if shard is None:
                 shard = Shard(patterns)
                 patterns = []
-            rows += [(doc, unit, base + start, base + end) for start, end in shard.covered(doc, words, place)]
+            rows += [(doc, unit, base + start, base + end) for start, end in shard.covered(doc, words, place, low, high)]
         if rows:
             yield _rows(schema, rows)
 
@@ -307,24 +356,21 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     owned = windows.groupBy("first", "second").agg(F.min(F.struct("doc", "unit", "place")).alias("owner"), F.max("doc").alias("last_doc")).where("owner.doc < last_doc")
     passages = owned.groupBy("owner.doc", "owner.unit").agg(F.collect_list("owner.place").alias("places"))
     in_passages = texts.select("doc", "unit", "words").join(passages, ["doc", "unit"]).select("doc", "places", "words")
-    patterns = written(_mapped(in_passages, _patterns, "anchor long, doc long, words binary, at int").distinct(), "patterns")
+    patterns = written(_mapped(in_passages, _patterns, _CUT).distinct(), "patterns")
 
-    shards = -(-patterns.select("anchor").distinct().count() // SHARD_ANCHORS) or 1
-    shard = F.pmod(F.col("anchor"), F.lit(shards)).alias("shard")
-    confirmed = texts.select("doc", "unit", F.explode("anchors").alias("anchor")).join(patterns.select("anchor").distinct(), "anchor")
+    owned_anchors = patterns.select("anchor").distinct()
+    confirmed = texts.select("doc", "unit", F.explode("anchors").alias("anchor")).join(owned_anchors, "anchor")
     of_unit = confirmed.groupBy("doc", "unit").agg(F.collect_list("anchor").alias("anchors"))
     confirmed_texts = texts.select("doc", "unit", "words").join(of_unit, ["doc", "unit"]).select("doc", "unit", "anchors", "words")
-    segments = written(
-        _mapped(confirmed_texts, _segments, "anchor long, doc long, unit long, words binary, base int, place int").select(shard, "doc", "unit", "words", "base", "place"),
-        "segments",
-    )
+    n_anchors = owned_anchors.count()
+    patterns, segments = _uncrowded(patterns, written(_mapped(confirmed_texts, _segments, _CUT), "segments"))
+    shards = max(-(-n_anchors // SHARD_ANCHORS), -(-patterns.count() // SHARD_PASSAGES), 1)
+    shard = F.pmod(F.col("key"), F.lit(shards))
+    patterns, segments = patterns.withColumn("shard", shard), segments.withColumn("shard", shard)
     copies = written(segments.groupBy("shard").agg(F.ceil(F.count("*") / COPY_SEGMENTS).cast("int").alias("copies")), "copies")
     tasks = (copies.agg(F.sum("copies")).first()[0] or 0) + 1
-    copied = patterns.withColumn("shard", shard).join(copies, "shard")
-    columns = ["shard", "copy", "doc", "unit", "words", "base", "place"]
-    copied = copied.withColumns(
-        {"copy": F.explode(F.sequence(F.lit(0), F.col("copies") - 1)), "unit": F.lit(None).cast("long"), "base": F.lit(None).cast("int"), "place": F.col("at")}
-    )
+    columns = ["shard", "copy", "doc", "unit", "words", "base", "place", "low", "high"]
+    copied = patterns.join(copies, "shard").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     dealt = segments.join(copies, "shard").withColumn("copy", F.pmod(F.xxhash64("doc", "unit", "base"), F.col("copies")).cast("int"))
     together = copied.select(*columns).unionByName(dealt.select(*columns))
     together = together.repartition(2 * tasks, "shard", "copy").sortWithinPartitions("shard", "copy", F.col("unit").asc_nulls_first(), "doc", "base")

@@ -180,6 +180,24 @@ def test_repeated_passages(spark, monkeypatch, seed, shard, copy):
     assert sum(n for _, n, _ in want.values()) > 500
 
 
+def test_a_passage_in_many_groups_of_copies(spark, monkeypatch):
+    for name, value in (("SHARD_ANCHORS", 4), ("SHARD_PASSAGES", 8), ("KEY_PASSAGES", 3)):
+        monkeypatch.setattr(phrase_automata, name, value, raising=False)
+    searched, mapped = [], phrase_automata._mapped
+    monkeypatch.setattr(phrase_automata, "_mapped", lambda df, of, ddl: searched.append(df) or mapped(df, of, ddl) if of is phrase_automata._searched else mapped(df, of, ddl))
+    rng = random.Random(8)
+    some = lambda n: [f"v{rng.randrange(4000)}" for _ in range(n)]
+    passage, texts = some(70), []
+    for _ in range(60):
+        group = some(40) + passage + some(40)
+        texts += [" ".join(some(5) + group), " ".join(group + some(5))]
+    rows = list(zip(rng.sample(range(1000), len(texts)), texts))
+    found = phrase_automata.remove_repeats(spark.createDataFrame(rows, DOCS)).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in found} == brute_kept(rows, 50)
+    in_shards = [r["count"] for r in searched[0].where("unit is null").groupBy("shard", "copy").count().collect()]
+    assert max(in_shards) < 30
+
+
 def test_repeats_of_odd_tables(spark):
     assert phrase_automata.remove_repeats(spark.createDataFrame([], f"{DOCS}, unit int")).collect() == []
     text = " ".join(f"x{i}" for i in range(60))
