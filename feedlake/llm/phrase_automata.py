@@ -13,7 +13,7 @@ smaller id. The steps:
    last into single windows, which have one owner each; so shards are bounded in passages, also around a phrase that very many
    passages share. Each shard compiles an Aho-Corasick automaton over numbered words.
 4. All documents that hold a pattern's anchor are streamed, as segments of words around it that are cut alike, past the automaton of
-   the key's shard. Each occurrence found is compared word by word with the passage, to both sides; a common run of a window's length
+   the key's shard, which tells the places of phrases in them. Each occurrence found is compared word by word with the passage, to both sides; a common run of a window's length
    covers its words. Shards with many segments are copied, so that a frequent passage is many tasks.
 
 Documents with equal word sequences are settled beforehand: all but those with the smallest id lose every word if they
@@ -264,18 +264,18 @@ class Shard:
         start, end = at - low, at + WINDOW - high
         return (low, high, b" ".join(words[start:end])) if start >= 0 and end <= len(words) else ()
 
-    def covered(self, doc: int, words: bytes, place: int, low: int, high: int) -> list[tuple[int, int]]:
+    def covered(self, doc: int, words: bytes, low: int, high: int) -> list[tuple[int, int]]:
         """Word ranges that windows of other owners' passages cover, owners with smaller ids only.
 
-        Only windows of the anchor at `place` are looked for; others have segments of their own.
+        The automaton finds the places of the phrases in the whole segment; `low` and `high` are the segment's range.
         """
         own = words.split()
         found: list[tuple[int, int]] = []
         if not self.passages or len(own) < WINDOW:
             return found
-        spelled = "".join([self.spelled.get(word, self.unknown) for word in own[place : place + PHRASE]])
+        spelled = "".join([self.spelled.get(word, self.unknown) for word in own])
         for last, _ in self.automaton.iter(spelled):
-            begin = place + (last + 1) // self.width - PHRASE
+            begin = (last + 1) // self.width - PHRASE
             for number in self.by_key.get(self._key(own, begin, low, high), ()):
                 owner, passage, offset = self.passages[number]
                 if owner >= doc:
@@ -317,7 +317,7 @@ def _searched(batches, schema: pa.Schema):
             if shard is None:
                 shard = Shard(patterns)
                 patterns = []
-            rows += [(doc, unit, base + start, base + end) for start, end in shard.covered(doc, words, place, low, high)]
+            rows += [(doc, unit, base + start, base + end) for start, end in shard.covered(doc, words, low, high)]
         if rows:
             yield _rows(schema, rows)
 

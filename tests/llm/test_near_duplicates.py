@@ -198,6 +198,14 @@ def test_a_passage_in_many_groups_of_copies(spark, monkeypatch):
     assert max(in_shards) < 30
 
 
+def test_the_automaton_tells_the_places():
+    own = [b"w%d" % i for i in range(100)]
+    shard = phrase_automata.Shard([(1, b" ".join(own[:70]), 20, 0, 20)])
+    for before in (0, 7, 35):
+        segment = b" ".join([b"x"] * before + own[:70] + [b"w20", b"y"] * 3)
+        assert shard.covered(2, segment, 0, 20) == [(before, before + 70)] and shard.covered(1, segment, 0, 20) == []
+
+
 def test_repeats_of_odd_tables(spark):
     assert phrase_automata.remove_repeats(spark.createDataFrame([], f"{DOCS}, unit int")).collect() == []
     text = " ".join(f"x{i}" for i in range(60))
