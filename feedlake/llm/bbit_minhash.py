@@ -193,6 +193,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT, doc_
     if wanted_docs.count() <= BROADCAST_IDS:
         wanted_docs = F.broadcast(wanted_docs)
     texts = docs.select(doc_id, text).join(wanted_docs, doc_id, "left_semi")
+    if not wanted.where("doc is null").isEmpty():
+        texts = texts.unionByName(docs.select(doc_id, text).where(F.col(doc_id).isNull()))
     sets = _sets(texts, size, doc_id, text).groupBy(F.col("set_key").alias("node")).agg(F.any_value("shingles").alias("shingles"))
     sets = written(sets.join(wanted.select("node").distinct(), "node", "left_semi"), "sets")
 

@@ -80,6 +80,15 @@ def test_near_duplicates_of_odd_tables(spark):
     assert found == sorted([(3, 3, 3, True), (3, 3, 3, True), (None, 3, 3, False), (9, 3, 3, False), (4, 0, 4, True)], key=str)
 
 
+def test_near_copies_without_an_id(spark):
+    own = [f"w{i}" for i in range(100)]
+    changed = lambda *at: " ".join("x" if i in at else w for i, w in enumerate(own))
+    rows = [(3, changed(0, 1, 2, 3, 4, 5, 6, 7, 8, 9)), (None, changed()), (9, changed(*range(90, 100))), (None, "a b c d e f g"), (None, "q r s t u v")]
+    assert brute_near([rows[0], rows[2]], 5)[9][1] == 9
+    got = bbit_minhash.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted(((r.doc_id, r.component_id, r.kept) for r in got), key=str) == sorted([(3, 3, True), (None, 3, False), (9, 3, False), (None, None, True), (None, None, True)], key=str)
+
+
 def test_estimate_and_signature():
     rng = np.random.default_rng(0)
     pool = rng.integers(0, 1 << 63, 4000, dtype=np.uint64)
