@@ -2,7 +2,7 @@
 
 quality: documents that the line-wise classifier rejects go. near_duplicates: of each group of near-duplicates (five-word shingles,
 similarity 0.8 or more) the document with the smallest id stays. decontamination: documents with ten consecutive words
-of a benchmark item go. personal_data: personal data is replaced by marks such as <EMAIL>. tokens: every text is
+of a benchmark item go, and those with all words of an item that has fewer than ten, one after another. personal_data: personal data is replaced by marks such as <EMAIL>. tokens: every text is
 encoded, and decoded again as a check.
 
 Each stage reads all that its predecessor kept and is written as Parquet before the next begins. Further columns pass
@@ -59,7 +59,7 @@ def _checked(ids: DataFrame) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
+    """Documents that hold no window of a benchmark item: ten words, or the whole item if it has fewer."""
     own, names, text = _numbered(docs)
     found = wu_manber.search(own, read(spark, sf_dir, "benchmark"), names, text=text)
     return found.where(F.size("hit") == 0).select(*names).toDF(*docs.columns)

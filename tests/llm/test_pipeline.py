@@ -46,6 +46,13 @@ def test_contaminated_documents_go(spark, documents):
     assert len(want) < documents.count()
 
 
+def test_items_of_few_words_count_as_a_whole(spark, tmp_path):
+    spark.createDataFrame([(1, "seldom met"), (2, " ".join(f"w{i}" for i in range(12)))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    texts = ["was Seldom met there", "seldom was met", "met seldom", " ".join(f"w{i}" for i in range(9)), " ".join(f"w{i}" for i in range(1, 11)), ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()} == {1, 2, 3, 5}
+
+
 def test_personal_data_and_tokens(spark, documents):
     clean = corpus_pipeline.personal_data(spark, documents, SF_DIR)
     texts = {r.doc_id: r.text for r in clean.collect()}
