@@ -19,10 +19,13 @@ from feedlake.llm import (
     phrase_automata,
     pii_votes,
     toxic_segments,
+    turn_dawg,
+    warc_zstd,
+    word_runs,
     wu_manber,
 )
-from feedlake.llm.tables import read
-from feedlake.sources.scratch import small_frame
+from feedlake.llm.tables import read, written
+from feedlake.sources.scratch import new_folder, small_frame
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -106,6 +109,60 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram.limits(length_histogram.histogram(read(spark, sf_dir, "documents"), RANKS))
 
 
+def op11_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "archives")
+    warc_zstd.write_archives(read(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
+    return warc_zstd.resolved(written(warc_zstd.read_archives(spark, folder, payloads=False), "records"))
+
+
+def _made_periodic(docs: DataFrame) -> DataFrame:
+    """Documents of which one in ten repeats its words from some place on, by a hash of its number."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    own = docs.select("doc_id", "text", hashed.alias("h"), F.floor(hashed / 10).alias("g"))
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+    chosen = own.select("doc_id", "text", "g", F.when(F.col("h") % 10 == 0, words).alias("w")).withColumn("n", F.nullif(F.size("w"), F.lit(0)))
+    start = F.col("g") % F.col("n")
+    period = 1 + F.floor((F.col("n") - start) / (3 + F.col("g") % 8))
+    placed = chosen.withColumns({"a": start.cast("int"), "p": period.cast("int")})
+    repeated = F.transform(F.slice("w", F.col("a") + 1, F.col("n") - F.col("a")), lambda word, i: F.get("w", F.col("a") + i % F.col("p")))
+    joined = F.array_join(F.concat(F.slice("w", 1, F.col("a")), repeated), " ")
+    return placed.select("doc_id", F.when(F.col("n") > 0, joined).otherwise(F.col("text")).alias("text"))
+
+
+def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = word_runs.collapse_runs(_made_periodic(read(spark, sf_dir, "documents")), ["doc_id"])
+    told = F.transform("runs", lambda run: F.concat_ws(",", *(run[name].cast("string") for name in ("start", "length", "period"))))
+    best = F.col("best")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *(best[name].alias(name) for name in ("start", "length", "period")),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform(told, lambda line: F.concat(line, F.lit("\n")))), 256).alias("runs_sha256"), "collapsed_sha256",
+    )
+
+
+def _damaged(turns: DataFrame) -> DataFrame:
+    """Turns with planted faults, by a hash of conversation and turn; dropped ones are marked as gone."""
+    named = F.concat_ws(":", *(F.coalesce(F.col(name).cast("string"), F.lit(" ")) for name in ("conv_id", "turn")))
+    text, kind = F.coalesce("text", F.lit(" ")), F.pmod(F.crc32(named.cast("binary")), F.lit(20))
+    made = turns.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"), (kind == 0).alias("gone"),
+        F.explode(F.array_repeat(F.lit(0), F.when(kind == 3, 2).otherwise(1))),
+    )
+    return made.drop("col")
+
+
+def op13_turn_dawg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = turn_dawg.rows_of(_damaged(read(spark, sf_dir, "conversations")))
+    reported = turn_dawg.reports(rows)
+    digests = turn_dawg.repaired_digests(turn_dawg.repaired_turns(rows, reported)).withColumnRenamed("conv_id", "of")
+    both = reported.join(digests, F.col("conv_id").eqNullSafe(F.col("of")), "left")
+    return both.select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_byte_bpe": op2_byte_bpe,
@@ -117,6 +174,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_cross_polytope": op8_cross_polytope,
     "op9_phrase_automata": op9_phrase_automata,
     "op10_length_histogram": op10_length_histogram,
+    "op11_warc_zstd": op11_warc_zstd,
+    "op12_word_runs": op12_word_runs,
+    "op13_turn_dawg": op13_turn_dawg,
 }
 
 ORACLE: dict[str, str] = {
@@ -182,4 +242,65 @@ left_over as (select word.doc_id, count(*) as n, string_agg(word.word, ' ' order
   from word left join gone on gone.doc_id = word.doc_id and gone.at = word.at where gone.at is null group by word.doc_id)
 select doc.doc_id, len(w)::bigint as n_words, (len(w) - coalesce(l.n, 0))::bigint as n_removed, sha256(coalesce(l.kept, '')) as kept_sha256
 from doc left join left_over l on l.doc_id = doc.doc_id""",
+    "op11_warc_zstd": r"""
+with page as (select page_id, coalesce(html, '') as html, octet_length(encode(coalesce(html, '')))::bigint as n from pages),
+grouped as (select *, case when n >= 1000 then max(page_id) over (partition by html) end as response from page)
+select page_id, n as payload_bytes, sha1(html) as payload_digest,
+  case when response is null or page_id is not distinct from response then 'response' else 'revisit' end as record_type,
+  case when page_id is distinct from response then response end as refers_to
+from grouped""",
+    "op13_turn_dawg": r"""
+with recursive crc_table as (
+  select list(list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i) order by i) as t from range(256) r(i)),
+hashed as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    xor(list_reduce(list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda x: ascii(x)::bigint),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::bigint), 4294967295) % 20 as kind
+  from conversations, crc_table),
+damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text
+  from hashed, range(case when kind = 3 then 2 else 1 end) where kind <> 0),
+judged as (
+  select *, case when left(role, 1) in ('s', 'u', 'a') then left(role, 1) else 'o' end as initial,
+    case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank'
+      when row_number() over (partition by conv_id, role, text order by turn nulls first) > 1 then 'duplicate'
+      when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') then 'truncated' else '' end as fault,
+    row_number() over (partition by conv_id order by turn nulls first, role, text) as i, count(*) over (partition by conv_id) as n
+  from damaged),
+neighbours as (select *, lag(initial) over (partition by conv_id order by i) || initial as pair from judged),
+counted as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps, count(*) filter (fault = 'blank') as blank,
+    count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+    count(*) filter (pair is not null and pair not in ('su', 'ua', 'au')) as illegal
+  from neighbours group by conv_id),
+backwards as (
+  select conv_id, n + 1 as i, {'c': 0, 'a': '', 't': []::varchar[]} as v0, {'c': 6, 'a': 'II', 't': ['user:', 'assistant:']} as v1,
+    {'c': 3, 'a': 'I', 't': ['assistant:']} as v2, {'c': 0, 'a': '', 't': []::varchar[]} as v3
+  from judged where i = 1
+  union all
+  select conv_id, i, list_min([w0, {'c': 3 + w2.c, 'a': 'I' || w2.a, 't': ['user:'] || w2.t}, {'c': 6 + w3.c, 'a': 'II' || w3.a, 't': ['user:', 'assistant:'] || w3.t}]),
+    list_min([w1, {'c': 3 + w2.c, 'a': 'I' || w2.a, 't': ['user:'] || w2.t}, {'c': 6 + w3.c, 'a': 'II' || w3.a, 't': ['user:', 'assistant:'] || w3.t}]),
+    list_min([w2, {'c': 3 + w3.c, 'a': 'I' || w3.a, 't': ['assistant:'] || w3.t}]), list_min([w3, {'c': 3 + w2.c, 'a': 'I' || w2.a, 't': ['user:'] || w2.t}])
+  from (
+    select conv_id, i,
+      list_min([{'c': 4 + v0.c, 'a': 'D' || v0.a, 't': v0.t}, {'c': 3 + s + v2.c, 'a': 'R' || v2.a, 't': ['user:' || text] || v2.t},
+        {'c': s + v2.c + case when initial = 'u' then 0 else 1000000 end, 'a': 'K' || v2.a, 't': [role || ':' || text] || v2.t},
+        {'c': s + v1.c + case when initial = 's' then 0 else 1000000 end, 'a': 'K' || v1.a, 't': [role || ':' || text] || v1.t}]) as w0,
+      list_min([{'c': 4 + v1.c, 'a': 'D' || v1.a, 't': v1.t}, {'c': 3 + s + v2.c, 'a': 'R' || v2.a, 't': ['user:' || text] || v2.t},
+        {'c': s + v2.c + case when initial = 'u' then 0 else 1000000 end, 'a': 'K' || v2.a, 't': [role || ':' || text] || v2.t}]) as w1,
+      list_min([{'c': 4 + v2.c, 'a': 'D' || v2.a, 't': v2.t}, {'c': 3 + s + v3.c, 'a': 'R' || v3.a, 't': ['assistant:' || text] || v3.t},
+        {'c': s + v3.c + case when initial = 'a' then 0 else 1000000 end, 'a': 'K' || v3.a, 't': [role || ':' || text] || v3.t}]) as w2,
+      list_min([{'c': 4 + v3.c, 'a': 'D' || v3.a, 't': v3.t}, {'c': 3 + s + v2.c, 'a': 'R' || v2.a, 't': ['user:' || text] || v2.t},
+        {'c': s + v2.c + case when initial = 'u' then 0 else 1000000 end, 'a': 'K' || v2.a, 't': [role || ':' || text] || v2.t}]) as w3
+    from (
+      select j.conv_id, j.i, j.role, j.text, j.initial, b.v0, b.v1, b.v2, b.v3,
+        case when j.fault in ('blank', 'duplicate') then 1000000 when j.fault = 'truncated' then 3 else 0 end as s
+      from backwards b join judged j on j.conv_id is not distinct from b.conv_id and j.i = b.i - 1))),
+solved as (select conv_id, v0.c::bigint as cost, v0.a as audit, array_to_string(v0.t, chr(10)) as repaired from backwards where i = 1)
+select a.conv_id, coalesce(c.gaps, 0)::bigint as gaps, coalesce(c.blank, 0)::bigint as blank, coalesce(c.duplicate, 0)::bigint as duplicate,
+  coalesce(c.truncated, 0)::bigint as truncated, coalesce(c.illegal, 0)::bigint as illegal, coalesce(s.cost, 0)::bigint as cost,
+  coalesce(s.audit, '') as audit, sha256(coalesce(s.repaired, '')) as repaired_sha256
+from (select distinct conv_id from conversations) a
+left join counted c on c.conv_id is not distinct from a.conv_id left join solved s on s.conv_id is not distinct from a.conv_id""",
 }
