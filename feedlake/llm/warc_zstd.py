@@ -54,11 +54,16 @@ _IDS = uuid.UUID("6f1c1d1e-53a4-5b5e-9a51-3f2f0c7d2a11")
 _REQUIRED = ("warc-type", "warc-record-id", "warc-date", "content-length")
 
 
-def trained_dictionary(pages: DataFrame, html: str = "html") -> bytes:
-    """A dictionary for payloads like these; empty if there are too few to learn from."""
-    begun = pages.select(F.substring(html, 1, SAMPLE_CHARS).alias("begun")).where("octet_length(begun) >= 64")
-    chosen = begun.select(F.xxhash64("begun").alias("at"), "begun").orderBy("at", "begun").limit(SAMPLE_PAGES)
-    samples = [row.begun.encode() for row in chosen.collect()]  # at most SAMPLE_PAGES beginnings
+def trained_dictionary(pages: DataFrame) -> bytes:
+    """A dictionary for payloads like these; empty if there are too few to learn from.
+
+    Pages are chosen by a hash of id and address, so that tasks hand on 8 bytes for each of their smallest ones; pages
+    with one hash count as one.
+    """
+    hashed = pages.select(F.xxhash64("page_id", "url").alias("at"), F.substring("html", 1, SAMPLE_CHARS).alias("begun"))
+    chosen = written(hashed.select("at").distinct().orderBy("at").limit(SAMPLE_PAGES), "sampled-pages")
+    begun = hashed.join(F.broadcast(chosen), "at", "left_semi").groupBy("at").agg(F.min("begun").alias("begun"))
+    samples = [row.begun.encode() for row in begun.orderBy("at").collect() if row.begun]  # at most SAMPLE_PAGES beginnings
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
