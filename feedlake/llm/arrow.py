@@ -26,17 +26,33 @@ def remembered(*users: str) -> dict:
     return held
 
 
-def _turn_to(user: str) -> None:
-    for held, users in _remembered:
-        if user not in users:
-            held.clear()
+def turn_to(user: str) -> None:
+    """Say whose work a worker does now; what only others use is given back."""
+    others = [held for held, users in _remembered if held and user not in users]
+    for held in others:
+        held.clear()
+    if others:
+        pa.default_memory_pool().release_unused()
+
+
+def mapped(df: DataFrame, of_batches: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """`mapInArrow` by a worker that has given back what other modules' work left behind."""
+    user = getattr(of_batches, "func", of_batches).__module__
+
+    def run(batches):
+        turn_to(user)
+        yield from of_batches(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str, most_rows: int = SLICE_ROWS, most_bytes: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a slice holds few rows and few bytes of `column`; a longer text is a slice of its own."""
     for batch in batches:
         if not batch.num_rows:
@@ -44,7 +60,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
         sizes = pc.binary_length(batch.column(column)).fill_null(0)
         start, held = 0, 0
         for row, size in enumerate(sizes.to_pylist()):
-            if row > start and (row - start >= SLICE_ROWS or held + size > SLICE_BYTES):
+            if row > start and (row - start >= most_rows or held + size > most_bytes):
                 yield batch.slice(start, row - start)
                 start, held = row, 0
             held += size
@@ -60,7 +76,10 @@ def _quoted(name: str) -> str:
     return f"`{name.replace('`', '``')}`"
 
 
-def per_text(df: DataFrame, ddl: str, make: Callable[[], Callable[[list[bytes]], dict]], keep: list[str], text: str = "text") -> DataFrame:
+def per_text(
+    df: DataFrame, ddl: str, make: Callable[[], Callable[[list[bytes]], dict]], keep: list[str], text: str = "text",
+    most_rows: int = SLICE_ROWS, most_bytes: int = SLICE_BYTES,
+) -> DataFrame:
     """Map texts to columns, slice by slice, next to the kept columns of their rows.
 
     `make` runs once per task and returns a function from a list of UTF-8 texts to
@@ -71,10 +90,10 @@ def per_text(df: DataFrame, ddl: str, make: Callable[[], Callable[[list[bytes]],
     schema = StructType([*kept.fields, *added.fields])
 
     def run(batches):
-        _turn_to(make.__module__)
+        turn_to(make.__module__)
         of_texts = make()
         shape = to_arrow_schema(schema)
-        for part in slices(batches, text):
+        for part in slices(batches, text, most_rows, most_bytes):
             made = of_texts(texts(part, text))
             columns = [part.column(name).cast(shape.field(name).type) for name in kept.names]
             for field in added.fields:

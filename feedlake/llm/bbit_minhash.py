@@ -142,7 +142,7 @@ def _estimated(pairs: DataFrame, percent: int) -> DataFrame:
             alike = pa.array(estimates(*packed) >= percent / 100 - MARGIN)
             yield pa.RecordBatch.from_arrays([batch.column(name).filter(alike) for name in ("a", "b")], schema=schema)
 
-    return pairs.mapInArrow(likely, ddl)
+    return arrow.mapped(pairs, likely, ddl)
 
 
 def _blocks(batches, percent: int, schema: pa.Schema):
@@ -258,4 +258,4 @@ def _block_links(opened: DataFrame, signatures: DataFrame, sets: DataFrame, perc
     ddl = "a binary, b binary"
     schema = arrow.arrow_schema(ddl)
     columns = ["band", "bucket", "left", "right", "node", "label", "outside", "bands", "shingles"]
-    return ordered.select(*columns).mapInArrow(partial(_blocks, percent=percent, schema=schema), ddl)
+    return arrow.mapped(ordered.select(*columns), partial(_blocks, percent=percent, schema=schema), ddl)

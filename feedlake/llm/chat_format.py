@@ -77,7 +77,7 @@ def _is_attachment(part: Column) -> Column:
 
 
 def format_turns(turns: DataFrame, expansion: Expansion = Expansion()) -> DataFrame:
-    """One row per turn of (conv_id, turn, role, parts): its formatted text, its attachments and its loss mask.
+    """One row per turn of (conv_id, turn, role, parts): its role, its formatted text, its attachments and its loss mask.
 
     formatted: the turn with its control strings. attachments: ordinal, kind, reference and expanded tokens in order.
     expanded_tokens: their sum. loss_start, loss_chars: the code points of `formatted` that are learned, the content of
@@ -115,7 +115,7 @@ def format_turns(turns: DataFrame, expansion: Expansion = Expansion()) -> DataFr
         F.concat(F.lit(START), escaped_role(F.col("role")), F.lit("\n")).alias("head"),
     )
     return made.select(
-        "conv_id", "turn", F.concat("head", "content", F.lit(f"{END}\n")).alias("formatted"), "attachments",
+        "conv_id", "turn", "role", F.concat("head", "content", F.lit(f"{END}\n")).alias("formatted"), "attachments",
         F.aggregate("attachments", F.lit(0).cast("long"), lambda total, x: total + x["tokens"]).alias("expanded_tokens"),
         F.length("head").cast("long").alias("loss_start"),
         F.when(F.col("role") == "assistant", F.length("content")).otherwise(0).cast("long").alias("loss_chars"),
@@ -179,7 +179,9 @@ def conversation_digests(formatted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     columns = formatted.select(
-        "conv_id", "formatted", "loss_start", "loss_chars", F.size("attachments").alias("n_attachments"), "expanded_tokens", "turn"
+        "conv_id", "formatted", "loss_start", "loss_chars", F.size("attachments").alias("n_attachments"), "expanded_tokens", "turn", "role"
     )
-    ordered = columns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "formatted")
-    return ordered.drop("turn").mapInArrow(fold, ddl)
+    # Equal numbers are put in order by what the turns say, not by how it is escaped; a turn ends with END and a line end.
+    content = F.col("formatted").substr(F.col("loss_start").cast("int") + 1, F.length("formatted") - F.col("loss_start").cast("int") - len(END) - 1)
+    ordered = columns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", F.regexp_replace(content, r"<\\(\\*)\|", r"<$1|"))
+    return ordered.drop("turn", "role").mapInArrow(fold, ddl)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from feedlake.llm import arrow
 from feedlake.llm.byte_bpe import PATTERN, read_ranks
+from feedlake.llm.tables import written
 
 #: Lengths per range of the two-level sums.
 RANGE = 256
@@ -32,7 +33,7 @@ def _encoding(path: str):
 
 
 def histogram(docs: DataFrame, ranks_path: str, text: str = "text") -> DataFrame:
-    """(length, n_docs): the number of documents of each encoded length."""
+    """(length, n_docs): the number of documents of each encoded length; a written table, as limits are read off it twice."""
 
     ddl = "length long, n_docs long"
     schema = arrow.arrow_schema(ddl)
@@ -44,8 +45,8 @@ def histogram(docs: DataFrame, ranks_path: str, text: str = "text") -> DataFrame
             counts.update(len(encode(value.decode())) for value in arrow.texts(part, text))
         yield pa.RecordBatch.from_pydict({"length": list(counts), "n_docs": list(counts.values())}, schema=schema)
 
-    counted = docs.select(text).mapInArrow(count, ddl)
-    return counted.groupBy("length").agg(F.sum("n_docs").alias("n_docs"))
+    counted = arrow.mapped(docs.select(text), count, ddl)
+    return written(counted.groupBy("length").agg(F.sum("n_docs").alias("n_docs")), "lengths")
 
 
 def limits(hist: DataFrame) -> DataFrame:

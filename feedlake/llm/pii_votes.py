@@ -17,8 +17,11 @@ not looked at.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -132,12 +135,25 @@ def described(text: str, kind: str, start: int, end: int, base: int) -> tuple:
     return (kind, base, _gazetteer(kind, span), context, -1 if joined else 1, *shape)
 
 
+class Taken:
+    """Stretches of a text, to be asked which others overlap one of them."""
+
+    def __init__(self, stretches: Iterable[tuple[int, int]]):
+        ordered = sorted(stretches)
+        self.starts = [start for start, _ in ordered]
+        self.ends = list(accumulate((end for _, end in ordered), max))
+
+    def meets(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)
+        return before > 0 and self.ends[before - 1] > start
+
+
 def candidates(text: str) -> list[tuple[int, int, bool, tuple]]:
     """(start, end, base, description) of all candidates; loose ones overlapping no valid base match."""
     found = [(start, end, valid, described(text, kind, start, end, 1 if valid else -1)) for kind, start, end, valid in base_matches(text)]
-    taken = [(start, end) for start, end, valid, _ in found if valid]
+    taken = Taken((start, end) for start, end, valid, _ in found if valid)
     for kind, start, end in _loose_matches(text):
-        if not any(start < b and a < end for a, b in taken):
+        if not taken.meets(start, end):
             found.append((start, end, False, described(text, kind, start, end, 0)))
     return found
 
@@ -159,7 +175,7 @@ def pattern_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(column, field.type) for column, field in zip(zip(*rows), schema)], schema=schema)
 
-    counted = docs.select(text).mapInArrow(count, ddl)
+    counted = arrow.mapped(docs.select(text), count, ddl)
     return counted.groupBy(*[name for name in counted.columns if name != "n"]).agg(F.sum("n").alias("n"))
 
 
@@ -233,14 +249,16 @@ def spans(text: str, model: Model) -> list[tuple[str, int, int, bool]]:
     """(kind, start, end, base) of a text's personal data, by kind and start."""
     found = candidates(text)
     loose = [item for item in found if not item[2] and item[3][1] == 0]
-    taken = [(start, end) for start, end, base, _ in found if base]
     chosen = [(description[0], start, end, True) for start, end, base, description in found if base]
     if loose:
-        likely = model.probability([description for *_, description in loose])
-        for (start, end, _, description), p in zip(loose, likely):
-            if p > 0.5 and not any(start < b and a < end for a, b in taken):
-                chosen.append((description[0], start, end, False))
-                taken.append((start, end))
+        likely = model.probability([description for *_, description in loose]) > 0.5
+        # Loose matches of a kind do not overlap one another.
+        for kind in dict.fromkeys(description[0] for *_, description in loose):
+            taken = Taken((start, end) for _, start, end, _ in chosen)
+            chosen += [
+                (kind, start, end, False) for (start, end, _, description), good in zip(loose, likely)
+                if good and description[0] == kind and not taken.meets(start, end)
+            ]
     return sorted(chosen, key=lambda span: (KINDS.index(span[0]), span[1], span[2]))
 
 
@@ -279,4 +297,4 @@ def redact(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             columns = [pa.array(values, shape.field(place).type) if number == place else part.column(number).cast(shape.field(number).type) for number in range(len(shape))]
             yield pa.RecordBatch.from_arrays(columns, schema=shape)
 
-    return docs.mapInArrow(run, schema)
+    return arrow.mapped(docs, run, schema)

@@ -43,10 +43,11 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = byte_bpe.encode(read(spark, sf_dir, "documents"), RANKS, ["doc_id"])
-    told = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), _joined_sha256(F.col("ids"), " ").alias("ids_sha256"), "ids")
-    decoded = byte_bpe.decode(told, RANKS, ["doc_id", "n_tokens", "ids_sha256"])
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    both_ways = byte_bpe.encode(read(spark, sf_dir, "documents"), RANKS, ["doc_id"], decoded=True)
+    return both_ways.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), _joined_sha256(F.col("ids"), " ").alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 def _judged(scored: DataFrame, held_out: Column, threshold: float) -> DataFrame:

@@ -128,7 +128,7 @@ def _signed(batches, schema: pa.Schema):
 def signed(rows: DataFrame) -> DataFrame:
     """One row per conversation of `rows_of`: gaps, numbers of faults, illegal neighbours, and its signature."""
     columns = _ordered(rows).select("conv_id", "turn", "initial", "fault", "said", "later", "gone")
-    return columns.mapInArrow(partial(_signed, schema=arrow.arrow_schema(_SIGNED)), _SIGNED)
+    return arrow.mapped(columns, partial(_signed, schema=arrow.arrow_schema(_SIGNED)), _SIGNED)
 
 
 class Node:
@@ -210,7 +210,7 @@ def audits(signatures: DataFrame) -> DataFrame:
     """(signature, cost, audit, nodes) of every distinct signature; `nodes` is how many nodes it added."""
     endings = signatures.select(F.reverse("signature").alias("ending")).distinct()
     dealt = endings.repartitionByRange("ending").sortWithinPartitions("ending")
-    return dealt.mapInArrow(partial(_audited, schema=arrow.arrow_schema(_AUDITED)), _AUDITED)
+    return arrow.mapped(dealt, partial(_audited, schema=arrow.arrow_schema(_AUDITED)), _AUDITED)
 
 
 def reports(rows: DataFrame) -> DataFrame:
@@ -268,7 +268,7 @@ def repaired_turns(rows: DataFrame, reported: DataFrame) -> DataFrame:
     heads = reported.select("conv_id", F.lit(None).cast(rows.schema["turn"].dataType).alias("turn"), nothing.alias("role"), nothing.alias("text"), "audit", F.lit(0).alias("kind"))
     turns = rows.where("not gone").select("conv_id", "turn", "role", "text", nothing.alias("audit"), F.lit(1).alias("kind"))
     columns = _ordered(heads.unionByName(turns), "kind").select("conv_id", "audit", "role", "text")
-    return columns.mapInArrow(partial(_repaired, schema=arrow.arrow_schema(_REPAIRED)), _REPAIRED)
+    return arrow.mapped(columns, partial(_repaired, schema=arrow.arrow_schema(_REPAIRED)), _REPAIRED)
 
 
 _DIGESTS = "conv_id long, repaired_sha256 string"
@@ -295,4 +295,4 @@ def _digested(batches, schema: pa.Schema):
 
 def repaired_digests(repaired: DataFrame) -> DataFrame:
     """SHA-256 over `role:text` of a conversation's turns, joined by line ends; `repaired` as `repaired_turns` returns it."""
-    return repaired.select("conv_id", "role", "text").mapInArrow(partial(_digested, schema=arrow.arrow_schema(_DIGESTS)), _DIGESTS)
+    return arrow.mapped(repaired.select("conv_id", "role", "text"), partial(_digested, schema=arrow.arrow_schema(_DIGESTS)), _DIGESTS)

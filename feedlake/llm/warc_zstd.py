@@ -151,7 +151,7 @@ def write_archives(pages: DataFrame, folder: str, date: str = "2000-01-01T00:00:
     """
     dictionary = trained_dictionary(pages) if dictionary is None else dictionary
     framed = partial(_frames, schema=arrow.arrow_schema(_FRAMES), dictionary=dictionary, date=date, archive_bytes=archive_bytes)
-    made = with_revisits(pages).mapInArrow(framed, _FRAMES)
+    made = arrow.mapped(with_revisits(pages), framed, _FRAMES)
     lines = made.sortWithinPartitions("archive", "place").select("archive", F.col("frame").cast("string").alias("frame"))
     lines.write.partitionBy("archive").option("lineSep", SEPARATOR).mode("overwrite").text(folder)
 
@@ -286,7 +286,7 @@ def _records(batches, schema: pa.Schema, payloads: bool):
 def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
     """One row per record of the archives below `folder`: its place, type, ids, digest, payload, or what is wrong with it."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "content")
-    return files.mapInArrow(partial(_records, schema=arrow.arrow_schema(_RECORDS), payloads=payloads), _RECORDS)
+    return arrow.mapped(files, partial(_records, schema=arrow.arrow_schema(_RECORDS), payloads=payloads), _RECORDS)
 
 
 def resolved(records: DataFrame) -> DataFrame:

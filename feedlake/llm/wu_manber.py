@@ -113,7 +113,7 @@ def item_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
             rows = [(window, item) for item, text in zip(part.column("item_id").to_pylist(), arrow.texts(part)) for window in windows_of(text, size)]
             yield pa.RecordBatch.from_arrays([pa.array([row[0] for row in rows], pa.binary()), pa.array([row[1] for row in rows], pa.int64())], schema=schema)
 
-    cut_windows = items.select(F.col("item_id").cast("long"), "text").mapInArrow(cut, ddl)
+    cut_windows = arrow.mapped(items.select(F.col("item_id").cast("long"), "text"), cut, ddl)
     return cut_windows.groupBy("window").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
 
 

@@ -77,6 +77,9 @@ def test_odd_rows_pass_every_stage(spark, documents):
         made = stage(spark, docs, SF_DIR)
         assert made.dtypes == docs.dtypes and made.count() == len(rows), name
     assert corpus_pipeline.quality(spark, docs, SF_DIR).dtypes == docs.dtypes
+    told = corpus_pipeline.tokens(spark, docs.withColumnsRenamed({"hit": "ids", "node": "decoded"}), SF_DIR)
+    assert told.columns == ["doc_id", "text", "lang", "source", "n_chars", "score", "c0", "decoded", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]
+    assert sorted((str(r.text), r.decoded, r.n_tokens == len(r.ids)) for r in told.collect()) == sorted((str(r[1]), "n", True) for r in rows)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), SF_DIR).collect() == [], name
 

@@ -1,5 +1,6 @@
 """Formatting, encoding, search and personal data against brute force."""
 
+import base64
 import hashlib
 import random
 import re
@@ -10,6 +11,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from feedlake.llm import byte_bpe, chat_format, length_histogram, pii_votes, queries, wu_manber
 
@@ -63,6 +65,9 @@ def test_digests_of_odd_conversations(spark):
     got = {r.conv_id: r for r in chat_format.conversation_digests(chat_format.format_turns(spark.createDataFrame(rows, TURNS))).collect()}
     assert got[7].n_turns == 4 and got[7].loss_sha256 == hashlib.sha256(b"aab").hexdigest()
     assert got[7].turns_sha256 == hashlib.sha256(b"user\n\nassistant\na\nassistant\na\nassistant\nb\n").hexdigest()
+    tied = [(1, 1, "user", [part("text", "<|")]), (1, 1, "user", [part("text", "<a")]), (1, 1, "u|z", [part("text", "")]), (1, 1, "u~", [part("text", "")]), (1, 1, "u\n", [part("text", "")])]
+    of_ties = chat_format.conversation_digests(chat_format.format_turns(spark.createDataFrame(tied, TURNS))).first()
+    assert of_ties.turns_sha256 == hashlib.sha256(b"".join(f"{r}\n{p[0][1]}\n".encode() for _, _, r, p in sorted(tied, key=lambda t: (t[2], t[3][0][1])))).hexdigest()
     assert got[9].n_turns == 3000 and got[9].loss_chars == 3000 * 2999 // 2 and got[None].n_turns == 1
 
 
@@ -84,6 +89,19 @@ def test_very_long_pre_tokens(alphabet):
     assert ids_of(text) == LIBRARY.encode_ordinary(text)
 
 
+def test_a_merge_may_open_one_of_a_lower_rank(tmp_path):
+    # "ab" then "abc" of a lower rank than "ab": the second "ab" has to wait.
+    tokens = [bytes([byte]) for byte in range(256)] + [b"abc", b"cab", b"ab", b"aba", b"ca", b"bc a", b"abab"]
+    ranks = {token: rank for rank, token in enumerate(tokens)}
+    library = tiktoken.Encoding("few", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    with open(tmp_path / "few.tiktoken", "wb") as file:
+        file.writelines(base64.b64encode(token) + b" %d\n" % rank for token, rank in ranks.items())
+    own, rng = byte_bpe.Encoder(str(tmp_path / "few.tiktoken")), random.Random(2)
+    for _ in range(2000):
+        text = "".join(rng.choice("abc") for _ in range(rng.randrange(1, 40)))
+        assert np.frombuffer(own.encode(text), np.int32).tolist() == library.encode_ordinary(text)
+
+
 def test_cache_overflow_changes_nothing(monkeypatch):
     monkeypatch.setattr(byte_bpe, "CACHED_TOKENS", 5)
     own, text = byte_bpe.Encoder(queries.RANKS), " ".join(f"wörd{n} thing{n}" for n in range(50)) * 2
@@ -96,6 +114,9 @@ def test_encoding_of_odd_tables(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
     encoded = byte_bpe.encode(docs, queries.RANKS, ["doc_id"])
     found = sorted((r.doc_id, bytes(r.decoded)) for r in byte_bpe.decode(encoded, queries.RANKS, ["doc_id"]).collect())
+    assert found == sorted((r.doc_id, bytes(r.decoded)) for r in byte_bpe.encode(docs, queries.RANKS, ["doc_id"], decoded=True).collect())
+    nothing = byte_bpe.decode(encoded.select("doc_id", F.lit(None).cast("array<int>").alias("ids")), queries.RANKS, ["doc_id"])
+    assert {bytes(r.decoded) for r in nothing.collect()} == {b""}
     assert found == sorted((doc, (text or "").encode()) for doc, text, _ in rows)
     assert sorted((r.doc_id, r.ids) for r in encoded.collect()) == sorted((doc, LIBRARY.encode_ordinary(text or "")) for doc, text, _ in rows)
     assert byte_bpe.encode(docs.limit(0), queries.RANKS, ["doc_id"]).collect() == []
@@ -225,5 +246,7 @@ def test_personal_data_of_an_empty_table(spark):
 
 
 def test_long_runs_take_linear_time():
-    for text in ("1" * 200000, "a" * 200000 + "@", "1." * 60000, "+" + "1 " * 100000, "@" * 100000):
+    for text in ("555-123-4567 a@b.cc " * 50000, "(555) 123-4567 a [at] b.cc " * 20000, "1" * 200000, "a" * 200000 + "@", "1." * 60000, "+" + "1 " * 100000, "@" * 100000):
         assert pii_votes.candidates(text) is not None
+    model = pii_votes.Model({}, {}, np.ones(pii_votes._features([]).shape[1]))
+    assert len(pii_votes.spans("(555) 123-4567 a [at] b.cc " * 20000, model)) == 40000
