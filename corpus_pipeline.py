@@ -3,7 +3,8 @@
 quality: documents that the line-wise classifier rejects go. near_duplicates: of each group of near-duplicates (five-word shingles,
 similarity 0.8 or more) the document with the smallest id stays. decontamination: documents with ten consecutive words
 of a benchmark item go, and those with all words of an item that has fewer than ten, one after another. personal_data: personal data is replaced by marks such as <EMAIL>. tokens: every text is
-encoded, and decoded again as a check.
+encoded, and decoded again as a check. The last stage adds its results to the columns of the documents; a column
+that is named like a result gives way to it.
 
 Each stage reads all that its predecessor kept and is written as Parquet before the next begins. Further columns pass
 through unchanged, whatever their names. Null and empty texts are judged like any text without words: the quality stage scores them,
@@ -74,11 +75,15 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, their number, and digests of the ids and of the text that they decode to."""
-    encoded = byte_bpe.encode(docs, RANKS, ["doc_id"])
-    told = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"))
-    decoded = byte_bpe.decode(told, RANKS, told.columns)
-    return decoded.select(*told.columns, F.sha2("decoded", 256).alias("decoded_sha256"))
+    """The documents with their token ids, the number of these, and digests of the ids and of the text that they decode to."""
+    own, names, text = _numbered(docs)
+    both_ways = byte_bpe.encode(own, RANKS, names, text=text, decoded=True)
+    results = {
+        "n_tokens": F.size("ids").cast("long"), "ids": F.col("ids"), "ids_sha256": F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256),
+        "decoded_sha256": F.sha2("decoded", 256),
+    }
+    kept = [F.col(own_name).alias(name) for own_name, name in zip(names, docs.columns) if name not in results]
+    return both_ways.select(*kept, *(value.alias(name) for name, value in results.items()))
 
 
 STAGES = [
