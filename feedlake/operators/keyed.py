@@ -15,6 +15,7 @@ so all hot keys together take at most the size of the data divided by that,
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
@@ -76,10 +77,26 @@ def with_key_size(df: DataFrame, keys: list[str], name: str, hot_rows: int = HOT
     return attach(df, repeated, keys, name, hot_rows).withColumn(name, F.coalesce(name, F.lit(1).cast("long")))
 
 
-def absent_keys(df: DataFrame, lookup: DataFrame, keys: list[str], rows: str = "key_rows") -> DataFrame:
-    """Keys of `df` without NULLs that have no row in `lookup`, with their row counts."""
+def absent_keys(
+    df: DataFrame, lookup: DataFrame | Sequence[DataFrame], keys: list[str], rows: str = "key_rows", buckets: int | None = None
+) -> DataFrame:
+    """Keys of `df` without NULLs that have no row in `lookup`, with their row counts.
+
+    Several lookups are asked one after another, and a key is absent if none of them has it. Lookups that are bucketed by the keys are
+    read in place, which a union of them would not be; with `buckets`, their number, the keys are dealt to as many partitions.
+    """
     present = reduce(and_, (F.col(key).isNotNull() for key in keys))
-    return key_sizes(df.where(present), keys, rows).join(lookup.select(*keys), keys, "left_anti")
+    absent = key_sizes(df.where(present), keys, rows)
+    lookups = [lookup] if isinstance(lookup, DataFrame) else lookup
+    if buckets is None or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) == buckets:
+        for known in lookups:  # the aggregation has dealt the keys as the buckets are
+            absent = absent.join(known.select(*keys), keys, "left_anti")
+        return absent
+    absent = absent.repartition(buckets, *keys)
+    for known in lookups:  # Spark would move an anti-join to before the keys are dealt
+        there = known.select(*keys, F.lit(True).alias("_there"))
+        absent = absent.join(there, keys, "left").where("_there is null").drop("_there")
+    return absent
 
 
 def with_exists(

@@ -16,11 +16,13 @@ def upsert(
     run_ts: Column | None = None,
     inserted_at: str | None = None,
     updated_at: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Snapshot of `target` after inserting or updating the rows of `source`.
 
     The target holds one row per key. Two source rows of one key make the upsert fail; they are met
-    in an aggregation by the keys that the join then joins by, so this takes no further shuffle. With `version`, a
+    in an aggregation by the keys that the join then joins by, so this takes no further shuffle. A caller whose source has one row per key
+    by construction says so by `unique` and is spared the aggregation. With `version`, a
     source row replaces a target row only if its version is strictly greater, so late and repeated
     deliveries change nothing. `inserted_at` and `updated_at` name audit columns:
     both are set on insert, `updated_at` also on update, to `run_ts` or, if the
@@ -30,7 +32,8 @@ def upsert(
     audit = [name for name in (inserted_at, updated_at) if name]
     values = [name for name in source.columns if name not in keys and name not in audit]
     source = source.withColumns({name: run_ts for name in audit if name not in source.columns})
-    new = _one_per_key(source, keys, [*values, *audit])
+    held = [*values, *audit]
+    new = source.select(*keys, F.struct(*held).alias("_new")) if unique else _one_per_key(source, keys, held)
     if target is None:
         return new.select(*keys, "_new.*")
 

@@ -97,13 +97,14 @@ def run_batch(
 
 def _members(
     lake: Lake, landing: str, batch_id: str, contract: FeedContract, source: FeedSource, version: int, run_ts: Column
-) -> tuple[dict[str, int], DataFrame]:
+) -> tuple[dict[str, int], list[DataFrame]]:
     spark, root = lake.spark, raw_root(lake, "member")
 
     def check(target: str) -> None:
         require_contract(first_lines(spark, root, target), contract)
 
-    loaded = load_feed(spark, landing, root, source, batch_id, check=check)
+    # Headers are checked before anything is landed, and once more as landed, as files may have come in between.
+    loaded = load_feed(spark, landing, root, source, batch_id, check=check, check_heads=lambda heads: require_contract(heads, contract))
     lines, line_count = loaded_lines(spark, root, batch_id)
     if not line_count:
         raise NoFilesError(f"batch {batch_id} has no lines in any {source.folder} file")
@@ -121,10 +122,13 @@ def _members(
     staged = stages.member_staging(evaluated)
 
     pairs = conflicts(staged, "member_id", "source_feed_timestamp", list(MEMBER_ATTRIBUTES))
-    pairs, _ = lake.write_batch(
+    pairs, clashes = lake.write_batch(
         pairs.withColumn("batch_id", F.lit(batch_id)), "conflicting_versions", CONFLICTING_VERSIONS, version, batch_id
     )
-    bad, good = split_conflicts(staged, pairs.drop("batch_id"), "member_id", "source_feed_timestamp")
+    if clashes["rows"]:
+        bad, good = split_conflicts(staged, pairs.drop("batch_id"), "member_id", "source_feed_timestamp")
+    else:
+        bad, good = small_frame(spark, [], DQ_QUARANTINE), staged.where("member_id is not null")
     _, clashing = lake.write_batch(bad, "conflicting_members", DQ_QUARANTINE, version, batch_id)
 
     known = _hold_members(lake, latest_members(good), seen["valid"], version, run_ts)
@@ -141,8 +145,8 @@ def _members(
     return counts, known
 
 
-def _hold_members(lake: Lake, newest: DataFrame, newest_rows: int, version: int, run_ts: Column) -> DataFrame:
-    """Merge a day's latest rows into the current members; returns the member ids that are known then.
+def _hold_members(lake: Lake, newest: DataFrame, newest_rows: int, version: int, run_ts: Column) -> list[DataFrame]:
+    """Merge a day's latest rows into the current members; returns the tables that have the ids known then, each in its buckets.
 
     A day costs what it delivers, not what there is: only the members it names are looked up and merged, and they are kept in
     a slot of recent changes. Base and country tables are rewritten, countries as far as they differ, when the
@@ -152,26 +156,26 @@ def _hold_members(lake: Lake, newest: DataFrame, newest_rows: int, version: int,
     if int(lake.spark.conf.get("spark.sql.shuffle.partitions")) != lake.buckets:
         newest = lake.in_buckets(newest, MEMBER_KEY)  # else the latest rows are in their buckets already
     if base is None:
-        changes = stages.merge_members(None, newest, run_ts)
+        changes = stages.merge_members(None, newest, run_ts, unique=True)
     else:
         named = newest.select(*MEMBER_KEY)
         held = base.join(named, MEMBER_KEY, "left_semi")
         if recent is not None:
-            held = upsert(held, recent.join(named, MEMBER_KEY, "left_semi"), MEMBER_KEY)
-        changes = stages.merge_members(held, newest, run_ts)
+            held = upsert(held, recent.join(named, MEMBER_KEY, "left_semi"), MEMBER_KEY, unique=True)
+        changes = stages.merge_members(held, newest, run_ts, unique=True)
         if recent is not None:
-            changes = upsert(recent, changes, MEMBER_KEY)
+            changes = upsert(recent, changes, MEMBER_KEY, unique=True)
     changed_rows = lake.row_count("member_current", RECENT) + newest_rows
     if base is not None and changed_rows <= FOLD_SHARE * lake.row_count("member_current", BASE):
         recent = lake.write_entity(changes, "member_current", MEMBER_CURRENT, version, MEMBER_KEY, RECENT)
-        return base.select(*MEMBER_KEY).unionByName(recent.select(*MEMBER_KEY))
-    folded = changes if base is None else upsert(base, changes, MEMBER_KEY)
+        return [base.select(*MEMBER_KEY), recent.select(*MEMBER_KEY)]
+    folded = changes if base is None else upsert(base, changes, MEMBER_KEY, unique=True)
     after = lake.write_entity(folded, "member_current", MEMBER_CURRENT, version, MEMBER_KEY, BASE)
     lake.empty_slot("member_current", RECENT, version)
     touched = affected_partitions(base, after, "member_id", "country", LINEAGE)
     affected = sorted(row.country for row in touched.where(F.col("country").isin(*COUNTRIES)).collect())
     lake.write_projection(project(after, "country", affected), "member_country", version, "country", affected)
-    return after.select(*MEMBER_KEY)
+    return [after.select(*MEMBER_KEY)]
 
 
 def _stage_redemptions(
@@ -190,10 +194,10 @@ def _stage_redemptions(
 
 
 def _redemptions(
-    lake: Lake, batch_id: str, version: int, run_ts: Column, staged: DataFrame, members: DataFrame
+    lake: Lake, batch_id: str, version: int, run_ts: Column, staged: DataFrame, members: list[DataFrame]
 ) -> dict[str, int]:
     evaluated, seen = lake.write_batch(
-        stages.evaluate_redemptions(staged, members),
+        stages.evaluate_redemptions(staged, members, buckets=lake.buckets),
         "redemption_evaluated",
         REDEMPTION_EVALUATED,
         version,
@@ -219,12 +223,12 @@ def _curate(lake: Lake, accepted: DataFrame, accepted_rows: int, version: int, r
     base, recent = (lake.read_entity("redemption", REDEMPTION, REDEMPTION_KEY, slot) for slot in (BASE, RECENT))
     if recent is None:
         accepted = lake.in_buckets(accepted, REDEMPTION_KEY)
-    changes = stages.merge_redemptions(recent, accepted, run_ts)
+    changes = stages.merge_redemptions(recent, accepted, run_ts, unique=True)  # copies of an id are never accepted
     changed_rows = lake.row_count("redemption", RECENT) + accepted_rows
     if base is not None and changed_rows <= FOLD_SHARE * lake.row_count("redemption", BASE):
         lake.write_entity(changes, "redemption", REDEMPTION, version, REDEMPTION_KEY, RECENT)
     else:
-        folded = stages.merge_redemptions(base, changes)
+        folded = stages.merge_redemptions(base, changes, unique=True)
         lake.write_entity(folded, "redemption", REDEMPTION, version, REDEMPTION_KEY, BASE)
         lake.empty_slot("redemption", RECENT, version)
 
@@ -256,7 +260,7 @@ def read_member_current(lake: Lake) -> DataFrame:
     base, recent = (lake.read_entity("member_current", MEMBER_CURRENT, MEMBER_KEY, slot) for slot in (BASE, RECENT))
     if base is None:
         return small_frame(lake.spark, [], MEMBER_CURRENT)
-    return base if recent is None else upsert(base, recent, MEMBER_KEY)
+    return base if recent is None else upsert(base, recent, MEMBER_KEY, unique=True)
 
 
 def read_member_countries(lake: Lake) -> DataFrame:
@@ -284,7 +288,7 @@ def read_redemption(lake: Lake) -> DataFrame:
     base, recent = (lake.read_entity("redemption", REDEMPTION, REDEMPTION_KEY, slot) for slot in (BASE, RECENT))
     if base is None:
         return small_frame(lake.spark, [], REDEMPTION)
-    return base if recent is None else stages.merge_redemptions(base, recent)
+    return base if recent is None else stages.merge_redemptions(base, recent, unique=True)
 
 
 def create_views(lake: Lake) -> list[str]:

@@ -17,7 +17,7 @@ from feedlake.functions.dates import batch_date
 from feedlake.functions.text import record_type
 from feedlake.schemas import MEMBER_CONTRACT, FeedSource
 from feedlake.sources.landing import delivered_files
-from feedlake.sources.scratch import materialise, new_folder, replace_file, small_frame
+from feedlake.sources.scratch import empty_file, materialise, new_folder, replace_file, small_frame
 
 BATCHES = ("20260926", "20260927")
 FILE_SOURCES = {
@@ -219,6 +219,11 @@ def rewrite_first_member_file(spark: SparkSession, sf_dir: str, landing: str, ba
     replace_file(spark, delivered_files(spark, anew, r".*/part-[^/]*").first().file_path, name)
 
 
+def empty_first_member_file(spark: SparkSession, landing: str, batch_id: str) -> None:
+    """Take everything out of the file of the smallest customers."""
+    empty_file(spark, delivered_files(spark, f"{landing}/member/{batch_id}/file_no=0", ".*").first().file_path)
+
+
 def write_redemption_files(spark: SparkSession, sf_dir: str, landing: str, batch_id: str, line: str = "%s") -> None:
     """The redemption documents of a day as files of ten thousand orders each, one document per line, put into `line`."""
     documents = redemption_documents(spark, sf_dir).where(F.col("batch_id") == batch_id)

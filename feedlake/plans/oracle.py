@@ -249,7 +249,9 @@ ORACLE: dict[str, str] = {
   union all
   select 2, 'SKIPPED', 0, 0, n + d + 1, capitals + old_capitals, greatest(last_line, d + 1) from kept, first_file
   union all
-  select 3, 'LOADED', 2 * d + 1, 1, n + 2 * d + 1, capitals + 2 * d + 1, greatest(last_line, 2 * d + 1) from kept, first_file""",
+  select 3, 'LOADED', 2 * d + 1, 1, n + 2 * d + 1, capitals + 2 * d + 1, greatest(last_line, 2 * d + 1) from kept, first_file
+  union all
+  select 4, 'LOADED', 0, 1, n, capitals, nullif(last_line, 0) from kept, first_file""",
     ),
     "pattern_ingest": _with(
         (MEMBER_FEED, FILES),
@@ -360,6 +362,29 @@ ORACLE: dict[str, str] = {
     "check_reconcile_found": _with(
         EVERYTHING, RECONCILED.replace("from curated)", "from curated where txn_id not like '%3-0')")
     ),
+    "check_country_movement_found": _with(
+        MEMBERS,
+        _verdict(
+            "country_movement",
+            f"""select a.member_id from daily a join current_members c on c.member_id = a.member_id
+  where a.batch_id = '{FIRST}' and a.country <> c.country and a.country in ({DOMAIN}) and c.country in ({DOMAIN})
+    and {_ends_in(3, 4).replace('member_id', 'a.member_id')}""",
+        ),
+    ),
+    "check_unknown_member_found": _with(
+        EVERYTHING,
+        _verdict(
+            "unknown_member_quarantined", f"select distinct member_id from redemptions where is_valid and {_ends_in(3)}"
+        ),
+    ),
+    "check_idempotent_found": _with(
+        EVERYTHING,
+        _verdict(
+            "idempotent",
+            """select txn_id from curated where txn_id like '%3-0'
+  union all select txn_id from redemptions where not is_valid and pos = 0""",
+        ),
+    ),
     "check_idempotent": _with(
         EVERYTHING,
         "\nunion all\n".join(

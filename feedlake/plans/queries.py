@@ -77,7 +77,7 @@ def _states(staged: DataFrame, order: tuple[str, ...]) -> list[DataFrame]:
     """Current members after each batch, in the order in which the batches are processed."""
     states: list[DataFrame] = []
     for batch_id in order:
-        merged = stages.merge_members(states[-1] if states else None, _latest_of_day(staged, batch_id))
+        merged = stages.merge_members(states[-1] if states else None, _latest_of_day(staged, batch_id), unique=True)
         states.append(materialise(merged, f"members-{batch_id}"))
     return states
 
@@ -104,7 +104,7 @@ def _redemptions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 def _curated(evaluated: DataFrame) -> DataFrame:
     curated = None
     for batch_id in BATCHES:
-        curated = stages.merge_redemptions(curated, stages.accepted_redemptions(_day(evaluated, batch_id)))
+        curated = stages.merge_redemptions(curated, stages.accepted_redemptions(_day(evaluated, batch_id)), unique=True)
     return curated
 
 
@@ -192,18 +192,20 @@ def _passed_on(spark: SparkSession, folder: str, call: int) -> DataFrame:
 
 
 def redelivered_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines loaded and visible after three calls: first day, nothing changed, and one file delivered anew.
+    """Lines loaded and visible after four calls: first day, nothing changed, one file delivered anew, and the same file emptied.
 
     The file that comes anew is that of the smallest customers, each line in capitals and all lines twice.
     """
     landing, root = feeds.new_landing(spark), new_folder(spark, "raw")
     source = FILE_SOURCES["member"]
     seen = []
-    for call in (1, 2, 3):
+    for call in (1, 2, 3, 4):
         if call == 1:
             feeds.write_member_files(spark, sf_dir, landing, FIRST)
         if call == 3:
             feeds.rewrite_first_member_file(spark, sf_dir, landing, FIRST)
+        if call == 4:
+            feeds.empty_first_member_file(spark, landing, FIRST)
         loaded = load_feed(spark, landing, root, source, FIRST)
         lines, _ = loaded_lines(spark, root, FIRST)
         counted = lines.agg(
@@ -214,7 +216,7 @@ def redelivered_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         told = [F.lit(call).alias("call_no"), F.lit(loaded.status).alias("status")]
         numbers = {"lines_loaded": loaded.lines, "files_replaced": loaded.replaced_files}
         seen.append(counted.select(*told, *(F.lit(n).cast("long").alias(name) for name, n in numbers.items()), *counted.columns))
-    return seen[0].unionByName(seen[1]).unionByName(seen[2])
+    return reduce(DataFrame.unionByName, seen)
 
 
 def pattern_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -444,6 +446,31 @@ def check_reconcile_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.reconcile(flattened, evaluated, _curated(evaluated).where("txn_id not like '%3-0'"))
 
 
+def check_country_movement_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some members that moved are still where they were, too."""
+    first, second = _states(_staged(spark, sf_dir), BATCHES)
+    moved = movements(project(first, "country", COUNTRIES), project(second, "country", COUNTRIES), "member_id", "country")
+    stayed = project(first, "country", COUNTRIES).join(moved.where(_numbered(3) | _numbered(4)).select("member_id"), "member_id", "left_semi")
+    routed = project(second, "country", COUNTRIES).unionByName(stayed)
+    return checks.verdict("country_movement", checks.unmoved(moved, routed, "member_id", "country"))
+
+
+def check_unknown_member_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some members with accepted transactions are no members any more."""
+    evaluated = _redemptions(spark, sf_dir)[1]
+    current = _states(_staged(spark, sf_dir), BATCHES)[-1].where(~_numbered(3))
+    return checks.verdict("unknown_member_quarantined", checks.unknown_member_accepted(evaluated, current))
+
+
+def check_idempotent_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rerun has put some rejected transactions into quarantine once more and some accepted ones into the curated table."""
+    evaluated = _redemptions(spark, sf_dir)[1]
+    curated = _curated(evaluated)
+    twice = curated.unionByName(curated.where("txn_id like '%3-0'"))
+    again = evaluated.unionByName(evaluated.where("not is_valid and pos = 0"))
+    return checks.verdict("idempotent", checks.run_twice(twice, again))
+
+
 _lakes: dict[tuple, tuple[Lake, str]] = {}
 
 
@@ -572,7 +599,7 @@ def events_upsert_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = None
     for part in (0, 2, 1):
         last = latest(events.where(delivery == part), ["user_id"], [F.desc("ts"), F.desc("event_id")])
-        state = upsert(state, last, ["user_id"], version="ts")
+        state = upsert(state, last, ["user_id"], version="ts", unique=True)
     return state.select("user_id", "event_id", "event_type", "value")
 
 
@@ -621,6 +648,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_latest_wins_found": check_latest_wins_found,
     "check_txn_unique_found": check_txn_unique_found,
     "check_reconcile_found": check_reconcile_found,
+    "check_country_movement_found": check_country_movement_found,
+    "check_unknown_member_found": check_unknown_member_found,
+    "check_idempotent_found": check_idempotent_found,
     "check_idempotent": check_idempotent,
     "check_suite": check_suite,
     "batch_ledger": batch_ledger,

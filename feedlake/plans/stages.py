@@ -46,7 +46,9 @@ def member_quarantine(evaluated: DataFrame, conflicting_rows: DataFrame) -> Data
     return split_valid(evaluated)[1].select(columns).unionByName(conflicting_rows.select(columns))
 
 
-def merge_members(current: DataFrame | None, latest_rows: DataFrame, run_ts: Column | None = None) -> DataFrame:
+def merge_members(
+    current: DataFrame | None, latest_rows: DataFrame, run_ts: Column | None = None, unique: bool = False
+) -> DataFrame:
     """Current state after a batch: a member's row gives way only to a newer version."""
     stamps = {"created_at", "updated_at"}
     source = latest_rows.select([name for name in column_names(MEMBER_CURRENT) if name not in stamps])
@@ -58,22 +60,27 @@ def merge_members(current: DataFrame | None, latest_rows: DataFrame, run_ts: Col
         run_ts=run_ts,
         inserted_at="created_at",
         updated_at="updated_at",
+        unique=unique,
     )
 
 
 def evaluate_redemptions(
-    flattened: DataFrame, members: DataFrame, member: Sequence[str] = ("member_id",), hot_rows: int = HOT_ROWS
+    flattened: DataFrame,
+    members: DataFrame | Sequence[DataFrame],
+    member: Sequence[str] = ("member_id",),
+    hot_rows: int = HOT_ROWS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Flattened transactions judged by all rules.
 
     All copies of a transaction id within a batch are rejected, and so are
-    transactions of members that are not in `members`. Both facts are found per
+    transactions of members that are not in `members`, nor in any of them if there are several. Both facts are found per
     key from the key columns alone, written, and then brought to the rows, which are read once. With `member`
-    as batch and member id, each batch has members of its own.
+    as batch and member id, each batch has members of its own. `buckets` is the number of buckets in which members lie.
     """
     txn, member = ["batch_id", "txn_id"], list(member)
     repeated = materialise(key_sizes(flattened, txn, "txn_id_rows").where("txn_id_rows > 1"), "repeated-txns")
-    unknown = materialise(absent_keys(flattened, members, member, "unknown_rows"), "unknown-members")
+    unknown = materialise(absent_keys(flattened, members, member, "unknown_rows", buckets), "unknown-members")
     marked = attach(attach(flattened, repeated, txn, "txn_id_rows", hot_rows), unknown, member, "unknown_rows", hot_rows)
     judged = evaluate(marked.withColumn("member_known", F.col("unknown_rows").isNull()), redemption_rules())
     return judged.select(column_names(REDEMPTION_EVALUATED))
@@ -87,6 +94,8 @@ def accepted_redemptions(evaluated: DataFrame) -> DataFrame:
     return split_valid(evaluated)[0].select([name for name in column_names(REDEMPTION) if name != "loaded_at"])
 
 
-def merge_redemptions(curated: DataFrame | None, accepted: DataFrame, run_ts: Column | None = None) -> DataFrame:
+def merge_redemptions(
+    curated: DataFrame | None, accepted: DataFrame, run_ts: Column | None = None, unique: bool = False
+) -> DataFrame:
     """Curated transactions after a batch: the batch processed last wins."""
-    return upsert(curated, accepted, ["txn_id"], run_ts=run_ts, inserted_at="loaded_at")
+    return upsert(curated, accepted, ["txn_id"], run_ts=run_ts, inserted_at="loaded_at", unique=unique)

@@ -27,7 +27,8 @@ from feedlake.sources.scratch import append_rows, new_folder, read_or_empty, sma
 
 LINES = "lines"
 SPLITS = "splits"
-_LINES_DDL = "raw_text string, file_path string, split_start bigint, row_id bigint, batch_id string, load bigint"
+_TEXT_DDL = "raw_text string, file_path string, split_start bigint, row_id bigint, batch_id string, load bigint"
+_LINES_DDL = f"{_TEXT_DDL}, document variant"  # lines that are no documents have none in their files
 _SPLITS_DDL = (
     "file_path string, split_start bigint, first_id bigint, line_count bigint, source_file_name string,"
     " lines_before bigint, first_line string, file_size bigint, file_modified timestamp,"
@@ -128,13 +129,15 @@ def land(lines: DataFrame, target: str, json: bool = False) -> None:
     """Write the lines of a load to `target`.
 
     With `json`, blank lines are skipped, and a line that is no JSON document
-    fails the load. Lines are judged while they are written, in one pass.
+    fails the load. Lines are judged while they are written, in one pass, and the document that each was parsed to is
+    written beside its text, so that it is not parsed again.
     """
     watch = None
     if json:
         lines = lines.where(F.col("raw_text").rlike(r"\S"))
         watch = Observation()
-        lines = lines.observe(watch, F.count_if(F.try_parse_json("raw_text").isNull()).alias("malformed"))
+        parsed = lines.withColumn("document", F.try_parse_json("raw_text"))
+        lines = parsed.observe(watch, F.count_if(F.col("document").isNull()).alias("malformed"))
     columns = [name for name in lines.columns if name != "row_id"]
     landed = lines.select(*columns, F.monotonically_increasing_id().alias("row_id"))
     landed.write.mode("overwrite").parquet(f"{target}/{LINES}")
@@ -197,6 +200,7 @@ def _numbered(lines: DataFrame, splits: DataFrame, register_bytes: int) -> DataF
         places = F.broadcast(places)
     return lines.join(places, ["batch_id", "load", "file_path", "split_start"]).select(
         "raw_text",
+        "document",
         "batch_id",
         "source_file_name",
         (F.col("lines_before") + F.col("row_id") - F.col("first_id") + 1).alias("source_row_number"),
@@ -242,8 +246,8 @@ def raw_member(lines: DataFrame) -> DataFrame:
 
 
 def raw_redemption(lines: DataFrame) -> DataFrame:
-    """Numbered lines in the shape of the raw redemption table; raises on a line that is no JSON."""
-    return lines.withColumn("raw_record", F.parse_json("raw_text")).select(column_names(RAW_REDEMPTION))
+    """Numbered lines in the shape of the raw redemption table, with the documents as they were parsed when they were landed."""
+    return lines.withColumnRenamed("document", "raw_record").select(column_names(RAW_REDEMPTION))
 
 
 def _ingest(
@@ -325,7 +329,8 @@ def loaded_lines(spark: SparkSession, root: str, batch_id: str | None = None) ->
     """Visible numbered lines of a batch, or of all, and how many there are."""
     loads = _loads(spark, root, batch_id)
     if not loads:
-        return _numbered(small_frame(spark, [], _LINES_DDL), small_frame(spark, [], _SPLITS_DDL), 0), 0
+        nothing = small_frame(spark, [], _TEXT_DDL).withColumn("document", F.lit(None).cast("variant"))
+        return _numbered(nothing, small_frame(spark, [], _SPLITS_DDL), 0), 0
     targets = [landing_folder(root, *key) for key in sorted(loads)]
     register_bytes = sum(row.register_bytes for row in loads.values())
     lines = landed_lines(spark, root, targets, register_bytes, _replaced(spark, root, loads))

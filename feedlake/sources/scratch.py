@@ -68,6 +68,12 @@ def replace_file(spark: SparkSession, source_uri: str, target_uri: str) -> None:
     files.rename(source, target)
 
 
+def empty_file(spark: SparkSession, uri: str) -> None:
+    """Put an empty file in place of the one that the URI names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True).close()
+
+
 def small_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     """A frame of a few given rows, handed over as Arrow, which starts no Python worker."""
     schema = StructType.fromDDL(ddl)

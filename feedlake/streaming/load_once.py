@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.schemas import FeedSource
+from feedlake.sources.heads import empty_files, head_lines
 from feedlake.sources.landing import (
     Register,
     delivered_files,
@@ -87,12 +88,15 @@ def load_feed(
     batch_id: str,
     json: bool = False,
     check: Callable[[str], None] | None = None,
+    check_heads: Callable[[DataFrame], None] | None = None,
 ) -> LoadResult:
     """Load the new and the changed files of one feed and batch into RAW.
 
     A file that was loaded is skipped as long as its size and modification time stay; once they differ, its
-    lines replace those loaded before. A file that is empty or gone delivers nothing. `check` gets the folder of the landed lines before
-    they become visible, and may raise; then nothing of the load does.
+    lines replace those loaded before. A file that was loaded and is empty now has its lines replaced by none;
+    one that is gone, or was always empty, delivers nothing. `check_heads` gets the first lines of all files
+    that are to be loaded before any of them is, and `check` the folder of the landed lines before
+    they become visible. Either may raise; then nothing of the load becomes visible, and in the first case nothing is even landed.
     """
     path, checkpoint = f"{landing}/{source.folder}/{batch_id}", f"{raw_root}/checkpoints/{batch_id}"
     result = LoadResult()
@@ -112,14 +116,12 @@ def load_feed(
 
     if not exists(spark, path):
         return result
+    if check_heads:
+        awaited, _ = _not_in_force(spark, path, raw_root, source, batch_id)
+        check_heads(head_lines(awaited.where("file_size > 0"), source.folder, batch_id))
     ingest_new(spark, path, checkpoint, sink, source.pattern, source.whole_file)
 
-    splits, load = visible_splits(spark, raw_root, batch_id)
-    loaded = splits.groupBy("file_path").agg(
-        F.max("file_size").alias("old_size"), F.max("file_modified").alias("old_modified"), F.sum("line_count").alias("old_lines")
-    )
-    same = F.col("file_size").eqNullSafe(F.col("old_size")) & F.col("file_modified").eqNullSafe(F.col("old_modified"))
-    changed = delivered_files(spark, path, source.pattern).join(loaded, "file_path", "left").where(~same & (F.col("file_size") > 0))
+    changed, load = _not_in_force(spark, path, raw_root, source, batch_id)
     # Spark lists all paths of a folder on the driver anyway; these are the few among them that differ.
     found = changed.select("file_path", F.coalesce("old_lines", F.lit(0)).alias("old_lines")).collect()
     if found:
@@ -134,6 +136,24 @@ def load_feed(
     return result
 
 
+def _not_in_force(spark: SparkSession, path: str, raw_root: str, source: FeedSource, batch_id: str) -> tuple[DataFrame, int]:
+    """Delivered files that are not visible as they are now, with the number of lines they had; the next load's number.
+
+    Files that never had a line and have none now are left out. A store that Python cannot open is taken as having no emptied file.
+    """
+    splits, load = visible_splits(spark, raw_root, batch_id)
+    loaded = splits.groupBy("file_path").agg(
+        F.max("file_size").alias("old_size"), F.max("file_modified").alias("old_modified"), F.sum("line_count").alias("old_lines")
+    )
+    same = F.col("file_size").eqNullSafe(F.col("old_size")) & F.col("file_modified").eqNullSafe(F.col("old_modified"))
+    delivered = delivered_files(spark, path, source.pattern)
+    differing = delivered.join(loaded, "file_path", "left").where(~same & (F.col("file_size") > 0)).select("file_path", "file_size", "old_lines")
+    # Spark lists no file without content. Of loaded files that are not listed, most are gone, and few, if any, emptied.
+    unlisted = loaded.join(delivered.select("file_path"), "file_path", "left_anti").select("file_path", "old_lines")
+    emptied = empty_files(unlisted).select("file_path", F.lit(0).cast("long").alias("file_size"), "old_lines")
+    return differing.unionByName(emptied), load
+
+
 def _add(result: LoadResult, register: Register) -> None:
     result.loads += 1
     result.files += register.files

@@ -424,6 +424,30 @@ def test_checks_find_what_is_wrong(spark, lake, landing):
         require_passed(checks.verdict("txn", kept))
 
 
+def test_members_are_looked_up_where_they_lie(spark, lake, landing):
+    first_day(landing)
+    run_batch(lake, landing, D1)
+    base = lake.read_entity("member_current", daily.MEMBER_CURRENT, daily.MEMBER_KEY, daily.BASE)
+    recent = lake.write_entity(base.where("member_id = '2'"), "recent", daily.MEMBER_CURRENT, 99, daily.MEMBER_KEY)
+    keys = spark.createDataFrame([("2", 1), ("2", 2), ("nobody", 3), (None, 4)], "member_id string, n int")
+    known = [base.where("member_id <> '2'").select("member_id"), recent.select("member_id")]
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for partitions in (str(lake.buckets), str(lake.buckets + 3)):
+            for name, value in {**settings, "spark.sql.shuffle.partitions": partitions}.items():
+                spark.conf.set(name, value)
+            absent = daily.stages.absent_keys(keys, known, ["member_id"], buckets=lake.buckets)
+            plan = absent._jdf.queryExecution().executedPlan().toString()
+            assert [tuple(r) for r in absent.collect()] == [("nobody", 1)]
+            assert plan.count("Bucketed: true") == 2 and plan.count("SortMergeJoin") == 2
+            assert plan.count("Exchange") == (1 if int(partitions) == lake.buckets else 2)  # all of them on the side of the keys
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(lake.buckets))
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_current_state_is_not_shuffled_by_the_next_merge(spark, lake, landing):
     first_day(landing)
     run_batch(lake, landing, D1)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from feedlake.operators.contract import check_contract, require_contract
 from feedlake.schemas import MEMBER_CONTRACT, ContractError, FeedSource
-from feedlake.sources import landing
+from feedlake.sources import heads, landing
 from feedlake.sources.landing import (
     MalformedDocumentError,
     first_lines,
@@ -251,10 +251,16 @@ def test_a_changed_file_replaces_its_lines(spark, folder, tmp_path):
     second = [("c.csv", "3"), ("a.csv", "1"), ("a.csv", "2 mended"), ("a.csv", "4"), ("e.csv", "5")]
     assert load() == (("LOADED", 2, 4, 1), sorted(second))
     assert load()[0] == ("SKIPPED", 0, 0, 0)
-    (folder / "b c.csv").write_text("")  # an emptied file delivers nothing, as one that is taken away
+    (folder / "b c.csv").write_text("")  # an emptied file takes its lines back
     (folder / "n.csv").write_text("6\n")
     (folder / "a.csv").write_text("7\n")
-    assert load()[1] == [("a.csv", "7"), ("c.csv", "3"), ("e.csv", "5"), ("n.csv", "6")]
+    assert load() == (("LOADED", 2, 2, 2), [("a.csv", "7"), ("e.csv", "5"), ("n.csv", "6")])
+    assert load()[0] == ("SKIPPED", 0, 0, 0)
+    (folder / "e.csv").unlink()  # one that is gone does not
+    (folder / "n.csv").write_text("")
+    assert load() == (("LOADED", 0, 0, 1), [("a.csv", "7"), ("e.csv", "5")])
+    (folder / "n.csv").write_text("8\n")
+    assert load()[1] == [("a.csv", "7"), ("e.csv", "5"), ("n.csv", "8")]
     assert load()[0] == ("SKIPPED", 0, 0, 0)
 
 
@@ -273,6 +279,47 @@ def test_a_failed_load_is_invisible_and_repeated(spark, folder, tmp_path):
     assert [r.raw_text for r in loaded_lines(spark, raw_root, DAY)[0].collect()] == ["|D|1 mended"]
 
 
+def test_headers_are_read_before_anything_is_landed(spark, folder, tmp_path):
+    landing_root, raw_root, source = str(tmp_path), str(tmp_path / "raw"), FeedSource("member", ".*")
+    header = f"|H|{'|'.join(MEMBER_CONTRACT.header)}"
+
+    def load():
+        return load_feed(spark, landing_root, raw_root, source, DAY, check_heads=lambda heads: require_contract(heads, MEMBER_CONTRACT)).lines
+
+    (folder / "a b+c%.csv").write_bytes(f"{header}\r\n|D|1\n".encode())
+    (folder / "empty.csv").write_text("")
+    (folder / "bad.csv").write_text("|H|Other\n" + "|D|1\n" * 1000)
+    (folder / "long.csv").write_text("x" * (heads.MOST_BYTES + 10))
+    with pytest.raises(ContractError, match="2 files .*bad.csv"):
+        load()
+    assert not os.path.exists(raw_root)  # nothing was landed
+    (folder / "bad.csv").write_text(f"{header}\n|D|2")
+    (folder / "long.csv").unlink()
+    assert load() == 4 and load() == 0
+    (folder / "bad.csv").write_text("|H|Other\n|D|3\n")
+    with pytest.raises(ContractError, match="HEADER_FIELD_COUNT"):
+        load()
+    assert sorted(r.raw_text for r in loaded_lines(spark, raw_root, DAY)[0].collect()) == ["|D|1", "|D|2", header, header]
+
+
+def test_first_line_of_files(tmp_path):
+    (tmp_path / "a b").write_bytes(b"one\r\r\ntwo")
+    assert heads.first_line(f"file:{tmp_path}/a%20b") == "one\r"
+    assert heads.first_line(f"file:{tmp_path}/missing") is None and heads.first_line("nowhere://x/y") is None
+
+
+def test_documents_are_parsed_once(spark, tmp_path):
+    folder = tmp_path / "redemption" / DAY
+    folder.mkdir(parents=True)
+    (folder / "redemptions.json").write_text('{"member_id": 7, "redemptions": [{"txn_id": "T"}]}\n[1, 2]\nnull\n')
+    raw = ingest_json(spark, str(folder.parent), DAY)
+    plan = raw._jdf.queryExecution().optimizedPlan().toString()
+    assert "parse_json" not in plan.lower() and "parseJson" not in plan
+    assert sorted((r.raw_text, r.kind) for r in raw.selectExpr("raw_text", "schema_of_variant(raw_record) as kind").collect()) == [
+        ("[1, 2]", "ARRAY<BIGINT>"), ("null", "VOID"), ('{"member_id": 7, "redemptions": [{"txn_id": "T"}]}', "OBJECT<member_id: BIGINT, redemptions: ARRAY<OBJECT<txn_id: STRING>>>"),
+    ]
+
+
 def test_a_refused_file_may_be_taken_away(spark, folder, tmp_path):
     landing_root, raw_root, source = str(tmp_path), str(tmp_path / "raw"), FeedSource("member", ".*")
     (folder / "good.csv").write_text("|D|good\n")

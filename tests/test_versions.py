@@ -39,6 +39,14 @@ def test_conflicts(spark, hot_rows):
     assert {r.row for r in good.collect()} == {1, 2, 5, 6, 7, 8, 11}
 
 
+def test_conflicts_take_one_shuffle(spark):
+    rows = spark.createDataFrame([("a", 1, "x", None), ("a", 1, None, "x"), ("b", 1, "x", "y"), ("b", 1, "x", "y"), (None, 1, "x", "y"), (None, 1, "z", "y")], "k string, v int, p string, q string")
+    found = conflicts(rows, "k", "v", ["p", "q"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [("a", 1, 2)]  # a value that moves to another column is a difference
+    assert plan.count("Exchange") == 1 and plan.count("HashAggregate") == 2 and "SortAggregate" not in plan
+
+
 def test_latest_takes_one_row_per_key(spark):
     df = frame(spark, [row for row in ROWS if row[0]])
     got = {r.id: r.row for r in latest(df, ["id"], [F.desc("ver"), F.asc("row")]).collect()}
