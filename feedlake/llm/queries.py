@@ -262,13 +262,14 @@ damaged as (
   select conv_id, turn, case when kind = 4 then 'user' else role end as role,
     case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text
   from hashed, range(case when kind = 3 then 2 else 1 end) where kind <> 0),
+numbered as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i, count(*) over (partition by conv_id) as n from damaged),
 judged as (
   select *, case when left(role, 1) in ('s', 'u', 'a') then left(role, 1) else 'o' end as initial,
     case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank'
-      when row_number() over (partition by conv_id, role, text order by turn nulls first) > 1 then 'duplicate'
-      when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') then 'truncated' else '' end as fault,
-    row_number() over (partition by conv_id order by turn nulls first, role, text) as i, count(*) over (partition by conv_id) as n
-  from damaged),
+      when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+      when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') then 'truncated' else '' end as fault
+  from numbered),
 neighbours as (select *, lag(initial) over (partition by conv_id order by i) || initial as pair from judged),
 counted as (
   select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps, count(*) filter (fault = 'blank') as blank,
