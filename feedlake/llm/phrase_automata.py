@@ -7,14 +7,15 @@ smaller id. The steps:
    so that about one word in twenty starts one. Only anchors that two documents have can lie in a repeated window.
 2. The windows of such anchors are hashed, and each hash keeps its smallest document and place. Hashes with two documents
    confirm recurring passages: runs of such windows in the document that owns them.
-3. The phrases of the passages' anchors are the patterns, each with the words of the passage's windows around it. The
-   windows of an anchor are cut by the anchor's place in them into two ranges, and a range's key is the words that all its
-   windows have in common, 30 at least. Patterns are dealt to shards by key. A key with many passages is cut into finer ranges, at
-   last into single windows, which have one owner each; so shards are bounded in passages, also around a phrase that very many
-   passages share. Each shard compiles an Aho-Corasick automaton over numbered words.
-4. All documents that hold a pattern's anchor are streamed, as segments of words around it that are cut alike, past the automaton of
-   the key's shard, which tells the places of phrases in them. Each occurrence found is compared word by word with the passage, to both sides; a common run of a window's length
-   covers its words. Shards with many segments are copied, so that a frequent passage is many tasks.
+3. The phrases of the passages' anchors are the patterns, each with the words of the passage's windows around it. Patterns are dealt
+   to shards by phrase, and each shard compiles an Aho-Corasick automaton over numbered words. Of a phrase in very many passages, the
+   `KEY_PASSAGES` with the smallest documents are searched first; so shards are bounded in passages.
+4. All documents that hold a pattern's anchor are streamed, as segments of the words around it, past the automaton of
+   the anchor's shard, which tells the places of phrases in them. Each occurrence found is compared word by word with the passage, to both sides; a common run of a window's length
+   covers its words. Segments of the passages' first documents have nothing to find and are passed over, and what was found for equal words
+   is remembered within a phrase. Shards with many segments are copied, so that a frequent passage is many tasks.
+5. Windows that none of these covered, around phrases with further passages, are streamed past automata in which every such window is a pattern of its own. Each has one
+   owner, and they are dealt by all their words, so that these shards are bounded however many passages share a phrase.
 
 Documents with equal word sequences are settled beforehand: all but those with the smallest id lose every word if they
 have a window, and only the first is searched. Words are split at ASCII white space and compared as they
@@ -31,7 +32,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlake.llm import arrow
@@ -41,12 +42,10 @@ from feedlake.llm.tables import written
 WINDOW, PHRASE = 50, 10
 #: Words on either side of an anchor's phrase that its windows can reach.
 SIDE = WINDOW - PHRASE
-#: Ranges of an anchor's place in its windows, each set cutting the one before.
-RANGES = [[(low, min(low + width, SIDE + 1) - 1) for low in range(0, SIDE + 1, width)] for width in (21, 7, 1)]
 #: Anchors and passages in a shard's automaton on average, and segments that one copy of it searches.
 SHARD_ANCHORS, SHARD_PASSAGES, COPY_SEGMENTS = 2048, 4096, 8192
-#: Passages with the same key from which its range is cut.
-KEY_PASSAGES = 64
+#: Passages around one phrase that are searched first.
+KEY_PASSAGES = 16
 #: Documents up to which candidate numbers are broadcast, 8 bytes each.
 BROADCAST_IDS = 1 << 20
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -139,19 +138,20 @@ def _windows(batches, schema: pa.Schema):
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (first, second, *same, places.astype(np.int32))], schema=schema)
 
 
-#: Patterns and segments: words around an anchor, from word number `base` of the document, the anchor at `place` among them.
-#: They hold the windows with the anchor at `low` to `high`. Patterns have neither unit nor base.
-_CUT = "anchor long, key long, doc long, unit long, words binary, base int, place int, low int, high int"
+#: Patterns and segments: words from word number `base` of the document, the anchor's phrase at `place` among them; all windows in them have that anchor.
+#: Patterns have neither unit nor base. The key deals them: the phrase's hash, or that of the whole window.
+_CUT = "key long, doc long, unit long, words binary, base int, place int"
+#: What was found: covered words have neither key nor words; windows left over are rows of `_CUT` besides.
+_FOUND = "doc long, unit long, start int, end int, key long, words binary, place int"
 
 
-def _cut(own: list[bytes], place: int, first: int, last: int, ranges: list[tuple[int, int]]):
-    """(key, start, words, place, low, high): the windows with the anchor at `first` to `last`, cut by ranges."""
-    for low, high in ranges:
-        a, b = max(low, first), min(high, last)
-        if a <= b:
-            common = b" ".join(own[place - low : place + WINDOW - high])
-            key = xxhash.xxh3_64_intdigest(b"%d %d " % (low, high) + common) - (1 << 63)
-            yield key, place - b, b" ".join(own[place - b : place + WINDOW - a]), b, low, high
+def _offsets(text: bytes) -> np.ndarray:
+    """Where the words of a text with single spaces begin, and where one after the last would."""
+    return np.concatenate([[0], np.flatnonzero(np.frombuffer(text, np.uint8) == 32) + 1, [len(text) + 1]])
+
+
+def _window_key(words: bytes, place: int) -> int:
+    return xxhash.xxh3_64_intdigest(words, seed=place) - (1 << 63)
 
 
 def _by_anchor(at: np.ndarray, windows: np.ndarray):
@@ -163,73 +163,57 @@ def _by_anchor(at: np.ndarray, windows: np.ndarray):
         yield place, place - int(windows[end - 1]), place - int(windows[start])
 
 
+def _around(text: bytes, at: np.ndarray, windows: np.ndarray):
+    """(place, base, words, place in the words) for the anchors of some windows, given in order."""
+    offsets = _offsets(text)
+    for run in np.split(windows, np.flatnonzero(np.diff(windows) > 1) + 1) if len(windows) else []:
+        for place, first, last in _by_anchor(at, run):
+            base = place - last
+            yield place, base, text[offsets[base] : offsets[place - first + WINDOW] - 1], last
+
+
 def _patterns(batches, schema: pa.Schema):
     """Passages around the anchors of their windows."""
     for part in arrow.slices(batches, "words"):
+        rows = []
         for doc, places, text in zip(*(part.column(name).to_pylist() for name in ("doc", "places", "words"))):
-            own = text.split()
-            at, phrases = anchors(words_of.hashes(own))
+            at, phrases = anchors(words_of.hashes(text.split()))
             hashed = phrases.view(np.int64)
-            places = np.unique(np.asarray(places))
-            rows = set()
-            for run in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1):
-                for place, first, last in _by_anchor(at, run):
-                    rows.update((int(hashed[place]), key, doc, None, words, None, *rest) for key, _, words, *rest in _cut(own, place, first, last, RANGES[0]))
-            yield _rows(schema, list(rows))
+            rows += {(int(hashed[at_word]), doc, None, words, None, place) for at_word, _, words, place in _around(text, at, np.unique(np.asarray(places)))}
+        yield _rows(schema, rows)
 
 
 def _segments(batches, schema: pa.Schema):
     """The words around each wanted anchor of a document."""
     for part in arrow.slices(batches, "words"):
+        rows = []
         for doc, unit, wanted, text in zip(*(part.column(name).to_pylist() for name in ("doc", "unit", "anchors", "words"))):
-            own = text.split()
-            at, phrases = anchors(words_of.hashes(own))
+            at, phrases = anchors(words_of.hashes(text.split()))
             hashed = phrases.view(np.int64)
             keep = np.flatnonzero(np.isin(hashed[at], np.asarray(wanted, dtype=np.int64)))
-            rows = []
-            for run in np.split(keep, np.flatnonzero(np.diff(keep) > 1) + 1) if len(keep) else []:
-                for place, first, last in _by_anchor(at, run):
-                    anchor = int(hashed[place])
-                    rows += [(anchor, key, doc, unit, words, start, *rest) for key, start, words, *rest in _cut(own, place, first, last, RANGES[0])]
-            if rows:
-                yield _rows(schema, rows)
+            rows += [(int(hashed[at_word]), doc, unit, words, base, place) for at_word, base, words, place in _around(text, at, keep)]
+        if rows:
+            yield _rows(schema, rows)
 
 
-def _finer(batches, schema: pa.Schema, ranges: list[tuple[int, int]]):
-    """Patterns or segments, cut by finer ranges."""
+def _single(batches, schema: pa.Schema):
+    """Patterns of one window each."""
     for part in arrow.slices(batches, "words"):
         rows = []
-        for anchor, doc, unit, words, base, place in zip(*(part.column(name).to_pylist() for name in ("anchor", "doc", "unit", "words", "base", "place"))):
-            own = words.split()
-            first, last = place + WINDOW - len(own), place
-            rows += [(anchor, key, doc, unit, cut, None if base is None else base + start, *rest) for key, start, cut, *rest in _cut(own, place, first, last, ranges)]
+        for doc, text, place in zip(*(part.column(name).to_pylist() for name in ("doc", "words", "place"))):
+            offsets = _offsets(text)
+            for start in range(len(offsets) - WINDOW):
+                words = text[offsets[start] : offsets[start + WINDOW] - 1]
+                rows.append((_window_key(words, place - start), doc, None, words, None, place - start))
         yield _rows(schema, rows)
 
 
-def _uncrowded(patterns: DataFrame, segments: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Patterns and segments with crowded keys cut by finer ranges."""
-    done: list[tuple[DataFrame, DataFrame]] = []
-    for level, ranges in enumerate(RANGES[1:], start=1):
-        crowded = written(patterns.groupBy("key").count().where(F.col("count") > KEY_PASSAGES).select("key"), "crowded")
-        if not (n := crowded.count()):
-            break
-        crowded = F.broadcast(crowded) if n <= BROADCAST_IDS else crowded
-        done.append((patterns.join(crowded, "key", "left_anti"), segments.join(crowded, "key", "left_anti")))
-        cut = partial(_finer, ranges=ranges)
-        columns = patterns.columns
-        patterns = written(_mapped(patterns.join(crowded, "key", "left_semi").select(*columns), cut, _CUT).distinct(), f"patterns-{level}")
-        segments = written(_mapped(segments.join(crowded, "key", "left_semi").select(*columns), cut, _CUT), f"segments-{level}")
-    for some_patterns, some_segments in done:
-        patterns, segments = patterns.unionByName(some_patterns), segments.unionByName(some_segments)
-    return patterns, segments
-
-
 class Shard:
     """An automaton for the phrases of some anchors, with the passages that hold them.
 
     Words are spelled as a few symbols of 64 each, from an alphabet per place, so that the automaton's nodes have few
-    children and no match begins or ends within a word. Passages are found by their key's words, so that a phrase in very many
-    passages costs no more than others.
+    children and no match begins or ends within a word. Passages are found by the words that all windows with the phrase at
+    `low` to `high` have in common: the phrase itself, or the window where the two are one.
     """
 
     def __init__(self, patterns: list[tuple[int, bytes, int, int, int]]):
@@ -264,30 +248,36 @@ class Shard:
         start, end = at - low, at + WINDOW - high
         return (low, high, b" ".join(words[start:end])) if start >= 0 and end <= len(words) else ()
 
-    def covered(self, doc: int, words: bytes, low: int, high: int) -> list[tuple[int, int]]:
-        """Word ranges that windows of other owners' passages cover, owners with smaller ids only.
+    def occurrences(self, words: bytes, low: int, high: int) -> list[tuple[int, int, int]]:
+        """(owner, start, end) of common runs with passages, by owner, as far as the words are not covered yet.
 
         The automaton finds the places of the phrases in the whole segment; `low` and `high` are the segment's range.
         """
         own = words.split()
-        found: list[tuple[int, int]] = []
+        found: list[tuple[int, int, int]] = []
         if not self.passages or len(own) < WINDOW:
             return found
         spelled = "".join([self.spelled.get(word, self.unknown) for word in own])
+        places = []
         for last, _ in self.automaton.iter(spelled):
             begin = (last + 1) // self.width - PHRASE
-            for number in self.by_key.get(self._key(own, begin, low, high), ()):
-                owner, passage, offset = self.passages[number]
-                if owner >= doc:
-                    continue
-                left, right = min(begin, offset), min(len(own) - begin, len(passage) - offset)
-                if own[begin - left : begin] != passage[offset - left : offset]:
-                    left = next(n for n in range(left) if own[begin - n - 1] != passage[offset - n - 1])
-                if own[begin : begin + right] != passage[offset : offset + right]:
-                    right = next(n for n in range(right) if own[begin + n] != passage[offset + n])
-                if left + right >= WINDOW:
-                    found.append((begin - left, begin + right))
-        return _united(found)
+            places += [(self.passages[number][0], number, begin) for number in self.by_key.get(self._key(own, begin, low, high), ())]
+        for owner, number, begin in sorted(places):
+            _, passage, offset = self.passages[number]
+            left, right = min(begin, offset), min(len(own) - begin, len(passage) - offset)
+            if own[begin - left : begin] != passage[offset - left : offset]:
+                left = next(n for n in range(left) if own[begin - n - 1] != passage[offset - n - 1])
+            if own[begin : begin + right] != passage[offset : offset + right]:
+                right = next(n for n in range(right) if own[begin + n] != passage[offset + n])
+            if left + right >= WINDOW:
+                found.append((owner, begin - left, begin + right))
+                if left + right == len(own):
+                    break
+        return found
+
+    def covered(self, doc: int, words: bytes, low: int, high: int) -> list[tuple[int, int]]:
+        """Word ranges that windows of other owners' passages cover, owners with smaller ids only."""
+        return _united([(start, end) for owner, start, end in self.occurrences(words, low, high) if owner < doc])
 
 
 def _united(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -300,24 +290,49 @@ def _united(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return united
 
 
-def _searched(batches, schema: pa.Schema):
-    """(doc, unit, start, end): covered word ranges; rows come sorted by shard and copy, patterns before segments.
+def _left_over(words: bytes, place: int, ranges: list[tuple[int, int]]):
+    """(start, key, words, place) of the windows that reach beyond the covered ranges."""
+    offsets = _offsets(words)
+    for start in range(len(offsets) - WINDOW):
+        if not any(low <= start and start + WINDOW <= high for low, high in ranges):
+            window = words[offsets[start] : offsets[start + WINDOW] - 1]
+            yield start, _window_key(window, place - start), window, place - start
+
 
-    Patterns have no unit; their `place` is the anchor's in their words, and they have no `base`.
+def _searched(batches, schema: pa.Schema, windows: bool = False):
+    """Covered word ranges, and windows left over; rows come sorted by shard, copy, kind and key, patterns before segments.
+
+    Patterns have no unit; their `place` is the anchor's in their words, and they have no `base`. They say whether their key has more passages.
+    With `windows`, each row is one window.
     """
-    key, shard, patterns = None, None, []
+    of_shard, shard, patterns, least, more = None, None, [], {}, set()
+    of_key, found = None, {}
     for batch in batches:
         rows = []
-        for number, copy, doc, unit, words, base, place, low, high in zip(*(batch.column(name).to_pylist() for name in ("shard", "copy", "doc", "unit", "words", "base", "place", "low", "high"))):
-            if (number, copy) != key:
-                key, shard, patterns = (number, copy), None, []
+        for number, copy, key, doc, unit, words, base, place, crowded in zip(
+            *(batch.column(name).to_pylist() for name in ("shard", "copy", "key", "doc", "unit", "words", "base", "place", "more"))
+        ):
+            if (number, copy) != of_shard:
+                of_shard, shard, patterns, least, more, of_key = (number, copy), None, [], {}, set(), None
             if unit is None:
-                patterns.append((doc, words, place, low, high))
+                patterns.append((doc, words, place, place, place) if windows else (doc, words, place, 0, SIDE))
+                least[key] = min(doc, least.get(key, doc))
+                if crowded:
+                    more.add(key)
+                continue
+            if least.get(key, doc) >= doc:
                 continue
             if shard is None:
                 shard = Shard(patterns)
                 patterns = []
-            rows += [(doc, unit, base + start, base + end) for start, end in shard.covered(doc, words, low, high)]
+            if key != of_key:
+                of_key, found = key, {}
+            if (words, place) not in found:
+                found[words, place] = shard.occurrences(words, place if windows else 0, place if windows else SIDE)
+            ranges = _united([(start, end) for owner, start, end in found[words, place] if owner < doc])
+            rows += [(doc, unit, base + start, base + end, None, None, None) for start, end in ranges]
+            if key in more:
+                rows += [(doc, unit, base + start, base + start + WINDOW, *rest) for start, *rest in _left_over(words, place, ranges)]
         if rows:
             yield _rows(schema, rows)
 
@@ -342,6 +357,39 @@ def _mapped(df: DataFrame, of_batches, ddl: str) -> DataFrame:
     return df.mapInArrow(partial(of_batches, schema=arrow.arrow_schema(ddl)), ddl)
 
 
+def _streamed(patterns: DataFrame, segments: DataFrame, searched) -> DataFrame:
+    """What is found where segments are streamed past the automata of patterns (`_CUT`, more)."""
+    keys, passages = patterns.agg(F.count_distinct("key"), F.count("*")).first()
+    shards = max(-(-keys // SHARD_ANCHORS), -(-passages // SHARD_PASSAGES), 1)
+    shard = F.pmod(F.col("key"), F.lit(shards))
+    patterns, segments = patterns.withColumn("shard", shard), segments.withColumn("shard", shard).withColumn("more", F.lit(None).cast("boolean"))
+    copies = written(segments.groupBy("shard").agg(F.ceil(F.count("*") / COPY_SEGMENTS).cast("int").alias("copies")), "copies")
+    tasks = (copies.agg(F.sum("copies")).first()[0] or 0) + 1
+    columns = ["shard", "copy", "key", "doc", "unit", "words", "base", "place", "more"]
+    copied = patterns.join(copies, "shard").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    dealt = segments.join(copies, "shard").withColumn("copy", F.pmod(F.xxhash64("doc", "unit", "base"), F.col("copies")).cast("int"))
+    together = copied.select(*columns).unionByName(dealt.select(*columns))
+    together = together.repartition(2 * tasks, "shard", "copy").sortWithinPartitions("shard", "copy", F.col("unit").isNotNull(), "key")
+    return written(_mapped(together, searched, _FOUND), "found")
+
+
+def _covered(patterns: DataFrame, segments: DataFrame) -> DataFrame:
+    """(doc, unit, start, end): word ranges that passages of smaller documents cover."""
+    crowded = written(patterns.groupBy("key").count().where(F.col("count") > KEY_PASSAGES).select("key"), "crowded")
+    if not (n := crowded.count()):
+        return _streamed(patterns.withColumn("more", F.lit(False)), segments, _searched).select("doc", "unit", "start", "end")
+    keys = F.broadcast(crowded) if n <= BROADCAST_IDS else crowded
+    shared = written(patterns.join(keys, "key", "left_semi").select(*patterns.columns), "shared-patterns")
+    ranked = shared.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("doc", "words", "place")))
+    least = ranked.where(F.col("rank") <= KEY_PASSAGES).drop("rank").withColumn("more", F.lit(True))
+    others = patterns.join(keys, "key", "left_anti").select(*patterns.columns).withColumn("more", F.lit(False))
+    found = _streamed(written(others.unionByName(least), "first-patterns"), segments, _searched)
+    single = written(_mapped(shared, _single, _CUT).distinct().withColumn("more", F.lit(False)), "window-patterns")
+    left_over = found.where("words is not null").select("key", "doc", "unit", "words", F.col("start").alias("base"), "place")
+    further = _streamed(single, left_over, partial(_searched, windows=True))
+    return found.where("words is null").unionByName(further).select("doc", "unit", "start", "end")
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: its id, n_words, n_removed, kept_sha256 and, where words went, the kept text."""
     scanned = written(_scanned(docs, doc_id, text), "scanned")
@@ -358,23 +406,12 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     in_passages = texts.select("doc", "unit", "words").join(passages, ["doc", "unit"]).select("doc", "places", "words")
     patterns = written(_mapped(in_passages, _patterns, _CUT).distinct(), "patterns")
 
-    owned_anchors = patterns.select("anchor").distinct()
+    owned_anchors = patterns.select(F.col("key").alias("anchor")).distinct()
     confirmed = texts.select("doc", "unit", F.explode("anchors").alias("anchor")).join(owned_anchors, "anchor")
     of_unit = confirmed.groupBy("doc", "unit").agg(F.collect_list("anchor").alias("anchors"))
     confirmed_texts = texts.select("doc", "unit", "words").join(of_unit, ["doc", "unit"]).select("doc", "unit", "anchors", "words")
-    n_anchors = owned_anchors.count()
-    patterns, segments = _uncrowded(patterns, written(_mapped(confirmed_texts, _segments, _CUT), "segments"))
-    shards = max(-(-n_anchors // SHARD_ANCHORS), -(-patterns.count() // SHARD_PASSAGES), 1)
-    shard = F.pmod(F.col("key"), F.lit(shards))
-    patterns, segments = patterns.withColumn("shard", shard), segments.withColumn("shard", shard)
-    copies = written(segments.groupBy("shard").agg(F.ceil(F.count("*") / COPY_SEGMENTS).cast("int").alias("copies")), "copies")
-    tasks = (copies.agg(F.sum("copies")).first()[0] or 0) + 1
-    columns = ["shard", "copy", "doc", "unit", "words", "base", "place", "low", "high"]
-    copied = patterns.join(copies, "shard").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-    dealt = segments.join(copies, "shard").withColumn("copy", F.pmod(F.xxhash64("doc", "unit", "base"), F.col("copies")).cast("int"))
-    together = copied.select(*columns).unionByName(dealt.select(*columns))
-    together = together.repartition(2 * tasks, "shard", "copy").sortWithinPartitions("shard", "copy", F.col("unit").asc_nulls_first(), "doc", "base")
-    covered = _mapped(together, _searched, "doc long, unit long, start int, end int").distinct()
+    segments = written(_mapped(confirmed_texts, _segments, _CUT), "segments")
+    covered = _covered(patterns, segments).distinct()
     ranges = covered.groupBy("doc", "unit").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
     kept = _mapped(
         texts.select("doc", "unit", "words").join(ranges, ["doc", "unit"]), _kept, "doc long, unit long, n_removed long, kept_sha256 string, kept string"
