@@ -36,7 +36,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlake.llm import arrow
-from feedlake.llm import words as words_of
 from feedlake.llm.tables import written
 
 WINDOW, PHRASE = 50, 10
@@ -51,6 +50,11 @@ BROADCAST_IDS = 1 << 20
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
+def _hashes(own: list[bytes]) -> np.ndarray:
+    """A 64-bit hash of each word. Texts of a corpus have too many words for remembering their hashes to pay."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, own)), dtype=np.uint64)
+
+
 def _rolling(hashed: np.ndarray, width: int, base: int) -> np.ndarray:
     """A 64-bit hash of every run of `width` words."""
     n = len(hashed)
@@ -94,8 +98,8 @@ def _scanned(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 made["all_sha256"].append(hashlib.sha256(joined).hexdigest())
                 found = np.zeros(0, np.int64)
                 if len(own) >= WINDOW:
-                    at, phrases = anchors(words_of.hashes(own))
-                    found = np.unique(phrases[np.unique(at)]).view(np.int64)
+                    at, phrases = anchors(_hashes(own))
+                    found = np.unique(phrases[at[np.diff(at, prepend=-1) > 0]]).view(np.int64)
                 made["anchors"].append(found)
             return made
 
@@ -129,7 +133,7 @@ def _windows(batches, schema: pa.Schema):
     """(first, second, doc, unit, place): hashes of the windows whose anchor is wanted."""
     for part in arrow.slices(batches, "words"):
         for doc, unit, wanted, text in zip(*(part.column(name).to_pylist() for name in ("doc", "unit", "anchors", "words"))):
-            hashed = words_of.hashes(text.split())
+            hashed = _hashes(text.split())
             at, phrases = anchors(hashed)
             places = np.flatnonzero(np.isin(phrases[at].view(np.int64), np.asarray(wanted, dtype=np.int64)))
             if len(places):
@@ -177,7 +181,7 @@ def _patterns(batches, schema: pa.Schema):
     for part in arrow.slices(batches, "words"):
         rows = []
         for doc, places, text in zip(*(part.column(name).to_pylist() for name in ("doc", "places", "words"))):
-            at, phrases = anchors(words_of.hashes(text.split()))
+            at, phrases = anchors(_hashes(text.split()))
             hashed = phrases.view(np.int64)
             rows += {(int(hashed[at_word]), doc, None, words, None, place) for at_word, _, words, place in _around(text, at, np.unique(np.asarray(places)))}
         yield _rows(schema, rows)
@@ -188,7 +192,7 @@ def _segments(batches, schema: pa.Schema):
     for part in arrow.slices(batches, "words"):
         rows = []
         for doc, unit, wanted, text in zip(*(part.column(name).to_pylist() for name in ("doc", "unit", "anchors", "words"))):
-            at, phrases = anchors(words_of.hashes(text.split()))
+            at, phrases = anchors(_hashes(text.split()))
             hashed = phrases.view(np.int64)
             keep = np.flatnonzero(np.isin(hashed[at], np.asarray(wanted, dtype=np.int64)))
             rows += [(int(hashed[at_word]), doc, unit, words, base, place) for at_word, base, words, place in _around(text, at, keep)]
@@ -384,7 +388,7 @@ def _covered(patterns: DataFrame, segments: DataFrame) -> DataFrame:
     least = ranked.where(F.col("rank") <= KEY_PASSAGES).drop("rank").withColumn("more", F.lit(True))
     others = patterns.join(keys, "key", "left_anti").select(*patterns.columns).withColumn("more", F.lit(False))
     found = _streamed(written(others.unionByName(least), "first-patterns"), segments, _searched)
-    single = written(_mapped(shared, _single, _CUT).distinct().withColumn("more", F.lit(False)), "window-patterns")
+    single = written(_mapped(shared, _single, _CUT).withColumn("more", F.lit(False)), "window-patterns")
     left_over = found.where("words is not null").select("key", "doc", "unit", "words", F.col("start").alias("base"), "place")
     further = _streamed(single, left_over, partial(_searched, windows=True))
     return found.where("words is null").unionByName(further).select("doc", "unit", "start", "end")
@@ -404,7 +408,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     owned = windows.groupBy("first", "second").agg(F.min(F.struct("doc", "unit", "place")).alias("owner"), F.max("doc").alias("last_doc")).where("owner.doc < last_doc")
     passages = owned.groupBy("owner.doc", "owner.unit").agg(F.collect_list("owner.place").alias("places"))
     in_passages = texts.select("doc", "unit", "words").join(passages, ["doc", "unit"]).select("doc", "places", "words")
-    patterns = written(_mapped(in_passages, _patterns, _CUT).distinct(), "patterns")
+    # A window is owned once, so that no two of them are alike.
+    patterns = written(_mapped(in_passages, _patterns, _CUT), "patterns")
 
     owned_anchors = patterns.select(F.col("key").alias("anchor")).distinct()
     confirmed = texts.select("doc", "unit", F.explode("anchors").alias("anchor")).join(owned_anchors, "anchor")

@@ -9,7 +9,7 @@ from feedlake.llm.arrow import remembered
 
 #: Words whose hash a worker remembers.
 REMEMBERED = 1 << 18
-_known: dict[bytes, bytes] = remembered("bbit_minhash", "phrase_automata", "word_runs")
+_known: dict[bytes, bytes] = remembered("bbit_minhash", "word_runs")
 
 
 def hashes(own: list[bytes]) -> np.ndarray:
