@@ -11,12 +11,14 @@ items counts for each. Documents are judged row by row, so that repeated rows gi
 of either kind gives no rows or no hits. Other columns are not looked at.
 
 The patterns are dealt to shards of bounded bytes. One shard is the usual case: documents are read once and nothing is
-shuffled. With more, documents are read once per shard, and hits are put together by document.
+shuffled. With more, documents are read once per shard; a shard's hits are written and its patterns given back before the next is sent, so that
+one shard at a time is held by the driver and the executors, and hits are put together by document.
 """
 
 from __future__ import annotations
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -120,9 +122,7 @@ def item_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
 _HITS = "n_words long, hit array<int>, items array<long>"
 
 
-def _searched(docs: DataFrame, shard: list, keep: list[str], text: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(shard)
-
+def _searched(docs: DataFrame, shared: Broadcast, keep: list[str], text: str) -> DataFrame:
     def make():
         matcher = Matcher(shared.value)
 
@@ -149,23 +149,25 @@ def search(docs: DataFrame, items: DataFrame, keep: list[str], text: str = "text
     shards = -(-total // shard_bytes) or 1
     dealt = windows.withColumn("shard", F.pmod(F.xxhash64("window"), F.lit(shards)))
 
-    def collected(number: int) -> list:
+    def shared(number: int) -> Broadcast:
         rows = dealt.where(F.col("shard") == number).orderBy("window").select("window", "items").toArrow()
-        return list(zip(rows["window"].to_pylist(), rows["items"].to_pylist()))
+        return docs.sparkSession.sparkContext.broadcast(list(zip(rows["window"].to_pylist(), rows["items"].to_pylist())))
 
     if shards == 1:
-        return _searched(docs, collected(0), keep, text)
+        return _searched(docs, shared(0), keep, text)
     row = docs.select(*dict.fromkeys([*keep, text])).withColumn("_text_key", F.sha2(F.coalesce(text, F.lit("")), 256))
     keys = [*dict.fromkeys(keep), "_text_key"]
     found = None
     for number in range(shards):
-        part = _searched(row, collected(number), keys, text).where(F.size("hit") > 0)
+        patterns = shared(number)
+        part = written(_searched(row, patterns, keys, text).where(F.size("hit") > 0), "hits")
+        patterns.destroy()
         found = part if found is None else found.unionByName(part)
     together = found.groupBy(*keys).agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit")))).alias("hit"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
-    counted = _searched(row, [], keys, text).select(*keys, "n_words")
+    counted = _searched(row, docs.sparkSession.sparkContext.broadcast([]), keys, text).select(*keys, "n_words")
     right = together.select(*[F.col(key).alias(f"_of_{key}") for key in keys], "hit", "items")
     same = [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys]
     joined = counted.join(right, same, "left")
