@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,7 @@ from feedlake.operators.contract import require_contract
 from feedlake.operators.ledger import FAILED, RUNNING, SUCCESS, ledger_event, ledger_state
 from feedlake.operators.merge import upsert
 from feedlake.operators.parse import flatten_redemptions
-from feedlake.operators.routing import affected_partitions, changed_keys, movements, project, reroute
+from feedlake.operators.routing import affected_partitions, changed_keys, movements, project
 from feedlake.operators.versions import conflicts, latest_members, split_conflicts
 from feedlake.plans import stages
 from feedlake.schemas import (
@@ -174,7 +175,8 @@ def _hold_members(lake: Lake, newest: DataFrame, newest_rows: int, version: int,
     lake.empty_slot("member_current", RECENT, version)
     touched = affected_partitions(base, after, "member_id", "country", LINEAGE)
     affected = sorted(row.country for row in touched.where(F.col("country").isin(*COUNTRIES)).collect())
-    lake.write_projection(project(after, "country", affected), "member_country", version, "country", affected)
+    routed = project(after, "country", affected)
+    lake.write_projection(routed, "member_country", MEMBER_CURRENT, version, "country", affected, MEMBER_KEY)
     return [after.select(*MEMBER_KEY)]
 
 
@@ -264,12 +266,17 @@ def read_member_current(lake: Lake) -> DataFrame:
 
 
 def read_member_countries(lake: Lake) -> DataFrame:
-    """All country tables together, recent changes routed in; filter on `country` for one of them."""
-    routed = lake.read("member_country", MEMBER_CURRENT)
+    """All country tables together, recent changes routed in; filter on `country` for one of them.
+
+    Every country is read in its buckets, less the members that changed, which are looked up bucket by bucket.
+    """
+    routed = lake.read_projection("member_country", MEMBER_CURRENT, "country", MEMBER_KEY)
     recent = lake.read_entity("member_current", MEMBER_CURRENT, MEMBER_KEY, RECENT)
-    if recent is None:
-        return routed
-    return reroute(routed, recent, changed_keys(recent, "member_id"), "member_id", "country", COUNTRIES)
+    if recent is not None:
+        changed = changed_keys(recent, "member_id")
+        routed = [rows.join(changed, MEMBER_KEY, "left_anti").select(rows.columns) for rows in routed]
+        routed.append(project(recent, "country", COUNTRIES))
+    return reduce(DataFrame.unionByName, routed) if routed else small_frame(lake.spark, [], MEMBER_CURRENT)
 
 
 def read_redemption_staging(lake: Lake) -> DataFrame:

@@ -6,6 +6,7 @@ shape is a contract violation, a value outside its domain a data-quality reason.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -174,3 +175,8 @@ def column_names(ddl: str) -> list[str]:
     """Top-level column names of one of the DDL strings above, in order."""
     flat = ddl.replace("decimal(18,0)", "decimal")
     return [part.split()[0] for part in flat.split(",")]
+
+
+def without_column(ddl: str, name: str) -> str:
+    """One of the DDL strings above less a column, such as the one that folders are named by."""
+    return ", ".join(part for part in re.split(r",\s*(?![^(]*\))", ddl) if part.split()[0] != name)

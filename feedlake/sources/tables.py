@@ -17,7 +17,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.schemas import column_names
+from feedlake.schemas import column_names, without_column
 from feedlake.sources.scratch import append_rows, delete_folder, exists, read_or_empty, small_frame
 
 _COMMITS_DDL = (
@@ -168,21 +168,33 @@ class Lake:
         self._pending.append(Slot(table, slot, version, seen.get["rows"], self.buckets))
         return written
 
-    def write_projection(self, df: DataFrame, table: str, version: int, by: str, affected: list[str]) -> None:
-        """Replace the affected partitions of a projection, also by nothing.
+    def write_projection(
+        self, df: DataFrame, table: str, ddl: str, version: int, by: str, affected: list[str], keys: list[str]
+    ) -> None:
+        """Replace the affected partitions of a projection, also by nothing; each is bucketed and sorted by the key.
 
-        Rows are spread evenly, so that a large partition is written by many
-        tasks and a small one by few.
+        `df` should be a slot of an entity table of the same key: its tasks hold whole buckets, or splits of one, so
+        that nothing is shuffled and a partition has a file for each of them, large partitions large ones.
         """
         if not affected:
             return
+        name = self._unused_name()
         seen = Observation()
         sizes = [F.count_if(F.col(by) == value).alias(f"n{index}") for index, value in enumerate(affected)]
-        spread = df.hint("rebalance", by).observe(seen, *sizes)
-        writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(by).parquet(self._path(table, version))
+        (
+            df.select(column_names(ddl))
+            .observe(seen, *sizes)
+            .write.partitionBy(by)
+            .bucketBy(self.buckets, *keys)
+            .sortBy(*keys)
+            .option("path", self._path(table, version))
+            .option("partitionOverwriteMode", "static")
+            .mode("overwrite")
+            .saveAsTable(name)
+        )
+        self.spark.sql(f"DROP TABLE {name}")
         self._pending.extend(
-            Slot(table, f"{by}={value}", version, seen.get[f"n{index}"]) for index, value in enumerate(affected)
+            Slot(table, f"{by}={value}", version, seen.get[f"n{index}"], self.buckets) for index, value in enumerate(affected)
         )
 
     # -- reading ---------------------------------------------------------------
@@ -215,6 +227,16 @@ class Lake:
         self.spark.sql(f"DROP TABLE {name}")
         return published
 
+    def read_projection(self, table: str, ddl: str, by: str, keys: list[str]) -> list[DataFrame]:
+        """The published partitions of a projection that have rows, each with its bucketing."""
+        stored = without_column(ddl, by)
+        found = [(s.slot, self.read_entity(table, stored, keys, s.slot)) for s in self.slots(table)]
+        return [
+            rows.withColumn(by, F.lit(slot.split("=", 1)[1])).select(column_names(ddl))
+            for slot, rows in found
+            if rows is not None
+        ]
+
     def row_count(self, table: str, slot: str = WHOLE) -> int:
         """Published rows of a slot."""
         return sum(s.row_count for s in self.slots(table) if s.slot == slot)

@@ -448,6 +448,30 @@ def test_members_are_looked_up_where_they_lie(spark, lake, landing):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def test_countries_are_read_where_they_lie(spark, lake, landing):
+    deliver(landing, D1, [line(member=str(n), country="USA" if n % 2 else "IND") for n in range(40)], [])
+    run_batch(lake, landing, D1)
+    deliver(landing, D2, [line(member="1", country="IND"), line(member="2", country="FRA"), line(member="new")], [])
+    run_batch(lake, landing, D2)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        routed = daily.read_member_countries(lake)
+        plan = routed._jdf.queryExecution().executedPlan().toString()
+        one = routed.where("country = 'USA'")
+        one_plan = one._jdf.queryExecution().executedPlan().toString()
+        assert routed.count() == 41 and {r.member_id for r in one.collect()} == {"new", *(str(n) for n in range(3, 40, 2))}
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan and "Bucketed: true" in plan
+    assert one_plan.count("SortMergeJoin") == 1 and "Exchange" not in one_plan  # of one country, only its folder is read
+    countries_written = [s for s in lake.slots("member_country") if s.row_count]
+    assert {s.slot for s in countries_written} == {"country=USA", "country=IND"} and {s.buckets for s in countries_written} == {4}
+
+
 def test_current_state_is_not_shuffled_by_the_next_merge(spark, lake, landing):
     first_day(landing)
     run_batch(lake, landing, D1)
