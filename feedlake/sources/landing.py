@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -77,6 +78,11 @@ def path_filter(pattern: str) -> Column:
     return _decoded(file_path).rlike(f"^(?:{pattern})$")
 
 
+def _as_read(uri: str) -> str:
+    """The path that a file's URI stands for, as Spark's reader takes it: signs that it would take for a pattern are escaped."""
+    return re.sub(r"[\\{}\[\]*?]", r"\\\g<0>", unquote(uri))
+
+
 def delivered_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     """(file_path, file_size, file_modified) of the files below `path` that match; no file is opened."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where(path_filter(pattern))
@@ -92,7 +98,8 @@ def text_lines(
 ) -> DataFrame:
     """Whole lines of all files below `path` whose full path matches `pattern`, with their split.
 
-    With `file_paths`, only of those files; Spark leaves the others out when it lists the folder.
+    With `file_paths`, the URIs of files, only of those: they are what the scan is given to read, so that the plan
+    does not grow with their number, and no other file is listed. One that is gone by then fails the load.
 
     `reader` is `spark.read` or `spark.readStream`. Lines are split at newlines
     only; a carriage return before the newline is dropped. With `whole_file`
@@ -102,17 +109,16 @@ def text_lines(
     reader = reader.option("maxFileAge", "36500d")  # a stream would pass over files much older than the newest
     if whole_file:
         reader = reader.option("wholetext", "true")
-    wanted = path_filter(pattern) if file_paths is None else F.col("_metadata.file_path").isin(file_paths)
-    return (
-        reader.load(path)
-        .where(wanted)
-        .select(
-            without_carriage_return(F.col("value")).alias("raw_text"),
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_block_start").alias("split_start"),
-            F.col("_metadata.file_size").alias("file_size"),
-            F.col("_metadata.file_modification_time").alias("file_modified"),
-        )
+    if file_paths is None:
+        found = reader.load(path).where(path_filter(pattern))
+    else:
+        found = reader.load([_as_read(uri) for uri in file_paths])
+    return found.select(
+        without_carriage_return(F.col("value")).alias("raw_text"),
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("split_start"),
+        F.col("_metadata.file_size").alias("file_size"),
+        F.col("_metadata.file_modification_time").alias("file_modified"),
     )
 
 

@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 
 import pytest
 from feedtext import HEADER, line
@@ -126,6 +127,29 @@ def test_odd_file_names(spark, folder):
     assert [(r.source_file_name, r.source_row_number) for r in raw.collect()] == [(f"member/{DAY}/{name}", 1)]
 
 
+def test_named_files_are_read_and_no_others(spark, folder):
+    names = ["a b+c%20é'd.csv", "x[1]{2,3}.csv", "q*?.csv"]
+    for name in [*names, "x1.csv", "x[1]2.csv", "qqq.csv"]:
+        (folder / name).write_text(f"{name}\n")
+    (folder / "empty.csv").write_text("")
+    known = {r.file_path: r.raw_text for r in text_lines(spark.read, str(folder), ".*").collect()}
+    uris = [uri for uri, name in known.items() if name in names]
+    uris.append(next(iter(known)).rsplit("/", 1)[0] + "/empty.csv")
+    got = text_lines(spark.read, str(folder), ".*", file_paths=uris)
+    assert {r.file_path: r.raw_text for r in got.collect()} == {uri: known[uri] for uri in uris[:-1]}
+
+    for n in range(100):
+        (folder / f"more{n}.csv").write_text("1\n")
+    many = [f"{uris[-1].rsplit('/', 1)[0]}/more{n}.csv" for n in range(100)]
+    all_of_them = text_lines(spark.read, str(folder), ".*", file_paths=many)
+    assert all_of_them.count() == 100
+
+    def size(df):  # of the plan, whose columns are numbered anew each time
+        return len(re.sub("#[0-9]+", "", df._jdf.queryExecution().optimizedPlan().toString()))
+
+    assert size(all_of_them) == size(got)
+
+
 def test_no_lines(spark, folder):
     (folder / "empty.csv").write_text("")
     assert ingest_lines(spark, str(folder.parent), DAY).isEmpty()
