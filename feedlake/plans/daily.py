@@ -35,7 +35,7 @@ from feedlake.schemas import (
     FeedSource,
 )
 from feedlake.sources.landing import NoFilesError, first_lines, loaded_lines, raw_member, raw_redemption
-from feedlake.sources.scratch import small_frame
+from feedlake.sources.scratch import small_frame, temporary
 from feedlake.sources.tables import Lake
 from feedlake.streaming.load_once import load_feed
 
@@ -198,15 +198,16 @@ def _stage_redemptions(
 def _redemptions(
     lake: Lake, batch_id: str, version: int, run_ts: Column, staged: DataFrame, members: list[DataFrame]
 ) -> dict[str, int]:
-    evaluated, seen = lake.write_batch(
-        stages.evaluate_redemptions(staged, members, buckets=lake.buckets),
-        "redemption_evaluated",
-        REDEMPTION_EVALUATED,
-        version,
-        batch_id,
-        split_by="is_valid",
-        valid=F.count_if("is_valid"),
-    )
+    with temporary(lake.spark):  # what is known of repeated and unknown keys is needed until the rows are written
+        evaluated, seen = lake.write_batch(
+            stages.evaluate_redemptions(staged, members, buckets=lake.buckets),
+            "redemption_evaluated",
+            REDEMPTION_EVALUATED,
+            version,
+            batch_id,
+            split_by="is_valid",
+            valid=F.count_if("is_valid"),
+        )
     _curate(lake, stages.accepted_redemptions(evaluated), seen["valid"], version, run_ts)
     return {
         "redemption_flattened": seen["rows"],

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +15,8 @@ from pyspark.sql.types import StructType
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
+# Folders handed out within `temporary`; None outside of it.
+_handed_out: ContextVar[list[str] | None] = ContextVar("handed_out", default=None)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -32,7 +37,27 @@ def scratch_root(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path below the scratch folder that nothing else uses."""
-    return f"{scratch_root(spark)}/feedlake/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/feedlake/{name}-{uuid.uuid4().hex}"
+    made = _handed_out.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables that this thread writes within are deleted at the end, also after a failure.
+
+    Frames that depend on them are void then, so results must be written within too.
+    """
+    made: list[str] = []
+    token = _handed_out.set(made)
+    try:
+        yield
+    finally:
+        _handed_out.reset(token)
+        for path in made:
+            delete_folder(spark, path)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

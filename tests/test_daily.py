@@ -448,6 +448,33 @@ def test_members_are_looked_up_where_they_lie(spark, lake, landing):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def test_a_day_leaves_no_scratch(spark, lake, landing, monkeypatch):
+    from pathlib import Path
+
+    scratch = Path(spark.conf.get("spark.checkpoint.dir"), "feedlake")
+
+    def left():
+        return {path.name for path in scratch.glob("*")}
+
+    first_day(landing)
+    before, made = left(), []
+
+    def judged(*args, evaluate=daily.stages.evaluate_redemptions, **kwargs):
+        result = evaluate(*args, **kwargs)
+        made.append(left() - before)
+        if len(made) == 2:
+            raise RuntimeError("half way")
+        return result
+
+    monkeypatch.setattr(daily.stages, "evaluate_redemptions", judged)
+    run_batch(lake, landing, D1)
+    assert len(made[0]) == 2 and left() == before
+    with pytest.raises(RuntimeError):
+        run_batch(lake, landing, D1)
+    assert len(made[1]) == 2 and left() == before
+    assert curated(lake) == {"T1": ("223457", "COMPLETED", D1), "T3": ("2", "PENDING", D1)}
+
+
 def test_countries_are_read_where_they_lie(spark, lake, landing):
     deliver(landing, D1, [line(member=str(n), country="USA" if n % 2 else "IND") for n in range(40)], [])
     run_batch(lake, landing, D1)
