@@ -44,6 +44,8 @@ CONFLICTING_VERSIONS = "batch_id string, member_id string, source_feed_timestamp
 BASE, RECENT = "base", "recent"
 # Changes to members and curated transactions are folded into the base when they reach this share of its rows.
 FOLD_SHARE = 0.2
+# Rows of a day up to which its members are looked up by value, so that only buckets that can hold them are read.
+LOOKUP_ROWS = 1000
 MEMBER_KEY, REDEMPTION_KEY = ["member_id"], ["txn_id"]
 
 
@@ -160,7 +162,7 @@ def _hold_members(lake: Lake, newest: DataFrame, newest_rows: int, version: int,
         changes = stages.merge_members(None, newest, run_ts, unique=True)
     else:
         named = newest.select(*MEMBER_KEY)
-        held = base.join(named, MEMBER_KEY, "left_semi")
+        held = _named(base, named, newest_rows)
         if recent is not None:
             held = upsert(held, recent.join(named, MEMBER_KEY, "left_semi"), MEMBER_KEY, unique=True)
         changes = stages.merge_members(held, newest, run_ts, unique=True)
@@ -180,6 +182,17 @@ def _hold_members(lake: Lake, newest: DataFrame, newest_rows: int, version: int,
     return [after.select(*MEMBER_KEY)]
 
 
+def _named(base: DataFrame, named: DataFrame, rows: int) -> DataFrame:
+    """Members of the base that a day names in at most so many rows.
+
+    A small day's ids, at most `LOOKUP_ROWS`, become values of a filter, by which Spark leaves out all other buckets and what the
+    files' statistics rule out; a larger one would touch most buckets anyway and is joined, bucket by bucket.
+    """
+    if rows <= LOOKUP_ROWS:
+        return base.where(F.col("member_id").isin([row.member_id for row in named.collect()]))
+    return base.join(named, MEMBER_KEY, "left_semi")
+
+
 def _stage_redemptions(
     lake: Lake, landing: str, batch_id: str, source: FeedSource, version: int
 ) -> tuple[dict[str, int], DataFrame]:

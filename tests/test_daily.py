@@ -475,6 +475,24 @@ def test_a_day_leaves_no_scratch(spark, lake, landing, monkeypatch):
     assert curated(lake) == {"T1": ("223457", "COMPLETED", D1), "T3": ("2", "PENDING", D1)}
 
 
+def test_a_small_day_reads_the_buckets_of_its_members(spark, lake, landing, monkeypatch):
+    deliver(landing, D1, [line(member=str(n)) for n in range(40)], [])
+    run_batch(lake, landing, D1)
+    base = lake.read_entity("member_current", daily.MEMBER_CURRENT, daily.MEMBER_KEY, daily.BASE)
+    named = spark.createDataFrame([("7",), ("nobody",)], "member_id string").where("member_id = '7'")
+    few = daily._named(base, named, 1)
+    joined = few.join(base.select("member_id").hint("merge"), "member_id")  # by itself the scan keeps quiet about its buckets
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SelectedBucketsCount: 1 out of 4" in plan and "Exchange" not in plan
+    assert [r.member_id for r in few.collect()] == ["7"]
+    assert daily._named(base, named.limit(0), 0).collect() == []
+
+    monkeypatch.setattr(daily, "LOOKUP_ROWS", 0)
+    many = daily._named(base, named, 1)
+    assert "LeftSemi" in many._jdf.queryExecution().executedPlan().toString()
+    assert many.collect() == few.collect()
+
+
 def test_countries_are_read_where_they_lie(spark, lake, landing):
     deliver(landing, D1, [line(member=str(n), country="USA" if n % 2 else "IND") for n in range(40)], [])
     run_batch(lake, landing, D1)
