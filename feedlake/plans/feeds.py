@@ -10,7 +10,7 @@ every kind of defect that the rules name.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.functions.dates import batch_date
@@ -94,19 +94,25 @@ def state(spark: SparkSession, sf_dir: str, name: str) -> tuple:
     return tuple(sorted(files.select("file_path", "file_size", F.unix_micros("file_modified")).collect()))
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, source: str, key: str, build) -> DataFrame:
+def _once(spark: SparkSession, sf_dir: str, name: str, source: str, key: str, build, text: str) -> DataFrame:
     """A feed is input: it is written once per application and state of its source's files, and read from there.
 
     A table that is one small file would make the feed one file too, which a
-    single task then reads; it is spread over the cores.
+    single task then reads; its rows are spread over the cores, before any text is made of them.
     """
     place = (spark.sparkContext.applicationId, name, state(spark, sf_dir, source))
     if place not in _feeds:
-        spread = build().repartition(spark.sparkContext.defaultParallelism, key)
-        _feeds[place] = materialise(spread, f"feed-{name}")
+        spread = build(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism, key)
+        _feeds[place] = materialise(_with_text(spread, text), f"feed-{name}")
     return _feeds[place]
 
 
+def _with_text(rows: DataFrame, name: str) -> DataFrame:
+    """The batch and the keys of a feed's rows, and the text that they are delivered as."""
+    made, *keys = {"raw_record": (MEMBER_LINE, "k", "v"), "raw_text": (REDEMPTION_DOCUMENT, "o_orderkey")}[name]
+    return rows.select(F.col("b").cast("string").alias("batch_id"), *keys, F.expr(made).alias(name))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -116,28 +122,27 @@ def _days(df: DataFrame, again: str) -> DataFrame:
     return df.withColumn("b", F.explode(F.when(F.expr(again), F.array(first, second)).otherwise(F.array(first))))
 
 
-def _member_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _member_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the member lines are made of, a row for each."""
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("k"), "c_name", "c_mktsegment", "c_acctbal"
     )
     variants = F.array(F.lit(0), F.when(F.expr(MEMBER_CONTRADICTED), 1), F.when(F.expr(MEMBER_COPIED), 2))
-    lines = _days(customers, MEMBER_AGAIN).withColumn("v", F.explode(F.array_compact(variants)))
-    return lines.select(F.col("b").cast("string").alias("batch_id"), "k", "v", F.expr(MEMBER_LINE).alias("raw_record"))
+    return _days(customers, MEMBER_AGAIN).withColumn("v", F.explode(F.array_compact(variants)))
 
 
-def _redemption_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _days(table(spark, sf_dir, "orders"), REDEMPTION_AGAIN)
-    return documents.select(
-        F.col("b").cast("string").alias("batch_id"), "o_orderkey", F.expr(REDEMPTION_DOCUMENT).alias("raw_text")
-    )
+def _redemption_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the redemption documents are made of, a row for each."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    return _days(orders, REDEMPTION_AGAIN)
 
 
 def member_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _once(spark, sf_dir, "member", "customer", "k", lambda: _member_lines(spark, sf_dir))
+    return _once(spark, sf_dir, "member", "customer", "k", _member_rows, "raw_record")
 
 
 def redemption_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _once(spark, sf_dir, "redemption", "orders", "o_orderkey", lambda: _redemption_documents(spark, sf_dir))
+    return _once(spark, sf_dir, "redemption", "orders", "o_orderkey", _redemption_rows, "raw_text")
 
 
 def _stamped(df: DataFrame) -> DataFrame:
@@ -177,12 +182,15 @@ def raw_redemption_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _write_files(rows: DataFrame, folder: str, batch_id: str) -> None:
-    """Write `text` by `file_no` and `place`: one file per file number, lines in order of place."""
+def _write_files(rows: DataFrame, text: Column, folder: str, batch_id: str) -> None:
+    """Write `text` by `file_no` and `place`: one file per file number, lines in order of place.
+
+    The text is made of the rows when they are in their places, so that only what it is made of is shuffled.
+    """
     (
         rows.repartition("file_no")
         .sortWithinPartitions("file_no", "place")
-        .select("file_no", "text")
+        .select("file_no", text.alias("text"))
         .write.mode("append")
         .partitionBy("file_no")
         .text(f"{folder}/{batch_id}")
@@ -193,17 +201,19 @@ def write_member_files(
     spark: SparkSession, sf_dir: str, landing: str, batch_id: str, header_variants: tuple[str, ...] = (HEADER,)
 ) -> None:
     """The member lines of a day as files of a thousand customers each, every one with a header line."""
-    lines = member_lines(spark, sf_dir).where(F.col("batch_id") == batch_id)
+    lines = _member_rows(spark, sf_dir).where(F.col("b") == int(batch_id))
     lines = lines.withColumn("file_no", F.expr(f"k div {CUSTOMERS_PER_FILE}"))
     day = BATCHES.index(batch_id)
     variant = ((F.col("file_no") + 2 * day) % len(header_variants) + 1).cast("int")
     headers = lines.select("file_no").distinct().select(
         "file_no",
         F.lit(-1).cast("long").alias("place"),
-        F.element_at(F.array(*(F.lit(text) for text in header_variants)), variant).alias("text"),
+        F.element_at(F.array(*(F.lit(text) for text in header_variants)), variant).alias("header"),
     )
-    details = lines.select("file_no", (F.col("k") * 4 + F.col("v")).alias("place"), F.col("raw_record").alias("text"))
-    _write_files(headers.unionByName(details), f"{landing}/member", batch_id)
+    details = lines.withColumn("place", F.col("k") * 4 + F.col("v"))
+    rows = details.unionByName(headers, allowMissingColumns=True)
+    text = F.when(F.col("place") == -1, F.col("header")).otherwise(F.expr(MEMBER_LINE))
+    _write_files(rows, text, f"{landing}/member", batch_id)
 
 
 def rewrite_first_member_file(spark: SparkSession, sf_dir: str, landing: str, batch_id: str) -> None:
@@ -226,13 +236,10 @@ def empty_first_member_file(spark: SparkSession, landing: str, batch_id: str) ->
 
 def write_redemption_files(spark: SparkSession, sf_dir: str, landing: str, batch_id: str, line: str = "%s") -> None:
     """The redemption documents of a day as files of ten thousand orders each, one document per line, put into `line`."""
-    documents = redemption_documents(spark, sf_dir).where(F.col("batch_id") == batch_id)
-    rows = documents.select(
-        F.expr(f"o_orderkey div {ORDERS_PER_FILE}").alias("file_no"),
-        F.col("o_orderkey").alias("place"),
-        F.format_string(line, "raw_text").alias("text"),
+    rows = _redemption_rows(spark, sf_dir).where(F.col("b") == int(batch_id)).withColumns(
+        {"file_no": F.expr(f"o_orderkey div {ORDERS_PER_FILE}"), "place": F.col("o_orderkey")}
     )
-    _write_files(rows, f"{landing}/redemption", batch_id)
+    _write_files(rows, F.format_string(line, F.expr(REDEMPTION_DOCUMENT)), f"{landing}/redemption", batch_id)
 
 
 def write_day(spark: SparkSession, sf_dir: str, landing: str, batch_id: str) -> None:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +32,7 @@ from feedlake.sources.landing import (
     land,
     loaded_lines,
 )
-from feedlake.sources.scratch import exists, materialise, new_folder, small_frame
+from feedlake.sources.scratch import delete_folder, exists, materialise, new_folder, small_frame
 from feedlake.sources.tables import Lake
 from feedlake.streaming.load_once import ingest_new, load_feed
 
@@ -58,7 +60,8 @@ def _evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialise(stages.member_staging(_evaluated(spark, sf_dir)), "staging")
+    # Written before valid rows are taken: Spark moves that test to the raw lines, where every rule would split and parse them anew.
+    return stages.member_staging(materialise(_evaluated(spark, sf_dir), "evaluated"))
 
 
 def _conflicts(staged: DataFrame) -> DataFrame:
@@ -86,19 +89,24 @@ def _flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise(flatten_redemptions(feeds.raw_redemption_feed(spark, sf_dir)), "flattened")
 
 
-def _judged(spark: SparkSession, sf_dir: str, flattened: DataFrame) -> DataFrame:
-    """Evaluated transactions; each day looks members up as they are after that day."""
+def _judged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Flattened and evaluated transactions; each day looks members up as they are after that day."""
+    # The feeds do not depend on each other until members are looked up.
+    with ThreadPoolExecutor(2) as pool:
+        inherit = inheritable_thread_target(spark)
+        flattening = pool.submit(inherit(_flattened), spark, sf_dir)
+        merging = pool.submit(inherit(lambda: _states(_staged(spark, sf_dir), BATCHES)))
+    flattened = flattening.result()
     first, second = (
-        state.select(F.lit(batch_id).alias("batch_id"), "member_id")
-        for batch_id, state in zip(BATCHES, _states(_staged(spark, sf_dir), BATCHES))
+        state.select(F.lit(batch_id).alias("batch_id"), "member_id") for batch_id, state in zip(BATCHES, merging.result())
     )
-    return stages.evaluate_redemptions(flattened, first.unionByName(second), ["batch_id", "member_id"])
+    return flattened, stages.evaluate_redemptions(flattened, first.unionByName(second), ["batch_id", "member_id"])
 
 
 def _redemptions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Flattened and evaluated transactions, both written as tables."""
-    flattened = _flattened(spark, sf_dir)
-    return flattened, materialise(_judged(spark, sf_dir, flattened), "evaluated")
+    flattened, evaluated = _judged(spark, sf_dir)
+    return flattened, materialise(evaluated, "evaluated")
 
 
 def _curated(evaluated: DataFrame) -> DataFrame:
@@ -352,12 +360,12 @@ def redemption_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def redemption_dq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    evaluated = _judged(spark, sf_dir, _flattened(spark, sf_dir))
+    _, evaluated = _judged(spark, sf_dir)
     return evaluated.select(*ROW, "pos", "dq_reason", "is_valid")
 
 
 def redemption_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    evaluated = _judged(spark, sf_dir, _flattened(spark, sf_dir))
+    _, evaluated = _judged(spark, sf_dir)
     values = [name for name in TXN if name != "feed_date"]
     return stages.redemption_quarantine(evaluated).select(*ROW, "pos", *values, "dq_reason")
 
@@ -471,19 +479,17 @@ def check_idempotent_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.verdict("idempotent", checks.run_twice(twice, again))
 
 
-_lakes: dict[tuple, tuple[Lake, str]] = {}
+def daily_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """Both days processed from files. Every query processes them itself, so that its time and disk are those of its whole work.
 
-
-def daily_lake(spark: SparkSession, sf_dir: str) -> tuple[Lake, str]:
-    """Both days processed from files; done once per application and state of the tables' files."""
-    key = (spark.sparkContext.applicationId, feeds.state(spark, sf_dir, "customer"), feeds.state(spark, sf_dir, "orders"))
-    if key not in _lakes:
-        landing, lake = feeds.new_landing(spark), Lake(spark, new_folder(spark, "lake"))
-        for batch_id in BATCHES:
-            feeds.write_day(spark, sf_dir, landing, batch_id)
-            run_day(lake, landing, batch_id)
-        _lakes[key] = lake, landing
-    return _lakes[key]
+    The files are deleted when they are loaded, as all tables are made from RAW.
+    """
+    landing, lake = feeds.new_landing(spark), Lake(spark, new_folder(spark, "lake"))
+    for batch_id in BATCHES:
+        feeds.write_day(spark, sf_dir, landing, batch_id)
+        run_day(lake, landing, batch_id)
+    delete_folder(spark, landing)
+    return lake
 
 
 def run_day(lake: Lake, landing: str, batch_id: str) -> dict[str, int]:
@@ -519,41 +525,41 @@ def check_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def check_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily.suite(daily_lake(spark, sf_dir)[0])
+    return daily.suite(daily_lake(spark, sf_dir))
 
 
 def batch_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state = daily.read_ledger(daily_lake(spark, sf_dir)[0])
+    state = daily.read_ledger(daily_lake(spark, sf_dir))
     return state.select("batch_id", "feed_type", "status", "rows_loaded", "rows_rejected", "error_message")
 
 
 def daily_member_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current members as the daily batch publishes them."""
-    current = daily.read_member_current(daily_lake(spark, sf_dir)[0])
+    current = daily.read_member_current(daily_lake(spark, sf_dir))
     return current.select("member_id", *MEMBER_ATTRIBUTES, "batch_id", _file_no())
 
 
 def daily_member_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Country tables as the daily batch publishes them."""
-    routed = daily.read_member_countries(daily_lake(spark, sf_dir)[0])
+    routed = daily.read_member_countries(daily_lake(spark, sf_dir))
     return routed.select("country", "member_id", "batch_id", "state", "age")
 
 
 def daily_redemption(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Curated transactions as the daily batch publishes them."""
-    return daily.read_redemption(daily_lake(spark, sf_dir)[0]).select(*TXN, "batch_id")
+    return daily.read_redemption(daily_lake(spark, sf_dir)).select(*TXN, "batch_id")
 
 
 def daily_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members per country, asked of the published views in SQL."""
-    daily.create_views(daily_lake(spark, sf_dir)[0])
+    daily.create_views(daily_lake(spark, sf_dir))
     per_view = [f"select '{country}' as country, count(*) as members from member_{country.lower()}" for country in COUNTRIES]
     return spark.sql(" union all ".join([*per_view, "select 'ALL', count(*) from member_current"]))
 
 
 def daily_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether a member's row was updated after it was created, and whether its lines have their time of loading."""
-    lake = daily_lake(spark, sf_dir)[0]
+    lake = daily_lake(spark, sf_dir)
     current = daily.read_member_current(lake).select("member_id", (F.col("updated_at") > F.col("created_at")).alias("updated_later"))
     staged = daily.read_member_staging(lake).groupBy("member_id").agg(F.bool_and(F.col("ingestion_timestamp") <= F.localtimestamp()).alias("loaded_before_now"))
     return current.join(staged, "member_id")
