@@ -17,6 +17,8 @@ SLICE_ROWS, SLICE_BYTES = 512, 4 << 20
 
 #: What workers remember between tasks, with the modules that use it.
 _remembered: list[tuple[dict, tuple[str, ...]]] = []
+# The module whose work this worker did last.
+_last_user: list[str] = []
 
 
 def remembered(*users: str) -> dict:
@@ -27,12 +29,15 @@ def remembered(*users: str) -> dict:
 
 
 def turn_to(user: str) -> None:
-    """Say whose work a worker does now; what only others use is given back."""
-    others = [held for held, users in _remembered if held and user not in users]
-    for held in others:
-        held.clear()
-    if others:
-        pa.default_memory_pool().release_unused()
+    """Say whose work a worker does now; what only others use is given back, to the system too."""
+    for held, users in _remembered:
+        if user not in users:
+            held.clear()
+    if _last_user and _last_user != [user]:
+        # The first is Arrow's own memory, the second what numpy and Python have freed.
+        for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+            pool.release_unused()
+    _last_user[:] = [user]
 
 
 def mapped(df: DataFrame, of_batches: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:

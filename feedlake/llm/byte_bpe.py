@@ -28,7 +28,7 @@ from public_tokenizers import PATTERN
 from feedlake.llm import arrow
 
 #: Pre-tokens up to so many code points are remembered, so many of them per worker.
-CACHED_CHARS, CACHED_TOKENS = 48, 1 << 19
+CACHED_CHARS, CACHED_TOKENS = 48, 1 << 18
 #: Rows and bytes of text whose pre-tokens are merged together.
 TOGETHER_ROWS, TOGETHER_BYTES = 10_000, 4 << 20
 #: Rank of a pair that cannot be merged.
@@ -172,7 +172,8 @@ class Encoder:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as the bytes of 32-bit integers."""
-        pieces = list(map(self.pieces.findall, texts))
+        share = {}.setdefault  # a pre-token that recurs is held once, not as often as it occurs
+        pieces = [list(map(share, found, found)) for found in map(self.pieces.findall, texts)]
         unseen = set().union(*pieces).difference(self.cache)
         known = {piece: ids for piece in unseen if (ids := self.older.get(piece)) is not None}
         new = [piece for piece in unseen if piece not in known]
